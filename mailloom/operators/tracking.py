@@ -186,7 +186,7 @@ _METRICS = (
 
 def funnel_metrics(master: DataFrame, by: Sequence[str] | None = None,
                    first_reply: bool = False) -> DataFrame:
-    """(metric, value) rows; with ``by`` also per group, NULL group = total.
+    """(metric, value) rows; with ``by`` per group and for all (``is_total`` > 0).
 
     One scan and one aggregate compute all terms.  A rate without a
     denominator is NULL.
@@ -205,10 +205,14 @@ def funnel_metrics(master: DataFrame, by: Sequence[str] | None = None,
     aggs = [F.count_if(c).alias(n) for n, c in terms.items()] + [
         _days("sent_date", reply_date).alias("days_to_reply"),
         _days("sent_date", "customer_date").alias("days_to_convert")]
-    base = master.rollup(*by).agg(*aggs) if by else master.agg(*aggs)
+    if by:
+        base = master.rollup(*by).agg(F.grouping_id().alias("is_total"), *aggs)
+    else:
+        base = master.agg(*aggs)
+    groups = [*by, "is_total"] if by else []
     c = F.col
     wide = base.select(
-        *(by or []),
+        *groups,
         _rate(c("opened"), c("sent")).alias("open_rate"),
         _rate(c("replied"), c("sent")).alias("reply_rate"),
         _rate(c("replied"), c("opened")).alias("open_to_reply"),
@@ -221,7 +225,7 @@ def funnel_metrics(master: DataFrame, by: Sequence[str] | None = None,
     )
     pairs = F.array(*[F.struct(F.lit(n).alias("metric"), c(v).alias("value"))
                       for n, v in _METRICS])
-    return wide.select(*(by or []), F.explode(pairs).alias("m")).select(*(by or []), "m.*")
+    return wide.select(*groups, F.explode(pairs).alias("m")).select(*groups, "m.*")
 
 
 def status_counts(log: DataFrame) -> DataFrame:
