@@ -98,19 +98,106 @@ def find_emails(text: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
     """array<struct(email, pos, snippet)> of all addresses of a text, in order.
 
     The snippet is the text around the match, ``context`` characters on either
-    side.  It is put together from the neighbouring pieces between matches, so
-    the cost stays linear in the number of matches.
+    side.  The text is cut at each '@'; a local part is then the end of one
+    piece and a domain the start of the next, so patterns only run next to an
+    '@' and never over the whole text.
     """
     suffixes = tuple(suffixes)
+    found = let(F.split(text, "@", -1), lambda pieces: _in_pieces(
+        text, pieces, suffixes, context, strip if trim else (lambda c: c)))
+    return F.coalesce(
+        F.when(F.contains(text, F.lit("@")), found),
+        F.array().cast("array<struct<email:string,pos:int,snippet:string>>"),
+    )
+
+
+_TAIL = 80  # local parts up to this length need no look at the whole piece
+
+
+def _in_pieces(text: Column, pieces: Column, suffixes: tuple[str, ...], context: int,
+               finish) -> Column:
+    domain_pattern = (
+        rf"^[{_DOMAIN}]+\.(?i:{_suffix_alternatives(suffixes)})(?![{_WORD}])")
+
+    def run_length(piece: Column) -> Column:
+        """Length of the run of address characters at the end of a piece."""
+        def run(x: Column) -> Column:
+            return F.length(F.regexp_extract(F.reverse(x), f"^[{_LOCAL}]+", 0))
+
+        return let(run(F.right(piece, F.lit(_TAIL))),
+                   lambda n: F.when(n < _TAIL, n).otherwise(run(piece)))
+
+    def describe(piece: Column, i: Column) -> Column:
+        """What lies around the '@' behind this piece; ``taken`` is the domain
+        of the '@' in front of it, which no local part may use again."""
+        domain = F.when(i < F.size(pieces) - 1, F.regexp_extract(
+            F.get(pieces, i + 1), domain_pattern, 0)).otherwise(F.lit(""))
+        return let(domain, lambda d: F.struct(
+            piece.alias("piece"), i.alias("i"), d.alias("domain"),
+            F.when(d == "", F.lit(0)).otherwise(run_length(piece)).alias("run")))
+
+    def usable(d: Column) -> Column:
+        return (d["domain"] != "") & (d["run"] > 0)
+
+    def build(described: Column) -> Column:
+        # Two addresses that touch ("a@b.dz@c.dz") share a domain as local
+        # part; such a text is left to the plain left-to-right search.
+        touching = F.exists(described, lambda d: usable(d) & (d["i"] > 0) & let(
+            F.get(described, d["i"] - 1), lambda before: usable(before) & (
+                F.length(before["domain"]) >= F.length(d["piece"]))))
+        hits = F.filter(described, usable)
+        return F.when(touching, _by_search(text, suffixes, context, finish)).otherwise(
+            F.transform(hits, lambda d, n: hit(d, n, described)))
+
+    def hit(d: Column, n: Column, described: Column) -> Column:
+        before = F.get(described, d["i"] - 1)
+        taken = F.when((d["i"] > 0) & usable(before), F.length(before["domain"])).otherwise(
+            F.lit(0))
+        size = F.length(d["piece"])
+        return let(F.least(d["run"], size - taken), lambda local: F.struct(
+            F.lower(F.concat(F.right(d["piece"], local), F.lit("@"), d["domain"]))
+            .alias("email"),
+            n.alias("pos"),
+            F.substring(finish(F.concat(
+                left_of(d, size - local), F.right(d["piece"], local), F.lit("@"), d["domain"],
+                right_of(d))), 1, SNIPPET_LENGTH).alias("snippet"),
+        ))
+
+    def left_of(d: Column, length: Column) -> Column:
+        near = F.left(d["piece"], length)
+        first = F.greatest(d["i"] - F.lit(context), F.lit(0))
+        far = F.transform(F.slice(pieces, first + 1, d["i"] - first),
+                          lambda x: F.right(x, F.lit(context)))
+        return F.right(
+            F.when((length >= context) | (d["i"] == 0), near).otherwise(
+                F.concat(F.array_join(far, "@"), F.lit("@"), near)), F.lit(context))
+
+    def right_of(d: Column) -> Column:
+        def of(near: Column) -> Column:
+            far = F.transform(F.slice(pieces, d["i"] + 3, context),
+                              lambda x: F.left(x, F.lit(context)))
+            enough = (F.length(near) >= context) | (d["i"] + 2 >= F.size(pieces))
+            return F.left(F.when(enough, near).otherwise(
+                F.concat(near, F.lit("@"), F.array_join(far, "@"))), F.lit(context))
+
+        return let(F.substr(F.get(pieces, d["i"] + 1), F.length(d["domain"]) + 1), of)
+
+    return let(F.transform(pieces, describe), build)
+
+
+def _by_search(text: Column, suffixes: tuple[str, ...], context: int, finish) -> Column:
+    """The same by one search over the text.
+
+    The snippet is put together from the neighbouring pieces between matches.
+    """
     pattern = email_regex(suffixes)
     # A match has at least one character, '@', one character and a suffix, so
     # this many matches cover the context.
     shortest = 2 + min(len("." + s.lstrip(".")) for s in suffixes) + 1
     reach = context // shortest + 2
-    finish = strip if trim else (lambda c: c)
 
-    def one(matches: Column, gaps: Column) -> Column:
-        def build(m: Column, i: Column) -> Column:
+    def build(matches: Column, gaps: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
             first = F.greatest(i - F.lit(reach), F.lit(0))
             before = F.concat(
                 F.array_join(F.flatten(F.zip_with(
@@ -125,21 +212,15 @@ def find_emails(text: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
                     F.slice(gaps, i + 3, reach),
                     lambda x, g: F.array(x, g))), ""),
             )
-            around = F.concat(
-                F.right(before, F.lit(context)), m, F.left(after, F.lit(context)))
             return F.struct(
                 F.lower(m).alias("email"),
                 i.alias("pos"),
-                F.substring(finish(around), 1, SNIPPET_LENGTH).alias("snippet"),
+                F.substring(finish(F.concat(
+                    F.right(before, F.lit(context)), m, F.left(after, F.lit(context)))),
+                    1, SNIPPET_LENGTH).alias("snippet"),
             )
 
-        return F.transform(matches, build)
+        return F.transform(matches, one)
 
-    found = let(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda m: F.when(F.size(m) > 0, let(F.split(text, pattern, -1), lambda g: one(m, g))),
-    )
-    return F.coalesce(
-        F.when(F.contains(text, F.lit("@")), found),
-        F.array().cast("array<struct<email:string,pos:int,snippet:string>>"),
-    )
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+               lambda m: let(F.split(text, pattern, -1), lambda g: build(m, g)))

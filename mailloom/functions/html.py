@@ -13,88 +13,97 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WS, let, literal_map, strip
+from .text import let, literal_map, strip
 
 # Attribute part of a tag: quotes only count after '='.
 _ATTRS = r"""(?:[^>=]++|=[\s]*+(?:"[^"]*+"|'[^']*+')?+)*+"""
-_COMMENT = r"<!--.*?(?:-->|\z)"
-_RAW = rf"<(script|style)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
+_COMMENT = r"!--.*?(?:-->|\z)"
+_RAW = rf"(script|style)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
 _RAW_OR_TEMPLATE = (
-    rf"<(script|style|template)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*+>|\z)")
-_TAG = rf"</?[a-z]{_ATTRS}>|<[!?][^>]*+>"
+    rf"(script|style|template)(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*+>|\z)")
+_TAG = rf"/?[a-z]{_ATTRS}>|[!?][^>]*+>"
 
-_BLOCKS = rf"(?is){_COMMENT}|{_RAW}"
-_NON_TEXT = rf"(?is){_COMMENT}|{_RAW_OR_TEMPLATE}|{_TAG}"
-_ANY_TAG = rf"(?is){_TAG}"
+# All patterns start with '<' itself, so other characters are passed quickly.
+_BLOCKS = rf"(?is)<(?:{_COMMENT}|{_RAW})"
+_NON_TEXT = rf"(?is)<(?:{_COMMENT}|{_RAW_OR_TEMPLATE}|{_TAG})"
 _TITLE = rf"(?is)<title(?=[\s/>]){_ATTRS}>(.*?)</title"
 _ANCHOR = rf"(?is)<a(?=[\s/>]){_ATTRS}>.*?(?:(?=<a[\s>])|</a(?=[\s>])|\z)"
-_ANCHOR_OPEN = rf"(?is)^<a({_ATTRS})>"
 _ANCHOR_BODY = rf"(?is)^<a{_ATTRS}>(.*?)(?:</a)?\z"
 _META = rf"(?is)<meta(?=[\s/])({_ATTRS})>"
 _SCRIPT_BODY = rf"(?is)^<script{_ATTRS}>(.*?)(?:</script[^>]*+>)?\z"
 
 # Stands for removed markup; it cannot occur in valid HTML.
 MARK = "\u0001"
-_NODE_BREAK = rf"(?<![{WS}])[{WS}]*+\x01[{WS}\x01]*+"
-
 # Elements without content.
 _VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"]
 
 _ENTITY = r"^(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)"
-_NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+# Frequent names come first: a map is searched from its start.
+_NAMED = {name: chr(name2codepoint[name]) for name in ("amp", "nbsp", "quot", "lt", "gt")}
+_NAMED |= {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
 
 
 def _attr_pattern(name: str) -> str:
-    """Match one attribute, skipping all that come before it.
+    """Match one attribute of a tag or attribute list, skipping all that come before it.
 
-    Groups 1-3 are the value: double-quoted, single-quoted, bare.
+    Group 1 is '=' and the value with its quotes.
     """
-    value = r"""(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+))"""
-    other = r"""[\s/=]++|(?!NAME\s*=)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
-    return rf"(?is)^(?:{other.replace('NAME', name)})*+{name}\s*=\s*{value}"
+    value = r"""(=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']*+))"""
+    other = r"""[\s/=<]++|(?!NAME\s*=)[^\s/>=<]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+    return rf"(?is)^(?:{other.replace('NAME', name)})*+{name}\s*+{value}"
+
 
+def attr_or_null(tag: Column, name: str) -> Column:
+    """Value of an attribute with entities decoded; NULL if it is absent."""
 
-def has_attr(attrs: Column, name: str) -> Column:
-    return attrs.rlike(_attr_pattern(name))
+    def value(raw: Column) -> Column:
+        bare = F.ltrim(F.substr(raw, F.lit(2)))
+        quoted = F.startswith(bare, F.lit('"')) | F.startswith(bare, F.lit("'"))
+        return F.when(raw != "", unescape_html(
+            F.when(quoted, F.substr(bare, F.lit(2), F.length(bare) - F.lit(2))).otherwise(bare)))
 
+    return let(F.regexp_extract(tag, _attr_pattern(name), 1), value)
 
-def attr(attrs: Column, name: str) -> Column:
+
+def attr(tag: Column, name: str) -> Column:
     """Value of an attribute, entities decoded; '' if it is absent."""
-    pattern = _attr_pattern(name)
-    raw = F.concat(*[F.regexp_extract(attrs, pattern, g) for g in (1, 2, 3)])
-    return unescape_html(raw)
+    return F.coalesce(attr_or_null(tag, name), F.lit(""))
 
 
 def unescape_html(c: Column) -> Column:
     """Decode named and numeric character references, each exactly once."""
-    named = literal_map(_NAMED)
-
-    def from_code(code: Column) -> Column:
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-
-    def decode(ref: Column) -> Column:
-        body = F.rtrim(ref, F.lit(";"))
-        return (
-            F.when(ref.rlike("^#[xX]"), from_code(
-                F.conv(F.substr(body, F.lit(3)), 16, 10).cast("int")))
-            .when(F.startswith(ref, F.lit("#")), from_code(F.substr(body, F.lit(2)).cast("int")))
-            .otherwise(F.element_at(named, body))
-        )
-
-    def piece(part: Column, i: Column) -> Column:
-        return F.when(i == 0, part).otherwise(let(
-            F.regexp_extract(part, _ENTITY, 1),
-            lambda ref: F.coalesce(
-                F.when(ref != "", F.concat(decode(ref), F.substr(part, F.length(ref) + F.lit(1)))),
-                F.concat(F.lit("&"), part)),
-        ))
+    return let(c, lambda x: F.when(
+        F.contains(x, F.lit("&")),
+        F.array_join(F.transform(F.split(x, "&", -1), _unescape_piece), ""),
+    ).otherwise(x))
 
-    return F.when(
-        F.contains(c, F.lit("&")),
-        F.array_join(F.transform(F.split(c, "&", -1), piece), ""),
-    ).otherwise(c)
+
+def _from_code(code: Column) -> Column:
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def _decode_ref(ref: Column) -> Column:
+    body = F.rtrim(ref, F.lit(";"))
+    return (
+        F.when(ref.rlike("^#[xX]"), let(
+            F.conv(F.substr(body, F.lit(3)), 16, 10).cast("int"), _from_code))
+        .when(F.startswith(ref, F.lit("#")), let(
+            F.substr(body, F.lit(2)).cast("int"), _from_code))
+        .otherwise(F.element_at(literal_map(_NAMED), body))
+    )
+
+
+def _unescape_piece(part: Column, i: Column) -> Column:
+    """Text after one '&' (the first piece has none in front)."""
+    return F.when(i == 0, part).otherwise(let(
+        F.regexp_extract(part, _ENTITY, 1),
+        lambda ref: F.coalesce(
+            F.when(ref != "", F.concat(_decode_ref(ref),
+                                       F.substr(part, F.length(ref) + F.lit(1)))),
+            F.concat(F.lit("&"), part)),
+    ))
 
 
 def without_blocks(html: Column) -> Column:
@@ -112,10 +121,17 @@ def title_of(markup: Column) -> Column:
     return unescape_html(F.regexp_extract(markup, _TITLE, 1))
 
 
+def _joined_nodes(markup: Column, separator: str) -> Column:
+    """Stripped, non-empty text nodes between tags, joined."""
+    marked = let(markup, lambda x: F.when(
+        F.contains(x, F.lit("<")), F.regexp_replace(x, _NON_TEXT, MARK)).otherwise(x))
+    nodes = F.transform(F.split(unescape_html(marked), MARK, -1), strip)
+    return F.array_join(F.filter(nodes, lambda x: x != ""), separator)
+
+
 def visible_text(html: Column) -> Column:
     """Stripped text nodes joined by one blank, title included."""
-    marked = unescape_html(F.regexp_replace(html, _NON_TEXT, MARK))
-    return strip(F.regexp_replace(marked, _NODE_BREAK, " "))
+    return _joined_nodes(html, " ")
 
 
 def plain_text(html: Column) -> Column:
@@ -125,8 +141,7 @@ def plain_text(html: Column) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """Stripped text nodes of a fragment, joined without a separator."""
-    marked = unescape_html(F.regexp_replace(fragment, _NON_TEXT, MARK))
-    return strip(F.regexp_replace(marked, _NODE_BREAK, ""))
+    return _joined_nodes(fragment, "")
 
 
 def anchors(markup: Column) -> Column:
@@ -135,11 +150,9 @@ def anchors(markup: Column) -> Column:
     ``markup`` is HTML free of comments and scripts (:func:`without_blocks`).
     """
     def parse(a: Column, i: Column) -> Column:
-        return let(F.regexp_extract(a, _ANCHOR_OPEN, 1), lambda attrs: F.struct(
-            i.alias("pos"),
-            F.when(has_attr(attrs, "href"), attr(attrs, "href")).alias("href"),
-            inner_text(F.regexp_extract(a, _ANCHOR_BODY, 1)).alias("text"),
-        ))
+        return F.struct(
+            i.alias("pos"), attr_or_null(a, "href").alias("href"),
+            inner_text(F.regexp_extract(a, _ANCHOR_BODY, 1)).alias("text"))
 
     found = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
     return F.filter(F.transform(found, parse), lambda a: a["href"].isNotNull())
@@ -166,15 +179,15 @@ def tags_with_attr(markup: Column, name: str) -> Column:
     tag = (rf"(?is)<([a-z][^\s/>]*+)(?=[\s/])(?=[^>]*?{name})({_ATTRS})>"
            r"(?=((?:(?!</?\1[\s/>]).)*+))")
     part = lambda g: F.regexp_extract_all(markup, F.lit(tag), F.lit(g))
-    found = F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("body"))
-    kept = F.filter(found, lambda t: has_attr(t["attrs"], name))
+    found = F.transform(
+        F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("body")),
+        lambda t: F.struct(
+            attr_or_null(t["attrs"], name).alias("value"),
+            F.when(F.lower(t["tag"]).isin(_VOID), F.lit("")).otherwise(inner_text(t["body"]))
+            .alias("text")))
     return F.when(
         F.contains(F.lower(markup), F.lit(name)),
-        F.transform(kept, lambda t: F.struct(
-            attr(t["attrs"], name).alias("value"),
-            F.when(F.lower(t["tag"]).isin(_VOID), F.lit("")).otherwise(inner_text(t["body"]))
-            .alias("text"),
-        )),
+        F.filter(found, lambda t: t["value"].isNotNull()),
     ).otherwise(F.array().cast("array<struct<value:string,text:string>>"))
 
 

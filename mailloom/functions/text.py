@@ -8,14 +8,12 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as a Unicode-aware strip() sees it; valid inside [...].
-WS = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# White space as a Unicode-aware strip() sees it; the second form goes inside [...].
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# The look-behind lets a run of inner white space be tried once, not once per
-# character, so stripping stays linear on long runs.
-_STRIP = rf"^[{WS}]++|(?<![{WS}])[{WS}]++$"
+WS = r"\p{IsWhite_Space}\x1c-\x1f"
 _REGEX_SPECIAL = re.compile(r"([\\.^$|?*+()\[\]{}\-])")
 
 
@@ -30,7 +28,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(c, _STRIP, "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def regex_quote(text: str) -> str:
@@ -65,8 +63,9 @@ def is_yes(text: Column) -> Column:
 
 
 def literal_map(values: Mapping[str, str]) -> Column:
-    """A small dictionary as a map literal."""
-    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    """A small dictionary as a map; the engine folds it into one constant."""
+    pairs = "\x02".join(f"{k}\x03{v}" for k, v in values.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x03"))
 
 
 def fill_template(template: Column | str, fields: Mapping[str, Column]) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..constants import DEFAULT_SUFFIXES, SKIP_URL_PARTS
 from .text import contains_any, let
 
-_SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_SPLIT = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
+_CONTROLS = "".join(map(chr, range(0x21)))
 # Schemes whose last path segment may carry ";params", and those that can be
 # the base of a relative link.  Fixed values of the generic URL syntax.
 _PARAM_SCHEMES = ["", "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps",
@@ -31,24 +32,27 @@ def url_parts(u: Column) -> Column:
     Control characters and blanks in front are dropped, as are tabs and line
     breaks anywhere; the scheme is lower-cased.
     """
-    cleaned = F.regexp_replace(F.regexp_replace(u, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    # Line breaks are gone from a cleaned URL, so they can separate the parts:
+    # one pattern run per URL.
+    one_line = F.when(u.rlike(r"[\t\r\n]"), F.translate(u, "\t\r\n", "")).otherwise(u)
+    cleaned = F.ltrim(one_line, F.lit(_CONTROLS))
+    pieces = F.split(F.regexp_replace(cleaned, _SPLIT, "$1\n$2\n$3\n$4\n$5"), "\n", -1)
 
     def build(x: Column) -> Column:
-        scheme = F.lower(F.regexp_extract(x, _SPLIT, 1))
-        whole_path = F.regexp_extract(x, _SPLIT, 3)
-        has_params = scheme.isin(_PARAM_SCHEMES) & F.contains(whole_path, F.lit(";"))
+        scheme = F.lower(x[0])
+        has_params = F.contains(x[2], F.lit(";")) & scheme.isin(_PARAM_SCHEMES)
         return F.struct(
             scheme.alias("scheme"),
-            F.regexp_extract(x, _SPLIT, 2).alias("netloc"),
-            F.when(has_params, F.regexp_replace(whole_path, r"(?s);[^/]*$", ""))
-            .otherwise(whole_path).alias("path"),
-            F.when(has_params, F.regexp_extract(whole_path, r"(?s);([^/]*)$", 1))
+            x[1].alias("netloc"),
+            F.when(has_params, F.regexp_replace(x[2], r"(?s);[^/]*\z", ""))
+            .otherwise(x[2]).alias("path"),
+            F.when(has_params, F.regexp_extract(x[2], r"(?s);([^/]*)\z", 1))
             .otherwise(F.lit("")).alias("params"),
-            F.regexp_extract(x, _SPLIT, 4).alias("query"),
-            F.regexp_extract(x, _SPLIT, 5).alias("fragment"),
+            x[3].alias("query"),
+            x[4].alias("fragment"),
         )
 
-    return let(cleaned, build)
+    return let(pieces, build)
 
 
 def _has_bad_brackets(netloc: Column) -> Column:
@@ -78,19 +82,20 @@ def path_of(u: Column) -> Column:
 
 def normalize_url(u: Column) -> Column:
     """Canonical URL: lower-case scheme, no trailing slashes, no ';params'."""
+    return let(url_parts(u), lambda p: normalize_parts(u, p))
 
-    def build(p: Column) -> Column:
-        path = F.regexp_replace(p["path"], r"(?<!/)/+\z", "")
-        return F.when((p["netloc"] == "") | _has_bad_brackets(p["netloc"]), u).otherwise(
-            F.concat(
-                F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"]),
-                F.lit("://"), p["netloc"],
-                F.when(path == "", F.lit("/")).otherwise(path),
-                _tail(p),
-            )
-        )
 
-    return let(url_parts(u), build)
+def normalize_parts(u: Column, p: Column) -> Column:
+    """As :func:`normalize_url` with the parts of the URL already at hand."""
+    path = F.rtrim(p["path"], F.lit("/"))
+    return F.when((p["netloc"] == "") | _has_bad_brackets(p["netloc"]), u).otherwise(
+        F.concat(
+            F.when(p["scheme"] == "", F.lit("https")).otherwise(p["scheme"]),
+            F.lit("://"), p["netloc"],
+            F.when(path == "", F.lit("/")).otherwise(path),
+            _tail(p),
+        )
+    )
 
 
 def strip_www(host: Column) -> Column:
@@ -117,10 +122,11 @@ def same_base_domain(u1: Column, u2: Column,
     """True where both URLs share a non-empty base domain and a compatible scheme."""
     suffixes = tuple(suffixes)
     return let(url_parts(u1), lambda a: let(url_parts(u2),
-                                            lambda b: _same_site(a, b, suffixes)))
+                                            lambda b: same_site_parts(a, b, suffixes)))
 
 
-def _same_site(a: Column, b: Column, suffixes: Iterable[str]) -> Column:
+def same_site_parts(a: Column, b: Column, suffixes: Iterable[str]) -> Column:
+    """As :func:`same_base_domain` with the parts of both URLs already at hand."""
     base_a = base_domain(a["netloc"], suffixes)
     base_b = base_domain(b["netloc"], suffixes)
     schemes = (a["scheme"] == b["scheme"]) | (
@@ -208,13 +214,14 @@ def _fold_dots(path: Column) -> Column:
         return F.array_join(
             F.when(ends_dotted, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
 
-    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), let(F.split(path, "/", -1), fold)
-                  ).otherwise(path)
+    return let(path, lambda p: F.when(
+        F.contains(p, F.lit(".")) & p.rlike(r"(?:^|/)\.\.?(?:/|\z)"),
+        let(F.split(p, "/", -1), fold)).otherwise(p))
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """Resolve a link against the URL of its page (RFC 3986 style)."""
-    return resolve_parts(base, url_parts(base), href)
+    return let(url_parts(base), lambda b: resolve_parts(base, b, href))
 
 
 def resolve_parts(base: Column, b: Column, href: Column) -> Column:
@@ -228,7 +235,7 @@ def resolve_parts(base: Column, b: Column, href: Column) -> Column:
         folder = F.regexp_replace(b["path"], r"(?s)[^/]*$", "")
         merged = F.regexp_replace(F.concat(folder, p["path"]), r"/{2,}", "/")
         path = _fold_dots(F.when(F.startswith(p["path"], F.lit("/")), p["path"]).otherwise(merged))
-        path = F.when(path == "", F.lit("/")).otherwise(path)
+        path = F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
         stay = (p["path"] == "") & (p["params"] == "")
         stay_parts = F.struct(b["params"].alias("params"), p["fragment"].alias("fragment"))
         return (
@@ -239,7 +246,7 @@ def resolve_parts(base: Column, b: Column, href: Column) -> Column:
             .when(stay, _unparse(
                 scheme, b["netloc"], b["path"], stay_parts,
                 F.when(p["query"] == "", b["query"]).otherwise(p["query"])))
-            .otherwise(_unparse(scheme, b["netloc"], path, p, p["query"]))
+            .otherwise(let(path, lambda x: _unparse(scheme, b["netloc"], x, p, p["query"])))
         )
 
     return let(url_parts(href), build)

@@ -15,6 +15,7 @@ from ..functions import emails as E
 from ..functions import html as H
 from ..functions.text import let, strip
 from ..functions.urls import is_skipped
+from ..session import cut_lineage
 
 _HITS = "array<struct<email:string,pos:int,snippet:string>>"
 
@@ -232,36 +233,36 @@ def consolidate_contacts(occ: DataFrame, seq: str = "seq",
         "found_at",
         F.col(seq).alias("seq"),
     )
-    pairs = rows.groupBy("email", "source_url").agg(
+    # Stored once: three readers follow, and the scan behind it is the big part.
+    pairs = cut_lineage(rows.groupBy("email", "source_url").agg(
         F.min(F.struct("seq", "domain")).alias("first"),
         F.min("found_at").alias("found_at"),
-    )
+    ))
     heads = [F.min("first")["domain"].alias("domain"), F.min("found_at").alias("first_seen")]
     source = F.when(F.col("source_url").isNotNull(),
                     F.struct(F.col("first.seq").alias("seq"), "source_url"))
     in_order = F.transform(F.array_sort(F.collect_list(source)), lambda s: s["source_url"])
 
-    hot = (
+    hot = cut_lineage(
         pairs.groupBy("email").agg(*heads, F.count("source_url").alias("n"))
-        .where(F.col("n") > max_sources).drop("n")
-    )
-    single = (
-        pairs.join(hot, "email", "left_anti").groupBy("email")
-        .agg(*heads, in_order.alias("sources")).withColumn("part", F.lit(0).cast("long"))
-    )
-    split = (
-        pairs.where(F.col("source_url").isNotNull())
-        .join(hot, "email").drop("found_at")
-        .withColumn("seq", F.col("first.seq"))
-        .repartitionByRange("email", "seq", "source_url")
-        .sortWithinPartitions("email", "seq", "source_url")
-        .withColumn("place", F.monotonically_increasing_id())
-        .withColumn("part", F.col("place") - F.pmod(F.col("place"), F.lit(max_sources)))
-        .groupBy("email", "part")
-        .agg(F.first("domain").alias("domain"), F.first("first_seen").alias("first_seen"),
-             in_order.alias("sources"))
-    )
-    return single.unionByName(split).select(
+        .where(F.col("n") > max_sources).drop("n"))
+    split_any = not hot.isEmpty()
+    cold = pairs.join(hot, "email", "left_anti") if split_any else pairs
+    out = cold.groupBy("email").agg(*heads, in_order.alias("sources")).withColumn(
+        "part", F.lit(0).cast("long"))
+    if split_any:
+        place = F.monotonically_increasing_id()
+        out = out.unionByName(
+            pairs.where(F.col("source_url").isNotNull()).join(hot, "email")
+            .withColumn("seq", F.col("first.seq"))
+            .repartitionByRange("email", "seq", "source_url")
+            .sortWithinPartitions("email", "seq", "source_url")
+            .withColumn("place", place)
+            .withColumn("part", F.col("place") - F.pmod(F.col("place"), F.lit(max_sources)))
+            .groupBy("email", "part")
+            .agg(F.first("domain").alias("domain"), F.first("first_seen").alias("first_seen"),
+                 in_order.alias("sources")))
+    return out.select(
         "email", "domain", "first_seen", "sources",
         F.lit("false").alias("verified"), F.lit("unknown").alias("status"),
         F.lit("").alias("notes"), "part",

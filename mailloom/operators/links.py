@@ -48,29 +48,31 @@ def is_teacher_page(u: Column) -> Column:
         F.lower(path), PERSON_PAGE_EXCLUDES)
 
 
-def _resolved(anchor_list: Column, page_url: Column) -> Column:
-    """Anchors with resolved and canonical URLs; login and non-web links dropped."""
+def _resolved(anchor_list: Column, page_url: Column, suffixes: Iterable[str]) -> Column:
+    """Anchors with their canonical URL; login and non-web links dropped."""
 
     def each(a: Column, base: Column) -> Column:
-        return let(U.resolve_parts(page_url, base, a["href"]), lambda full: F.struct(
-            a["pos"].alias("pos"), a["href"].alias("href"), full.alias("full_url"),
-            U.normalize_url(full).alias("url"), F.lower(a["text"]).alias("text")))
+        def build(full: Column) -> Column:
+            return let(U.url_parts(full), lambda p: F.struct(
+                U.normalize_parts(full, p).alias("url"), a["pos"].alias("pos"),
+                a["href"].alias("href"), F.lower(a["text"]).alias("text"),
+                U.same_site_parts(base, p, suffixes).alias("same_site"),
+                p["scheme"].isin("http", "https", "").alias("web")))
+
+        return let(U.resolve_parts(page_url, base, a["href"]), build)
 
     kept = F.filter(anchor_list, lambda a: ~U.is_skipped(a["href"]))
     found = let(U.url_parts(page_url), lambda b: F.transform(kept, lambda a: each(a, b)))
-    return F.filter(found, lambda x: U.scheme_of(x["full_url"]).isin("http", "https", ""))
+    return F.filter(found, lambda x: x["web"])
 
 
 def _first_per_url(found: Column) -> Column:
     """First link per canonical URL, in page order; sorts inside the row."""
-    by_url = F.array_sort(F.transform(found, lambda x: F.struct(
-        x["url"].alias("url"), x["pos"].alias("pos"), x["href"].alias("href"),
-        x["text"].alias("text"))))
-    firsts = let(by_url, lambda a: F.filter(a, lambda x, i: (i == 0) | (
+    firsts = let(F.array_sort(found), lambda a: F.filter(a, lambda x, i: (i == 0) | (
         x["url"] != F.get(a, i - 1)["url"])))
     return F.array_sort(F.transform(firsts, lambda x: F.struct(
         x["pos"].alias("pos"), x["url"].alias("url"), x["href"].alias("href"),
-        x["text"].alias("text"))))
+        x["text"].alias("text"), x["same_site"].alias("same_site"))))
 
 
 def _text_urls(html: Column, suffixes: Iterable[str]) -> Column:
@@ -80,7 +82,7 @@ def _text_urls(html: Column, suffixes: Iterable[str]) -> Column:
     pattern = rf"(?i)https?://{stop}+\.(?:{ends}){stop}*+"
     found = F.regexp_extract_all(H.plain_text(html), F.lit(pattern), F.lit(0))
     return F.when(
-        F.contains(F.lower(html), F.lit("http")),
+        F.contains(html, F.lit("://")),
         F.array_distinct(F.transform(found, U.normalize_url)),
     ).otherwise(F.array().cast("array<string>"))
 
@@ -91,18 +93,19 @@ def page_links(html: Column, page_url: Column, suffixes: Iterable[str]) -> Colum
 
     def build(anchored: Column) -> Column:
         seen = F.transform(anchored, lambda x: x["url"])
-        written = F.array_except(_text_urls(html, suffixes), seen)
-        both = F.concat(
-            F.transform(anchored, lambda x: F.struct(
+        written = F.filter(F.array_except(_text_urls(html, suffixes), seen),
+                           lambda u: U.same_base_domain(page_url, u, suffixes))
+        return F.concat(
+            F.transform(F.filter(anchored, lambda x: x["same_site"]), lambda x: F.struct(
                 F.lit("anchor").alias("source"), x["url"].alias("url"),
                 x["href"].alias("href"), x["text"].alias("text"))),
             F.transform(written, lambda u: F.struct(
                 F.lit("text").alias("source"), u.alias("url"), u.alias("href"),
                 F.lit("").alias("text"))),
         )
-        return F.filter(both, lambda x: U.same_base_domain(page_url, x["url"], suffixes))
 
-    return let(_first_per_url(_resolved(H.anchors(H.without_blocks(html)), page_url)), build)
+    found = _resolved(H.anchors(H.without_blocks(html)), page_url, suffixes)
+    return let(_first_per_url(found), build)
 
 
 def extract_links(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,

@@ -11,7 +11,7 @@ from ..constants import (
     BOUNCE_CLASS, CLASS_SLUGS, FOLLOW_UP_ACTIONS, REPLY_RULES, SUPPRESSING_CLASSES, UNKNOWN_CLASS,
 )
 from ..functions.emails import is_valid_email, normalize_email
-from ..functions.text import any_of, contains_any, literal_map
+from ..functions.text import any_of, contains_any, literal_map, regex_quote
 
 Rules = Sequence[tuple[str, Sequence[str]]]
 
@@ -29,17 +29,42 @@ def message_text(subject: Column, body: Column) -> Column:
                             F.coalesce(body, F.lit(""))))
 
 
+def _first_keyword_pattern(rules: Rules) -> str:
+    """Group 1 is, at each word start, the keyword of the best rule that matches there.
+
+    Keywords are tried in rule order; grouping them by first character keeps
+    that order among those that can match at the same place.
+    """
+    groups: dict[str, list[str]] = {}
+    for _, keywords in rules:
+        for word in keywords:
+            groups.setdefault(word[0], []).append(word[1:])
+    words = "|".join(regex_quote(c) + any_of(rest) for c, rest in groups.items())
+    return f"(?<![A-Za-z0-9_])(?=({words})(?![A-Za-z0-9_]))"
+
+
 def reply_class(text: Column, rules: Rules = REPLY_RULES, status: Column | None = None) -> Column:
     """Class of a lower-cased message: first matching rule, else Unknown.
 
-    A delivery status of 'Bounced' decides before any keyword.
+    One pass over the text finds the best keyword at every word start; the
+    best rule among them decides.  A delivery status of 'Bounced' comes before
+    any keyword.
     """
-    out = F
-    if status is not None:
-        out = out.when(status == "Bounced", F.lit(BOUNCE_CLASS))
-    for name, keywords in rules:
-        out = out.when(text.rlike(rule_pattern(keywords)), F.lit(name))
-    return F.lit(UNKNOWN_CLASS) if out is F else out.otherwise(F.lit(UNKNOWN_CLASS))
+    rank: dict[str, str] = {}
+    for i, (_, keywords) in enumerate(rules):
+        for word in keywords:
+            rank.setdefault(word, str(i))
+    if rank:
+        ranks = literal_map(rank)
+        found = F.regexp_extract_all(text, F.lit(_first_keyword_pattern(rules)), F.lit(1))
+        best = F.array_min(F.transform(found, lambda w: F.element_at(ranks, w).cast("int")))
+        names = F.array(*[F.lit(name) for name, _ in rules])
+        by_text = F.coalesce(F.get(names, best), F.lit(UNKNOWN_CLASS))
+    else:
+        by_text = F.lit(UNKNOWN_CLASS)
+    if status is None:
+        return by_text
+    return F.when(status == "Bounced", F.lit(BOUNCE_CLASS)).otherwise(by_text)
 
 
 def classify_replies(msgs: DataFrame, rules: Rules = REPLY_RULES, subject: str = "subject",
