@@ -66,6 +66,11 @@ def attr_or_null(tag: Column, name: str) -> Column:
     return let(F.regexp_extract(tag, _attr_pattern(name), 1), value)
 
 
+def _attr_of_tag(tag: Column, name: str) -> Column:
+    """As :func:`attr_or_null` for a whole tag: its own name is no attribute."""
+    return attr_or_null(F.regexp_replace(tag, r"^<[^\s/>]*+", ""), name)
+
+
 def attr(tag: Column, name: str) -> Column:
     """Value of an attribute, entities decoded; '' if it is absent."""
     return F.coalesce(attr_or_null(tag, name), F.lit(""))
@@ -176,15 +181,13 @@ def tags_with_attr(markup: Column, name: str) -> Column:
 
     The text runs to the next tag of the same name; void elements have none.
     """
-    tag = (rf"(?is)<([a-z][^\s/>]*+)(?=[\s/])(?=[^>]*?{name})({_ATTRS})>"
+    tag = (rf"(?is)<([a-z][^\s/>]*+)(?=[\s/])(?=[^>]*?{name}){_ATTRS}>"
            r"(?=((?:(?!</?\1[\s/>]).)*+))")
+    void = rf"(?i)^<(?:{'|'.join(_VOID)})[\s/]"
     part = lambda g: F.regexp_extract_all(markup, F.lit(tag), F.lit(g))
-    found = F.transform(
-        F.arrays_zip(part(1).alias("tag"), part(2).alias("attrs"), part(3).alias("body")),
-        lambda t: F.struct(
-            attr_or_null(t["attrs"], name).alias("value"),
-            F.when(F.lower(t["tag"]).isin(_VOID), F.lit("")).otherwise(inner_text(t["body"]))
-            .alias("text")))
+    found = F.zip_with(part(0), part(2), lambda t, body: F.struct(
+        _attr_of_tag(t, name).alias("value"),
+        F.when(t.rlike(void), F.lit("")).otherwise(inner_text(body)).alias("text")))
     return F.when(
         F.contains(F.lower(markup), F.lit(name)),
         F.filter(found, lambda t: t["value"].isNotNull()),

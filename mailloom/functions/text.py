@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Hashable, Iterable, Mapping
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +27,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_BUILT: dict[Hashable, Column] = {}
+
+
+def built_once(key: Hashable, build: Callable[[], Column]) -> Column:
+    """A large expression over fixed column names, built once per Spark context.
+
+    Expressions are immutable and not tied to a table; building one with
+    thousands of nodes takes seconds, which would be paid in every micro-batch.
+    """
+    context = SparkContext._active_spark_context
+    full_key = (None if context is None else context.applicationId, key)
+    if full_key not in _BUILT:
+        for old in [k for k in _BUILT if k[0] != full_key[0]]:
+            del _BUILT[old]
+        _BUILT[full_key] = build()
+    return _BUILT[full_key]
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode white space."""
     return F.btrim(c, F.lit(WS_CHARS))

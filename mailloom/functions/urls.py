@@ -2,6 +2,10 @@
 
 Any string is accepted: text that is no URL passes through unchanged where a
 canonical form is asked for, and never raises.
+
+Each function mentions its arguments once and binds them with :func:`let`:
+the optimizer substitutes columns by their definition when it moves filters,
+and an argument mentioned five times would then be computed five times.
 """
 
 from __future__ import annotations
@@ -34,7 +38,8 @@ def url_parts(u: Column) -> Column:
     """
     # Line breaks are gone from a cleaned URL, so they can separate the parts:
     # one pattern run per URL.
-    one_line = F.when(u.rlike(r"[\t\r\n]"), F.translate(u, "\t\r\n", "")).otherwise(u)
+    one_line = let(u, lambda x: F.when(
+        x.rlike(r"[\t\r\n]"), F.translate(x, "\t\r\n", "")).otherwise(x))
     cleaned = F.ltrim(one_line, F.lit(_CONTROLS))
     pieces = F.split(F.regexp_replace(cleaned, _SPLIT, "$1\n$2\n$3\n$4\n$5"), "\n", -1)
 
@@ -82,7 +87,7 @@ def path_of(u: Column) -> Column:
 
 def normalize_url(u: Column) -> Column:
     """Canonical URL: lower-case scheme, no trailing slashes, no ';params'."""
-    return let(url_parts(u), lambda p: normalize_parts(u, p))
+    return let(u, lambda x: let(url_parts(x), lambda p: normalize_parts(x, p)))
 
 
 def normalize_parts(u: Column, p: Column) -> Column:
@@ -106,15 +111,16 @@ def strip_www(host: Column) -> Column:
 def base_domain(host: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> Column:
     """Last two labels when the last label is a known suffix, else the whole host."""
     labels = [s.lstrip(".") for s in suffixes]
-    known = F.contains(host, F.lit(".")) & F.substring_index(host, ".", -1).isin(labels)
-    return F.when(known, F.substring_index(host, ".", -2)).otherwise(host)
+    return let(host, lambda h: F.when(
+        F.contains(h, F.lit(".")) & F.substring_index(h, ".", -1).isin(labels),
+        F.substring_index(h, ".", -2)).otherwise(h))
 
 
 def is_subdomain(host: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> Column:
     """True where the host (without 'www.') has more labels than its base domain."""
-    bare = strip_www(host)
-    dots = lambda c: F.length(c) - F.length(F.replace(c, F.lit("."), F.lit("")))
-    return dots(bare) > dots(base_domain(bare, suffixes))
+    # The base domain is the host or the end of it.
+    return let(strip_www(host),
+               lambda h: F.length(h) > F.length(base_domain(h, suffixes)))
 
 
 def same_base_domain(u1: Column, u2: Column,
@@ -127,37 +133,36 @@ def same_base_domain(u1: Column, u2: Column,
 
 def same_site_parts(a: Column, b: Column, suffixes: Iterable[str]) -> Column:
     """As :func:`same_base_domain` with the parts of both URLs already at hand."""
-    base_a = base_domain(a["netloc"], suffixes)
-    base_b = base_domain(b["netloc"], suffixes)
+    same_base = let(base_domain(a["netloc"], suffixes), lambda x: (x != "") & (
+        x == base_domain(b["netloc"], suffixes)))
     schemes = (a["scheme"] == b["scheme"]) | (
         a["scheme"].isin(_WEB_SCHEMES) & b["scheme"].isin(_WEB_SCHEMES))
     valid = ~_has_bad_brackets(a["netloc"]) & ~_has_bad_brackets(b["netloc"])
-    return (base_a != "") & (base_a == base_b) & schemes & valid
+    return same_base & schemes & valid
 
 
 def scheme_family(u: Column) -> Column:
     """Join key for scheme agreement: the web schemes count as one."""
-    s = scheme_of(u)
-    return F.when(s.isin(_WEB_SCHEMES), F.lit("web")).otherwise(s)
+    return let(scheme_of(u), lambda s: F.when(s.isin(_WEB_SCHEMES), F.lit("web")).otherwise(s))
 
 
 def ensure_https(u: Column) -> Column:
     """Upgrade http and scheme-less URLs that name a host to https."""
 
-    def build(p: Column) -> Column:
+    def build(x: Column, p: Column) -> Column:
         path = F.when((p["path"] == "") & (p["query"] != ""), F.lit("/")).otherwise(p["path"])
         upgrade = (p["netloc"] != "") & p["scheme"].isin("", "http") & ~_has_bad_brackets(
             p["netloc"])
         return F.when(upgrade, F.concat(F.lit("https://"), p["netloc"], path, _tail(p))
-                      ).otherwise(u)
+                      ).otherwise(x)
 
-    return let(url_parts(u), build)
+    return let(u, lambda x: let(url_parts(x), lambda p: build(x, p)))
 
 
 def www_variants(u: Column) -> Column:
     """array(url, the same url with 'www.' added or removed)."""
 
-    def build(p: Column) -> Column:
+    def build(x: Column, p: Column) -> Column:
         other = F.when(F.startswith(p["netloc"], F.lit("www.")), strip_www(p["netloc"])).otherwise(
             F.concat(F.lit("www."), p["netloc"]))
         variant = F.concat(
@@ -167,9 +172,9 @@ def www_variants(u: Column) -> Column:
             _tail(p),
         )
         no_variant = (p["netloc"] == "") | _has_bad_brackets(p["netloc"])
-        return F.when(no_variant, F.array(u)).otherwise(F.array(u, variant))
+        return F.when(no_variant, F.array(x)).otherwise(F.array(x, variant))
 
-    return let(url_parts(u), build)
+    return let(u, lambda x: let(url_parts(x), lambda p: build(x, p)))
 
 
 def path_segments(u: Column) -> Column:
@@ -221,7 +226,8 @@ def _fold_dots(path: Column) -> Column:
 
 def resolve_url(base: Column, href: Column) -> Column:
     """Resolve a link against the URL of its page (RFC 3986 style)."""
-    return let(url_parts(base), lambda b: resolve_parts(base, b, href))
+    return let(base, lambda x: let(url_parts(x), lambda b: let(
+        href, lambda h: resolve_parts(x, b, h))))
 
 
 def resolve_parts(base: Column, b: Column, href: Column) -> Column:

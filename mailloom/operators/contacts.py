@@ -13,7 +13,7 @@ from ..constants import (
 )
 from ..functions import emails as E
 from ..functions import html as H
-from ..functions.text import let, strip
+from ..functions.text import built_once, let, strip
 from ..functions.urls import is_skipped
 from ..session import cut_lineage
 
@@ -141,6 +141,15 @@ def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
     return let(H.without_blocks(html), build)
 
 
+def page_hits_of(html: str, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
+                 exclude: Iterable[str] | None = ROLE_PATTERNS) -> Column:
+    """:func:`page_hits` of a named column."""
+    suffixes = tuple(suffixes)
+    exclude = None if exclude is None else tuple(exclude)
+    return built_once(("page_hits", html, suffixes, exclude),
+                      lambda: page_hits(F.col(html), suffixes, exclude))
+
+
 def extract_contacts(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
                      exclude: Iterable[str] | None = ROLE_PATTERNS,
                      found_at: Column | None = None,
@@ -155,7 +164,7 @@ def extract_contacts(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXE
     carried = [F.col(c) for c in keep]
     per_page = pages.where(E.may_hold_address(F.col("html"))).select(
         *carried, F.col("url").alias("source_url"), found.alias("found_at"),
-        page_hits(F.col("html"), suffixes, exclude).alias("found"))
+        page_hits_of("html", suffixes, exclude).alias("found"))
     rows = per_page.select(
         *carried, "source_url", "found_at", F.col("found.title").alias("title"),
         F.explode_outer("found.hits").alias("hit"),
@@ -329,7 +338,7 @@ def page_diagnostics(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXE
     per_page = pages.select(
         *keep, "url", F.length(html).alias("html_length"),
         H.visible_text(html).alias("text"),
-        F.when(E.may_hold_address(html), page_hits(html, suffixes, exclude)).alias("found"),
+        F.when(E.may_hold_address(html), page_hits_of("html", suffixes, exclude)).alias("found"),
         H.page_title(html).alias("title"),
     )
     n_emails = F.coalesce(F.size(F.col("found.hits")), F.lit(0))

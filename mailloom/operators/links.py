@@ -15,7 +15,7 @@ from ..constants import (
 )
 from ..functions import html as H
 from ..functions import urls as U
-from ..functions.text import WS, contains_any, let, regex_quote
+from ..functions.text import WS, built_once, contains_any, let, regex_quote
 
 # Output order of the classes; pagination and priority links share a place.
 CLASS_RANK = {
@@ -115,9 +115,11 @@ def extract_links(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
     ``seq`` counts from 0 in page order; URLs found in the text follow the
     anchors.
     """
+    suffixes = tuple(suffixes)
+    found = built_once(("page_links", suffixes),
+                       lambda: page_links(F.col("html"), F.col("url"), suffixes))
     rows = pages.select(
-        *keep, F.col("url").alias("page_url"),
-        F.posexplode_outer(page_links(F.col("html"), F.col("url"), suffixes)).alias("seq", "link"),
+        *keep, F.col("url").alias("page_url"), F.posexplode_outer(found).alias("seq", "link"),
     ).where(F.col("link").isNotNull())
     if not include_text:
         rows = rows.where(F.col("link.source") == "anchor")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.readers import read_table
+from ..sources.readers import spread
 
 SUFFIXES = (".com", ".net", ".org")
 CAMPAIGN = "launch"
@@ -85,8 +85,25 @@ REPLY_SUBJECT = f"CASE WHEN {K} % 10 = 9 THEN 'Lunch' ELSE 'Re: Opportunity' END
 REPLY_BODY = phrase_sql(K)
 
 
+# Known schemas spare each query the jobs that infer them.
+_SCHEMAS = {
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "pages")
+    return spread(read_table(spark, sf, "pages"))
 
 
 def marked_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +139,7 @@ def page_time() -> Column:
 
 def conversations_as_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Whole conversation turns, each ending with one of the phrases."""
-    return read_table(spark, sf, "conversations").select(
+    return spread(read_table(spark, sf, "conversations")).select(
         "conv_id", "turn", F.col("role").alias("subject"),
         F.expr(f"text || ' ' || {phrase_sql('conv_id + turn')}").alias("body"))
 

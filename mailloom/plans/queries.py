@@ -195,7 +195,7 @@ def page_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
 # --- Contacts -------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return RD.read_table(spark, sf, "documents").select(
+    return RD.spread(I.read_table(spark, sf, "documents")).select(
         "doc_id", "text", F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"))
 
 
@@ -309,7 +309,7 @@ def _odd_addresses(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("vr."), F.col("c_mktsegment")))
     )
     at = F.when(F.col("c_custkey") % 13 == 0, "").otherwise("@")
-    return RD.read_table(spark, sf, "customer").select(
+    return I.read_table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit(" "), local, at, F.lit("u.example.org ")).alias("email"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..constants import DEFAULT_SUFFIXES, REPLY_RULES, ROLE_PATTERNS
 from ..functions.emails import may_hold_address
 from ..functions.urls import is_skipped, normalize_url
-from ..operators.contacts import occurrence_rows, page_hits
+from ..operators.contacts import occurrence_rows, page_hits_of
 from ..operators.replies import (
     Rules, classify_replies, enrich_replies, select_replies, validate_unsubscribes,
 )
@@ -166,7 +166,7 @@ def contact_stream(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
     html = F.col("html")
     reduced = pages.select(
         "url", F.col("url").alias("source_url"), when.alias("found_at"),
-        F.when(may_hold_address(html), page_hits(html, suffixes, exclude)).alias("found"))
+        F.when(may_hold_address(html), page_hits_of("html", suffixes, exclude)).alias("found"))
     rows = unique_pages(reduced, None if found_at is None else "found_at").select(
         "source_url", "found_at", F.col("found.title").alias("title"),
         F.explode_outer("found.hits").alias("hit"),
