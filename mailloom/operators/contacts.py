@@ -102,6 +102,11 @@ def emails_visible(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) ->
     return let(H.visible_text(html), lambda t: E.find_emails(t, tuple(suffixes)))
 
 
+def _no_first_hits() -> Column:
+    return F.array().cast(
+        "array<struct<email:string,rank:int,method:string,snippet:string>>")
+
+
 def _first_hits(hits: Column) -> Column:
     """First hit per address, by sorting inside the row: no shuffle."""
     ranked = F.array_sort(F.transform(hits, lambda h, i: F.struct(
@@ -112,7 +117,8 @@ def _first_hits(hits: Column) -> Column:
 
 
 def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
-              exclude: Iterable[str] | None = ROLE_PATTERNS) -> Column:
+              exclude: Iterable[str] | None = ROLE_PATTERNS,
+              text: Column | None = None) -> Column:
     """struct(title, hits) of a page; all five extractors share one pass.
 
     Order of precedence: mailto, data attribute, meta, visible text, script.
@@ -130,7 +136,8 @@ def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
             tagged(_mailto(markup, suffixes), "mailto_link"),
             tagged(_data_attr(markup, suffixes), "data_attribute"),
             tagged(_meta(markup, suffixes), "meta_tag"),
-            tagged(emails_visible(html, suffixes), "regex_html"),
+            tagged(emails_visible(html, suffixes) if text is None
+                   else E.find_emails(text, suffixes), "regex_html"),
             tagged(_script(html, suffixes), "script_tag"),
         )
         if exclude is not None:
@@ -335,12 +342,20 @@ def page_diagnostics(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXE
     count = lambda c, s: F.size(F.split(c, s, -1)) - 1
     suffix_hits = F.size(F.regexp_extract_all(text, F.lit(r"\.(?:" + "|".join(
         s.lstrip(".") for s in suffixes) + ")"), F.lit(0)))
+    exclude = None if exclude is None else tuple(exclude)
+
+    def read_page() -> Column:
+        """Text, title and hits; the text is made once for all uses."""
+        return let(H.visible_text(html), lambda t: F.struct(
+            t.alias("text"),
+            F.when(E.may_hold_address(html), page_hits(html, suffixes, exclude, t))
+            .otherwise(F.struct(H.page_title(html).alias("title"), _no_first_hits().alias("hits")))
+            .alias("found")))
+
+    page = built_once(("diagnostics", suffixes, exclude), read_page)
     per_page = pages.select(
-        *keep, "url", F.length(html).alias("html_length"),
-        H.visible_text(html).alias("text"),
-        F.when(E.may_hold_address(html), page_hits_of("html", suffixes, exclude)).alias("found"),
-        H.page_title(html).alias("title"),
-    )
+        *keep, "url", F.length(html).alias("html_length"), page.alias("page"),
+    ).select(*keep, "url", "html_length", "page.text", "page.found", "page.found.title")
     n_emails = F.coalesce(F.size(F.col("found.hits")), F.lit(0))
     n_emails = F.when(n_emails < 0, 0).otherwise(n_emails)
     flagged = per_page.select(

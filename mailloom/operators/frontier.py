@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import LINKS_PER_LEVEL, MAX_PAGES_PER_SEED, QUEUE_FACTOR
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stored, store_bucketed
 from .skew import top_k_per_group
 
 # Order of waiting links: older levels first, then class, page and position.
@@ -34,12 +34,22 @@ def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
     stored, so its plan does not grow and lost executors recompute only it.
     """
     spark = starts.sparkSession
+    # Several captures of one page count as one; merging them before the shuffle
+    # keeps a much-copied page from filling one bucket.
+    once = edges.groupBy("src", "dst").agg(F.min(F.struct("class_rank", "class_seq")).alias("o"))
+    # Stored once, in buckets of the join key: a level only moves its own links.
+    stored = (store_bucketed(pages.select("url").distinct(), "url"),
+              store_bucketed(once.select("src", "dst", "o.class_rank", "o.class_seq"), "src"))
+    try:
+        return _walk(starts, *map(spark.table, stored), max_pages, per_level, max_levels,
+                     queue_factor)
+    finally:
+        drop_stored(spark, *stored)
+
+
+def _walk(starts: DataFrame, captured: DataFrame, links: DataFrame, max_pages: int | None,
+          per_level: int | None, max_levels: int | None, queue_factor: int | None) -> DataFrame:
     order = [F.col(c) for c in _ORDER]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Stored hash-partitioned by join key: later levels only move their links.
-    captured = cut_lineage(pages.select("url").repartition(n, "url"))
-    links = cut_lineage(
-        edges.select("src", "dst", "class_rank", "class_seq").repartition(n, "src"))
     waiting = cut_lineage(starts.select(
         "seed", "url", F.lit(0).alias("found_level"), F.lit(0).alias("class_rank"),
         F.lit("").alias("src"), F.lit(0).alias("class_seq")))

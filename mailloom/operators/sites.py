@@ -87,9 +87,12 @@ def start_set(seeds: DataFrame, pages: DataFrame,
     suffixes = tuple(suffixes)
     norm = seeds.select(U.normalize_url(F.col("seed")).alias("seed")).distinct()
     roots = norm.where(~U.is_subdomain(U.host_of(F.col("seed")), suffixes))
-    main_pages = pages.withColumn("seed", U.normalize_url(F.col("url"))).join(
-        roots, "seed", "left_semi")
-    linked = subdomain_links(main_pages, suffixes, keep=("seed",)).select("seed", "url")
+    # Links are taken inside the page rows and joined afterwards, so that no
+    # HTML is shuffled; only pages that can be a root seed are looked at.
+    on_root = pages.where(~U.is_subdomain(U.host_of(F.col("url")), suffixes))
+    linked = subdomain_links(on_root, suffixes, keep=()).select(
+        U.normalize_url(F.col("page_url")).alias("seed"), "url").join(
+            roots, "seed", "left_semi")
     return (
         norm.select("seed", F.col("seed").alias("url"))
         .unionByName(candidate_subdomains(roots, prefixes, suffixes))

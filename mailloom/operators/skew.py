@@ -42,8 +42,12 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = "row_inde
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Rows equal in ``order`` are told apart by their content, so the position
+    # does not depend on the partitioning and equal keys need not share a task.
+    by = [*order, "_tie"]
     placed = cut_lineage(
-        df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(n, *by).sortWithinPartitions(*by).drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
     part = F.shiftright("_place", _INDEX_BITS)

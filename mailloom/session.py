@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,9 @@ def build_session(app_name: str = "mailloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # State of seen URLs outgrows executor memory; keep it on local disk.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     } | {k: str(v) for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -48,6 +52,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def store_bucketed(df: DataFrame, key: str) -> str:
+    """Store a table in buckets of ``key``; returns its name in the catalog.
+
+    Joins on the key then move only their other side.  The table is external,
+    in the shared folder; :func:`drop_stored` forgets it.
+    """
+    spark = df.sparkSession
+    name = f"mailloom_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key)
+       .option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
+    return name
+
+
+def drop_stored(spark: SparkSession, *tables: str) -> None:
+    for name in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store a result reliably and continue from the stored copy."""
     spark = df.sparkSession
