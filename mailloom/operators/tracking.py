@@ -49,6 +49,7 @@ def fold_replies(replies: DataFrame, tie: str = "message_id") -> DataFrame:
             .alias("demo_date"),
             F.when(F.col("classification") == "Customer", F.col("received_date"))
             .alias("customer_date"),
+            (F.col("classification") == "Unsubscribe").alias("unsubscribed"),
         ))
 
 
@@ -59,12 +60,13 @@ def _reply_aggregate(rows: DataFrame) -> DataFrame:
         F.sum("reply_count").alias("reply_count"),
         F.min("demo_date").alias("demo_date"),
         F.min("customer_date").alias("customer_date"),
+        F.bool_or("unsubscribed").alias("unsubscribed"),
     )
     return folded.select(
         "email", F.col("last.received_date").alias("reply_date"),
         F.col("last.classification").alias("classification"),
         F.col("last.tie").alias("last_message_id"),
-        "first_reply_date", "reply_count", "demo_date", "customer_date")
+        "first_reply_date", "reply_count", "demo_date", "customer_date", "unsubscribed")
 
 
 def merge_reply_folds(folds: DataFrame) -> DataFrame:
@@ -97,18 +99,28 @@ def build_master(log: DataFrame, opens: DataFrame, replies: DataFrame,
     row per key before its join, so no join multiplies rows and a hot address
     is reduced on the map side.
     """
+    return master_from_folds(log, fold_opens(opens), fold_replies(replies), status, recipients,
+                             customers, demos)
+
+
+def master_from_folds(log: DataFrame, opens: DataFrame, replies: DataFrame,
+                      status: DataFrame | None = None, recipients: DataFrame | None = None,
+                      customers: DataFrame | None = None,
+                      demos: DataFrame | None = None) -> DataFrame:
+    """As :func:`build_master` from folded opens and replies, such as streams keep."""
     sends = log.groupBy(normalize_email(F.col("email")).alias("email")).agg(
         F.min("sent_date").alias("sent_date"),
         F.min(F.struct("sent_date", "tracking_id"))["tracking_id"].alias("tracking_id"))
     states = log.select("email", F.coalesce("status", F.lit("Sent")).alias("status"))
     if status is not None:
         states = states.unionByName(status.select("email", "status"))
-    unsubscribed = replies.where(F.col("classification") == "Unsubscribe").select(
-        "email", F.lit("Unsubscribed").alias("status"))
+    unsubscribed = F.coalesce("unsubscribed", F.lit(False))
+    # The one join by tracking_id comes first; all others share the address.
     out = (
-        sends.join(fold_status(states.unionByName(unsubscribed)), "email", "left")
-        .join(fold_opens(opens), "tracking_id", "left")
-        .join(fold_replies(replies), "email", "left")
+        sends.join(opens, "tracking_id", "left")
+        .join(fold_status(states), "email", "left")
+        .join(replies, "email", "left")
+        .withColumn("status", F.when(unsubscribed, "Unsubscribed").otherwise(F.col("status")))
     )
     if recipients is not None:
         out = out.join(unique_recipients(recipients.select("email", "name", "university")),
@@ -137,16 +149,15 @@ def update_master(master: DataFrame, replies: DataFrame) -> DataFrame:
     new = fold_replies(replies).select(
         "email", F.col("reply_date").alias("n_date"), F.col("classification").alias("n_class"),
         F.col("first_reply_date").alias("n_first"), F.col("demo_date").alias("n_demo"),
-        F.col("customer_date").alias("n_customer"))
+        F.col("customer_date").alias("n_customer"), F.col("unsubscribed").alias("n_unsubscribed"))
     j = master.join(new, "email", "left")
     newer = F.col("n_date").isNotNull() & (
         F.col("reply_date").isNull() | (F.col("n_date") >= F.col("reply_date")))
-    unsubscribed = newer & (F.col("n_class") == "Unsubscribe")
     updated = {
         "replied": F.col("replied") | F.col("n_date").isNotNull(),
         "classification": F.when(newer, F.col("n_class")).otherwise(F.col("classification")),
         "reply_date": F.when(newer, F.col("n_date")).otherwise(F.col("reply_date")),
-        "status": F.when(unsubscribed, "Unsubscribed").otherwise(F.col("status")),
+        "status": F.when(F.col("n_unsubscribed"), "Unsubscribed").otherwise(F.col("status")),
         "demo_scheduled": F.col("demo_scheduled") | F.col("n_demo").isNotNull(),
         "demo_date": F.least("demo_date", "n_demo"),
         "customer": F.col("customer") | F.col("n_customer").isNotNull(),

@@ -72,8 +72,6 @@ LINK_FRAGMENT = " || ".join([
 ])
 LINKED_HTML = f"html || {LINK_FRAGMENT}"
 
-PAGE_TIME = "TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 SECOND * page_id"
-
 
 def user_email_sql(key: str) -> str:
     return f"'c' || {_s(key)} || '.u@site' || {_s(f'{key} % 25')} || '.example.com'"

@@ -728,6 +728,26 @@ def stream_reply_fold(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(out, "reply_date", "first_reply_date", "demo_date", "customer_date")
 
 
+@query
+def stream_master(spark: SparkSession, sf: str) -> DataFrame:
+    """The tracking table from what an open stream and a reply stream have stored."""
+    base = _fresh(spark, "live")
+    email = F.expr(I.user_email_sql("user_id"))
+    opened = _event_stream(spark, sf, "view").select(
+        F.sha2(F.concat(F.lit(I.CAMPAIGN + "|"), email), 256).alias("tracking_id"), "ts")
+    running = [
+        ST.stream_opens(opened, f"{base}/opens", f"{base}/cp-opens"),
+        ST.stream_replies(_inbox_stream(spark, sf), I.recipients(spark, sf), ["opportunity"],
+                          I.SELF_EMAIL, f"{base}/routed", f"{base}/folds", f"{base}/cp-replies",
+                          every=None)]
+    for q in running:
+        q.awaitTermination()
+    out = ST.current_master(spark, I.send_log(spark, sf), f"{base}/opens", f"{base}/folds")
+    return _ntz(out.select("email", "sent_date", "opened", "opened_date", "opened_count", "replied",
+                           "reply_date", "classification", "status", "tracking_id"),
+                "sent_date", "opened_date", "reply_date")
+
+
 @query
 def stream_unsubscribes(spark: SparkSession, sf: str) -> DataFrame:
     base = _fresh(spark, "unsubscribes")

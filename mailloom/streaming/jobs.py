@@ -22,7 +22,7 @@ from ..operators.replies import (
     Rules, classify_replies, enrich_replies, select_replies, validate_unsubscribes,
 )
 from ..operators.tracking import (
-    fold_opens, fold_replies, merge_open_folds, merge_reply_folds,
+    fold_opens, fold_replies, master_from_folds, merge_open_folds, merge_reply_folds,
 )
 from ..sources.files import child_names
 from ..sources.sinks import route_by_class
@@ -96,10 +96,17 @@ def read_reply_folds(spark: SparkSession, path: str) -> DataFrame:
     empty = spark.createDataFrame(
         [], "email STRING, reply_date TIMESTAMP, classification STRING, last_message_id STRING, "
         "first_reply_date TIMESTAMP, reply_count BIGINT, demo_date TIMESTAMP, "
-        "customer_date TIMESTAMP")
+        "customer_date TIMESTAMP, unsubscribed BOOLEAN")
     return merge_reply_folds(_read_parts(spark, path, empty))
 
 
+def current_master(spark: SparkSession, log: DataFrame, opens_path: str, replies_path: str,
+                   **others: DataFrame) -> DataFrame:
+    """The tracking table as of now, from the parts the streams have stored."""
+    return master_from_folds(log, read_opens(spark, opens_path),
+                             read_reply_folds(spark, replies_path), **others)
+
+
 def running_class_counts(inbox: DataFrame, rules: Rules = REPLY_RULES) -> DataFrame:
     """Replies per class as a streaming aggregate; the state has a row per class."""
     return classify_replies(inbox, rules).groupBy("classification").agg(
