@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses
-from .common import table
+from . import licenses, quality, sharding
+from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -25,3 +26,21 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 @_query
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf, "documents"))
+
+
+@_query
+def op1_line_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf, "documents"))
+
+
+@_query
+def op7_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
+    """From 12 old shards, dealt by the crc32 of the id, to 16 of equal bytes."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    folder, _, _ = sharding.reshard(docs, remainder("doc_id", 12), 12, 16)
+    files = spark.read.schema("doc_id long, text string, _old int, _slot long, _shard int").parquet(folder)
+    return files.select(
+        "doc_id", sharding.document_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        F.col("_old").alias("old_shard"))
