@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, sharding
+from . import decontaminate, licenses, quality, sharding, warc
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,21 @@ def op7_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"),
         F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
         F.col("_old").alias("old_shard"))
+
+
+@_query
+def op3_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    n_hit = decontaminate.hit_words()
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"), "longest", "longest_at")
+
+
+@_query
+def op4_seekable_warc(spark: SparkSession, sf: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf, "pages"))
+    return warc.read_archives(spark, index).select(
+        F.col("record").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
