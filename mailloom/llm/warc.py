@@ -153,7 +153,7 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", pay
                 if writer is None:
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.warc.zst"
                     store.create_dir(path, recursive=True)
-                    writer = BundleWriter(store.open_output_stream(f"{path}/{name}"))
+                    writer = BundleWriter(store.open_output_stream(f"{path}/{name}", compression=None))
                 record = record_bytes(k, u, b, d, s, r)
                 placed.append((f"{folder}/{name}", *writer.add(record), len(record)))
                 if writer.written >= BUNDLE_BYTES:
