@@ -85,3 +85,21 @@ def rows_out(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def global_index(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Add the place of each row in the total order of the table, from 0.
+
+    Rows are range-partitioned by ``order`` (which should tell rows apart, so
+    that no range outgrows a task) and stored once; what is joined back is one
+    count per partition.
+    """
+    spark = df.sparkSession
+    place = stored(df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+                   .withColumn("_place", F.monotonically_increasing_id()), "index")
+    part, local = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted(place.groupBy(part.alias("p")).count().collect())
+    before = np.cumsum([0, *[c for _, c in counts]])
+    offsets = spark.createDataFrame([(p, int(b)) for (p, _), b in zip(counts, before)], "_part long, _before long")
+    return (place.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_before") + local).drop("_part", "_before", "_place"))
