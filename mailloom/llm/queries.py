@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, packing, quality, sharding, warc
+from . import decontaminate, langid, licenses, packing, quality, sharding, warc
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,12 @@ def op4_seekable_warc(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op6_reduced_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op5_viterbi_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = remainder("doc_id", 5) == 0
+    scorer = langid.fit(docs.where(~out))
+    found = langid.identify(docs.select("doc_id", "text"), scorer)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
