@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, packing, quality, sharding, warc
+from . import decontaminate, langid, licenses, minhash, packing, quality, sharding, warc
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def op5_viterbi_language(spark: SparkSession, sf: str) -> DataFrame:
     scorer = langid.fit(docs.where(~out))
     found = langid.identify(docs.select("doc_id", "text"), scorer)
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@_query
+def op8_probminhash_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"))
