@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, minhash, packing, quality, sharding, warc
+from . import decontaminate, langid, licenses, lm, minhash, packing, quality, sharding, warc
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,11 @@ def op5_viterbi_language(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op8_probminhash_classes(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@_query
+def op9_gated_scores(spark: SparkSession, sf: str) -> DataFrame:
+    out = remainder("doc_id", 5) == 1
+    scored, known = lm.score_documents(table(spark, sf, "documents"), ~out)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known",
+                         F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
