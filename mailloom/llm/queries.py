@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, lm, minhash, packing, quality, sharding, warc
+from . import decontaminate, langid, licenses, lm, minhash, packing, quality, sharding, suffix_dedup, warc
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op9_gated_scores(spark: SparkSession, sf: str) -> DataFrame:
     scored, known = lm.score_documents(table(spark, sf, "documents"), ~out)
     return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known",
                          F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@_query
+def op2_repeat_removal(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
