@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, text_blocks
@@ -216,11 +216,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def node_id(doc_id: str, text: str) -> Column:
+    """The id, or for a null id a negative number made from the text."""
+    return F.coalesce(F.col(doc_id).cast("long"), -1 - F.xxhash64(text).bitwiseAND(F.lit(_LONG)))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: id, class_id (smallest id of its class) and whether it is that one."""
-    eff = F.coalesce(F.col(doc_id).cast("long"), -1 - F.xxhash64(text).bitwiseAND(F.lit(_LONG)))
-    source = docs.select(F.col(text).cast("string").alias("_text"), eff.alias("_id"))
+    source = docs.select(F.col(text).cast("string").alias("_text"), node_id(doc_id, text).alias("_id"))
     sketch = stored(source.select("_text", "_id").mapInArrow(
         _sketch(bands, rows, size), "_id long, _whole long, _words long, _bands array<long>"), "sketches")
     copies = stored(sketch.where("_words > 0").groupBy("_whole", "_words").agg(

@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -363,18 +364,24 @@ def _cut(length: int, keys: list[str], kept_text: bool):
                 raw = s.data[a:b]
                 left = raw.tobytes() if not removed else raw[~own].tobytes()
                 spans = int(own[:1].sum()) + int(np.count_nonzero(own[1:] & ~own[:-1])) if removed else 0
-                out.append((b - a, removed, spans, hashlib.sha256(left).hexdigest(), left))
+                out.append((b - a, removed, spans, hashlib.sha256(left).hexdigest(),
+                            left.decode("utf-8", "ignore") if kept_text else None))
         columns = list(zip(*out))
         names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * kept_text
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        return pa.table({**{k: block.column(k) for k in keys},
-                         **{m: pa.array(c, t) for m, c, t in zip(names, columns, types)}})
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        found = {m: pa.array(c, t) for m, c, t in zip(names, columns, types)}
+        if kept_text:
+            found["kept_text"] = pc.if_else(block.column("_text").combine_chunks().is_null(), None, found["kept_text"])
+        return pa.table({**{k: block.column(k) for k in keys}, **found})
     return run
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
                    length: int = LENGTH, kept_text: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: id, ``keep``, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
+    """One row per document: id, ``keep``, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept text.
+
+    The digest is of the bytes that stay; the text leaves out what is then no longer whole UTF-8.
+    """
     spark = docs.sparkSession
     order = F.coalesce(F.col(doc_id).cast("long"), -(1 << 62) - F.shiftright(F.xxhash64(text).bitwiseAND((1 << 63) - 1), 2))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
@@ -398,6 +405,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     answers = suffixes.groupBy("_range").applyInArrow(_answer_suffixes, _ROWS)
     held = [f"_k{i}" for i in range(len(keys))]
     schema = ", ".join([*[f"{h} {docs.schema[k].dataType.simpleString()}" for h, k in zip(held, keys)],
-                        "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept_text binary"] * kept_text])
+                        "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept_text string"] * kept_text])
     out = blocks.cogroup(answers.groupBy("_block")).applyInArrow(_cut(length, held, kept_text), schema)
     return out.withColumnsRenamed(dict(zip(held, keys)))
