@@ -168,6 +168,7 @@ PROVIDER_LIMITS = (
 )
 
 DEFAULT_CRAWL_DELAY = 2.0
+# Limits of a walk for callers that want them; none is on by default.
 MAX_PAGES_PER_SEED = 2000
 LINKS_PER_LEVEL = 500
 QUEUE_FACTOR = 5

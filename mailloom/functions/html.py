@@ -8,7 +8,7 @@ pages cost linear time and no deep recursion.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,7 +26,8 @@ _TAG = rf"/?[a-z]{_ATTRS}>|[!?][^>]*+>"
 # All patterns start with '<' itself, so other characters are passed quickly.
 _BLOCKS = rf"(?is)<(?:{_COMMENT}|{_RAW})"
 _NON_TEXT = rf"(?is)<(?:{_COMMENT}|{_RAW_OR_TEMPLATE}|{_TAG})"
-_TITLE = rf"(?is)<title(?=[\s/>]){_ATTRS}>(.*?)</title"
+# The first title decides, closed or not: no later start is tried.
+_TITLE = rf"(?is)<title(?=[\s/>]){_ATTRS}>(.*?)(?:</title|\z)"
 _ANCHOR = rf"(?is)<a(?=[\s/>]){_ATTRS}>.*?(?:(?=<a[\s>])|</a(?=[\s>])|\z)"
 _ANCHOR_BODY = rf"(?is)^<a{_ATTRS}>(.*?)(?:</a)?\z"
 _META = rf"(?is)<meta(?=[\s/])({_ATTRS})>"
@@ -38,10 +39,19 @@ MARK = "\u0001"
 _VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
          "track", "wbr"]
 
-_ENTITY = r"^(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;)"
+_NUMBER = r"^#(?:0*+([0-9]++)|[xX]0*+([0-9a-fA-F]++)|[xX]?0++);?"
+_NAME = r"^([A-Za-z][A-Za-z0-9]*+);"
 # Frequent names come first: a map is searched from its start.
-_NAMED = {name: chr(name2codepoint[name]) for name in ("amp", "nbsp", "quot", "lt", "gt")}
-_NAMED |= {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
+_NAMED = {name: html5[f"{name};"] for name in ("amp", "nbsp", "quot", "lt", "gt", "apos")}
+_NAMED |= {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# Old names also count without a semicolon; the longest one does.
+_BARE = {name: text for name, text in html5.items() if not name.endswith(";")}
+_BARE_NAME = "^(" + "|".join(sorted(_BARE, key=lambda x: (-len(x), x))) + ")"
+# Numbers 128 to 159 stand for the characters of windows-1252.
+_CONTROLS = {str(i): bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
+_CONTROLS = {k: chr(int(k)) if v == "\ufffd" else v for k, v in _CONTROLS.items()}  # five are unassigned
+# Tags and stretches of text that are read for the text of an element found by attribute.
+_BODY_LIMIT = 128
 
 
 def _attr_pattern(name: str) -> str:
@@ -61,7 +71,8 @@ def attr_or_null(tag: Column, name: str) -> Column:
         bare = F.ltrim(F.substr(raw, F.lit(2)))
         quoted = F.startswith(bare, F.lit('"')) | F.startswith(bare, F.lit("'"))
         return F.when(raw != "", unescape_html(
-            F.when(quoted, F.substr(bare, F.lit(2), F.length(bare) - F.lit(2))).otherwise(bare)))
+            F.when(quoted, F.substr(bare, F.lit(2), F.length(bare) - F.lit(2))).otherwise(bare),
+            attribute=True))
 
     return let(F.regexp_extract(tag, _attr_pattern(name), 1), value)
 
@@ -76,39 +87,62 @@ def attr(tag: Column, name: str) -> Column:
     return F.coalesce(attr_or_null(tag, name), F.lit(""))
 
 
-def unescape_html(c: Column) -> Column:
-    """Decode named and numeric character references, each exactly once."""
+def unescape_html(c: Column, attribute: bool = False) -> Column:
+    """Decode named and numeric character references, each exactly once.
+
+    Old names count without their semicolon; in an attribute only if neither
+    '=' nor a letter or digit follows, so that query strings stay as they are.
+    """
     return let(c, lambda x: F.when(
         F.contains(x, F.lit("&")),
-        F.array_join(F.transform(F.split(x, "&", -1), _unescape_piece), ""),
+        F.array_join(F.transform(F.split(x, "&", -1), lambda p, i: _unescape_piece(p, i, attribute)), ""),
     ).otherwise(x))
 
 
 def _from_code(code: Column) -> Column:
+    """Character of a code point; what is none becomes U+FFFD, control characters vanish."""
     valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    low = code.bitwiseAND(0xFFFF)
+    gone = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127)
+            | code.between(0xFDD0, 0xFDEF) | (low == 0xFFFE) | (low == 0xFFFF))
+    return (
+        F.when(code.between(128, 159), F.element_at(literal_map(_CONTROLS), code.cast("string")))
+        .when(valid & gone, "")
+        .when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        .otherwise("\ufffd"))
 
 
-def _decode_ref(ref: Column) -> Column:
-    body = F.rtrim(ref, F.lit(";"))
-    return (
-        F.when(ref.rlike("^#[xX]"), let(
-            F.conv(F.substr(body, F.lit(3)), 16, 10).cast("int"), _from_code))
-        .when(F.startswith(ref, F.lit("#")), let(
-            F.substr(body, F.lit(2)).cast("int"), _from_code))
-        .otherwise(F.element_at(literal_map(_NAMED), body))
-    )
+def _numeric(ref: Column, part: Column) -> Column:
+    """A piece that starts with a numeric reference of any length."""
+    digits, hexes = F.regexp_extract(part, _NUMBER, 1), F.regexp_extract(part, _NUMBER, 2)
+    beyond = F.lit(0x110000).cast("long")
+    code = (F.when((F.length(digits) > 7) | (F.length(hexes) > 6), beyond)
+            .when(hexes != "", F.conv(hexes, 16, 10).try_cast("long"))
+            .otherwise(F.coalesce(digits.try_cast("long"), F.lit(0).cast("long"))))
+    return F.concat(let(code, _from_code), F.substr(part, F.length(ref) + F.lit(1)))
 
 
-def _unescape_piece(part: Column, i: Column) -> Column:
+def _unescape_piece(part: Column, i: Column, attribute: bool = False) -> Column:
     """Text after one '&' (the first piece has none in front)."""
-    return F.when(i == 0, part).otherwise(let(
-        F.regexp_extract(part, _ENTITY, 1),
-        lambda ref: F.coalesce(
-            F.when(ref != "", F.concat(_decode_ref(ref),
-                                       F.substr(part, F.length(ref) + F.lit(1)))),
-            F.concat(F.lit("&"), part)),
-    ))
+
+    def named(name: Column) -> Column:
+        rest = F.substr(part, F.length(name) + F.lit(2))
+        return F.when(name != "", F.concat(F.element_at(literal_map(_NAMED), name), rest))
+
+    def bare(name: Column) -> Column:
+        rest = F.substr(part, F.length(name) + F.lit(1))
+        known = name != ""
+        if attribute:
+            known = known & ~rest.rlike("^[=A-Za-z0-9]")
+        return F.when(known, F.concat(F.element_at(literal_map(_BARE), name), rest))
+
+    number = let(F.regexp_extract(part, _NUMBER, 0),
+                 lambda ref: F.when(ref != "", _numeric(ref, part)))
+    return F.when(i == 0, part).otherwise(F.coalesce(
+        F.when(F.startswith(part, F.lit("#")), number),
+        let(F.regexp_extract(part, _NAME, 1), named),
+        let(F.regexp_extract(part, _BARE_NAME, 1), bare),
+        F.concat(F.lit("&"), part)))
 
 
 def without_blocks(html: Column) -> Column:
@@ -123,7 +157,9 @@ def page_title(html: Column) -> Column:
 
 def title_of(markup: Column) -> Column:
     """As :func:`page_title` for HTML already free of comments and scripts."""
-    return unescape_html(F.regexp_extract(markup, _TITLE, 1))
+    return let(F.regexp_extract(markup, _TITLE, 0), lambda found: F.when(
+        F.lower(found).endswith("</title"), unescape_html(F.regexp_extract(found, _TITLE, 1)))
+        .otherwise(""))
 
 
 def _joined_nodes(markup: Column, separator: str) -> Column:
@@ -179,10 +215,12 @@ def meta_contents(markup: Column) -> Column:
 def tags_with_attr(markup: Column, name: str) -> Column:
     """array<struct(value, text)> of all elements that carry the attribute.
 
-    The text runs to the next tag of the same name; void elements have none.
+    The text runs to the next tag of the same name, through at most
+    ``_BODY_LIMIT`` tags and stretches between them, so that a page of elements that are
+    never closed costs linear time; void elements have none.
     """
     tag = (rf"(?is)<([a-z][^\s/>]*+)(?=[\s/])(?=[^>]*?{name}){_ATTRS}>"
-           r"(?=((?:(?!</?\1[\s/>]).)*+))")
+           rf"(?=((?:[^<]++|<(?!/?\1[\s/>])){{0,{_BODY_LIMIT}}}+))")
     void = rf"(?i)^<(?:{'|'.join(_VOID)})[\s/]"
     part = lambda g: F.regexp_extract_all(markup, F.lit(tag), F.lit(g))
     found = F.zip_with(part(0), part(2), lambda t, body: F.struct(

@@ -25,7 +25,8 @@ OCCURRENCE_COLUMNS = (
     "context_snippet", "http_status", "found_at", "parse_method", "notes",
 )
 # Columns of a consolidated contact, in file order.
-CLEAN_COLUMNS = ("email", "domain", "first_seen", "sources", "verified", "status", "notes")
+CLEAN_COLUMNS = ("email", "domain", "first_seen", "sources", "verified", "status", "notes", "part")
+SOURCES_PER_PART = 10_000
 
 
 def _none() -> Column:
@@ -232,14 +233,15 @@ def clean_occurrences(occ: DataFrame, exclude: Iterable[str] | None = ROLE_PATTE
 
 def consolidate_contacts(occ: DataFrame, seq: str = "seq",
                          exclude: Iterable[str] | None = ROLE_PATTERNS,
-                         max_sources: int = 10_000) -> DataFrame:
-    """One row per address with its distinct sources in first-seen order.
-
-    ``seq`` is the order of the occurrences.  Equal (address, source) pairs
-    are merged before anything is collected.  An address with more than
-    ``max_sources`` distinct sources would make one huge value in one task;
-    such an address gets several rows instead, in ``part`` order, each holding
-    a run of its sources.  All other addresses have the single part 0.
+                         sources_per_part: int = SOURCES_PER_PART) -> DataFrame:
+    """Addresses with their distinct sources; the key is (email, part).
+
+    ``seq``, of any type that sorts, is the order of the occurrences.  Equal
+    (address, source) pairs are merged first.  The sources of an address are
+    dealt by a hash into as many parts as make about ``sources_per_part`` each
+    (one part for nearly every address), so no list grows with the table; in a
+    part they stand in first-seen order, and the other columns are those of
+    the address.  All addresses take the same path.
     """
     rows = clean_occurrences(occ, exclude).select(
         "email",
@@ -249,36 +251,25 @@ def consolidate_contacts(occ: DataFrame, seq: str = "seq",
         "found_at",
         F.col(seq).alias("seq"),
     )
-    # Stored once: three readers follow, and the scan behind it is the big part.
+    # Stored once: two readers follow, and the scan behind it is the big part.
     pairs = cut_lineage(rows.groupBy("email", "source_url").agg(
         F.min(F.struct("seq", "domain")).alias("first"),
         F.min("found_at").alias("found_at"),
     ))
-    heads = [F.min("first")["domain"].alias("domain"), F.min("found_at").alias("first_seen")]
+    heads = pairs.groupBy("email").agg(
+        F.min("first")["domain"].alias("domain"), F.min("found_at").alias("first_seen"),
+        F.ceil(F.count("source_url") / F.lit(sources_per_part)).alias("parts"))
+    part = F.pmod(F.xxhash64("source_url"), F.greatest("parts", F.lit(1))).alias("part")
     source = F.when(F.col("source_url").isNotNull(),
                     F.struct(F.col("first.seq").alias("seq"), "source_url"))
     in_order = F.transform(F.array_sort(F.collect_list(source)), lambda s: s["source_url"])
-
-    hot = cut_lineage(
-        pairs.groupBy("email").agg(*heads, F.count("source_url").alias("n"))
-        .where(F.col("n") > max_sources).drop("n"))
-    split_any = not hot.isEmpty()
-    cold = pairs.join(hot, "email", "left_anti") if split_any else pairs
-    out = cold.groupBy("email").agg(*heads, in_order.alias("sources")).withColumn(
-        "part", F.lit(0).cast("long"))
-    if split_any:
-        place = F.monotonically_increasing_id()
-        out = out.unionByName(
-            pairs.where(F.col("source_url").isNotNull()).join(hot, "email")
-            .withColumn("seq", F.col("first.seq"))
-            .repartitionByRange("email", "seq", "source_url")
-            .sortWithinPartitions("email", "seq", "source_url")
-            .withColumn("place", place)
-            .withColumn("part", F.col("place") - F.pmod(F.col("place"), F.lit(max_sources)))
-            .groupBy("email", "part")
-            .agg(F.first("domain").alias("domain"), F.first("first_seen").alias("first_seen"),
-                 in_order.alias("sources")))
-    return out.select(
+    dealt = pairs.join(heads, "email").select(
+        "email", "domain", "first_seen", "source_url", "first",
+        F.when(F.col("source_url").isNull(), F.lit(0)).otherwise(part).cast("long").alias("part"))
+    return dealt.groupBy("email", "part").agg(
+        F.first("domain").alias("domain"), F.first("first_seen").alias("first_seen"),
+        in_order.alias("sources"),
+    ).select(
         "email", "domain", "first_seen", "sources",
         F.lit("false").alias("verified"), F.lit("unknown").alias("status"),
         F.lit("").alias("notes"), "part",

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import LINKS_PER_LEVEL, MAX_PAGES_PER_SEED, QUEUE_FACTOR
+from ..functions.urls import host_of
 from ..session import cut_lineage, drop_stored, store_bucketed
 from .skew import top_k_per_group
 
@@ -17,17 +17,20 @@ _COMPACT_EVERY = 8
 
 
 def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
-                    max_pages: int | None = MAX_PAGES_PER_SEED,
-                    per_level: int | None = LINKS_PER_LEVEL,
+                    max_pages: int | None = None,
+                    per_level: int | None = None,
                     max_levels: int | None = None,
-                    queue_factor: int | None = QUEUE_FACTOR) -> DataFrame:
+                    queue_factor: int | None = None) -> DataFrame:
     """Pages reached from each seed: (seed, url, level).
 
     ``starts`` has (seed, url), ``pages`` the canonical ``url`` of captured
-    pages, ``edges`` (src, dst, class_rank, class_seq).  Per level and seed at
-    most ``per_level`` waiting links are taken, the best first; the others
-    stay for later levels.  A seed ends when it has ``max_pages`` pages, when
-    more than ``queue_factor * max_pages`` links wait, or when nothing waits.
+    pages, ``edges`` (src, dst, class_rank, class_seq) and, where the class of
+    a link depends on the seed, ``sub_rank``: its rank if its host is not the
+    seed's.  Without limits everything reachable is reached.  Limits are for
+    callers that ask for them: per level and seed at most ``per_level`` waiting
+    links are taken, the best first, and the others stay for later levels; a
+    seed ends when it has ``max_pages`` pages or when more than
+    ``queue_factor * max_pages`` links wait.
 
     One level is a join on URL and an anti-join on (seed, URL); both spread
     over all keys even if one seed owns most of the graph.  Every level is
@@ -36,10 +39,13 @@ def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
     spark = starts.sparkSession
     # Several captures of one page count as one; merging them before the shuffle
     # keeps a much-copied page from filling one bucket.
-    once = edges.groupBy("src", "dst").agg(F.min(F.struct("class_rank", "class_seq")).alias("o"))
+    if "sub_rank" not in edges.columns:
+        edges = edges.withColumn("sub_rank", F.lit(None).cast("int"))
+    once = edges.groupBy("src", "dst").agg(
+        F.min(F.struct("class_rank", "class_seq", "sub_rank")).alias("o"))
     # Stored once, in buckets of the join key: a level only moves its own links.
     stored = (store_bucketed(pages.select("url").distinct(), "url"),
-              store_bucketed(once.select("src", "dst", "o.class_rank", "o.class_seq"), "src"))
+              store_bucketed(once.select("src", "dst", "o.class_rank", "o.class_seq", "o.sub_rank"), "src"))
     try:
         return _walk(starts, *map(spark.table, stored), max_pages, per_level, max_levels,
                      queue_factor)
@@ -74,7 +80,7 @@ def _walk(starts: DataFrame, captured: DataFrame, links: DataFrame, max_pages: i
         if len(seen) > _COMPACT_EVERY:
             seen = [cut_lineage(_union(seen))]
         waiting = found if rest is None else rest.unionByName(found)
-        if max_pages is not None:
+        if max_pages is not None:  # only then can a seed end early
             waiting = _still_open(waiting, _union(reached), max_pages, queue_factor)
         if waiting is not found:
             waiting = cut_lineage(waiting)
@@ -91,6 +97,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _new_links(hits: DataFrame, links: DataFrame, seen: DataFrame, level: int) -> DataFrame:
     """Links of the pages just reached that no earlier level has queued."""
     out = hits.select("seed", F.col("url").alias("src")).join(links, "src")
+    foreign = host_of(F.col("dst")) != host_of(F.col("seed"))
+    out = out.withColumn("class_rank", F.when(F.col("sub_rank").isNotNull() & foreign, F.col("sub_rank"))
+                         .otherwise(F.col("class_rank")))
     best = F.min(F.struct("class_rank", "src", "class_seq")).alias("best")
     return (
         out.groupBy("seed", F.col("dst").alias("url")).agg(best)

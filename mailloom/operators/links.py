@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -79,8 +79,9 @@ def _text_urls(html: Column, suffixes: Iterable[str]) -> Column:
     """Distinct canonical URLs written out in the page text, in order."""
     stop = rf"""[^{WS}<>"']"""
     ends = "|".join(regex_quote(s.lstrip(".")) for s in suffixes)
-    pattern = rf"(?i)https?://{stop}+\.(?:{ends}){stop}*+"
-    found = F.regexp_extract_all(H.plain_text(html), F.lit(pattern), F.lit(0))
+    # A run is taken whole and tested once: its first start decides.
+    runs = F.regexp_extract_all(H.plain_text(html), F.lit(rf"(?i)https?://{stop}++"), F.lit(0))
+    found = F.filter(runs, lambda r: r.rlike(rf"(?is)^https?://.+\.(?:{ends})"))
     return F.when(
         F.contains(html, F.lit("://")),
         F.array_distinct(F.transform(found, U.normalize_url)),
@@ -186,24 +187,80 @@ def classify_links(links: DataFrame, rules: LinkRules = LinkRules()) -> DataFram
     )
 
 
-def rank_links(links: DataFrame, page_key: str = "page_id",
-               limit: int | None = None) -> DataFrame:
-    """Position of each link in the output order of its page, from 1.
+def _ranked(found: Column, page_url: Column, rules: LinkRules) -> Column:
+    """The links of a page in output order, sorted inside the row."""
+    ranks = F.create_map(*[F.lit(x) for kv in CLASS_RANK.items() for x in kv])
+
+    def keyed(link: Column, i: Column) -> Column:
+        return let(link_class(link["url"], link["text"], link["source"], page_url, rules),
+                   lambda cls: F.struct(
+                       F.element_at(ranks, cls).alias("class_rank"),
+                       F.when(cls == "pagination", -i).otherwise(i).alias("class_seq"),
+                       i.alias("seq"), cls.alias("link_class"), link.alias("link")))
+
+    return F.array_sort(F.transform(found, keyed))
+
+
+def ranked_links(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
+                 rules: LinkRules = LinkRules(), keep: Iterable[str] = ("page_id",),
+                 limit: int | None = None) -> DataFrame:
+    """Links of each page with class and ``link_rank``, their place in output order from 1.
 
-    Groups are single pages, so no group grows with the table.
+    All links of a page start in its row, so they are classified, sorted and
+    cut there: no shuffle.
     """
-    w = Window.partitionBy(page_key).orderBy("class_rank", "class_seq")
-    ranked = links.withColumn("link_rank", F.row_number().over(w))
-    return ranked if limit is None else ranked.where(F.col("link_rank") <= limit)
+    suffixes = tuple(suffixes)
+
+    # Two projections: one expression of both would nest too deep for the analyser.
+    found = built_once(("page_links", suffixes), lambda: page_links(F.col("html"), F.col("url"), suffixes))
+    ranked = built_once(("ranked", repr(rules)), lambda: _ranked(F.col("_links"), F.col("page_url"), rules))
+    if limit is not None:
+        ranked = F.slice(ranked, 1, limit)
+    rows = pages.select(*keep, F.col("url").alias("page_url"), found.alias("_links")).select(
+        *keep, "page_url", F.posexplode_outer(ranked).alias("place", "r"),
+    ).where(F.col("r").isNotNull())
+    return rows.select(
+        *keep, "page_url", (F.col("place") + 1).alias("link_rank"), "r.seq", "r.link_class",
+        "r.class_rank", "r.class_seq", "r.link.source", "r.link.url", "r.link.href", "r.link.text")
+
+
+def url_class(url: Column, rules: LinkRules = FRONTIER_RULES) -> Column:
+    """Class of a link by its URL alone, apart from the test for another host."""
+    u = F.lower(url)
+    teacher = F.contains(U.last_segment(url), F.lit("-")) & ~contains_any(u, PERSON_LINK_EXCLUDES)
+    return (
+        F.when(F.contains(u, F.lit("contact")), "contact")
+        .when(F.contains(u, F.lit("p=")) | F.contains(u, F.lit("page=")), "pagination")
+        .when(teacher, "teacher")
+        .when(contains_any(u, rules.faculty), "faculty")
+        .when(contains_any(u, rules.priority), "priority")
+        .otherwise("regular"))
+
+
+def walk_class(url: Column, seed: Column, rules: LinkRules = FRONTIER_RULES) -> Column:
+    """Class of a link in a walk from ``seed``: by URL alone, its host against the seed's."""
+    foreign = U.host_of(url) != U.host_of(seed)
+    return let(url_class(url, rules), lambda c: F.when(
+        foreign & c.isin("priority", "regular"), "subdomain").otherwise(c))
 
 
 def link_edges(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
-               rules: LinkRules = LinkRules()) -> DataFrame:
-    """Link graph: canonical page URL -> link URL, with class and order in the page."""
-    links = classify_links(extract_links(pages, suffixes), rules)
+               rules: LinkRules = FRONTIER_RULES) -> DataFrame:
+    """Link graph for a walk: canonical page URL -> link URL, with rank and order.
+
+    Pages hand over their links in output order (:func:`ranked_links`); the
+    walk ranks them anew by URL alone.  ``sub_rank`` is the rank of a link
+    whose host is not that of the seed, NULL where the host does not matter.
+    """
+    links = ranked_links(pages, suffixes, keep=()).withColumn("link_class", url_class(F.col("url"), rules))
+    ranks = F.create_map(*[F.lit(x) for kv in CLASS_RANK.items() for x in kv])
     return links.select(
-        U.normalize_url(F.col("page_url")).alias("src"), F.col("url").alias("dst"),
-        "link_class", "class_rank", "class_seq")
+        U.normalize_url(F.col("page_url")).alias("src"), F.col("url").alias("dst"), "link_class",
+        F.element_at(ranks, F.col("link_class")).alias("class_rank"),
+        F.when(F.col("link_class") == "pagination", -F.col("link_rank"))
+        .otherwise(F.col("link_rank")).alias("class_seq"),
+        F.when(F.col("link_class").isin("priority", "regular"), F.lit(CLASS_RANK["subdomain"]))
+        .alias("sub_rank"))
 
 
 def subdomain_links(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXES,

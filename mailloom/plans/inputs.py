@@ -11,13 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.readers import spread
-
 SUFFIXES = (".com", ".net", ".org")
 CAMPAIGN = "launch"
 SELF_EMAIL = "c3.u@site3.example.com"
 BASE_URL = "https://track.example.org"
-FANOUT = 9
+FANOUT, SITES = 9, 3
 
 PHRASES = (
     "I want to buy", "the cost is too much", "can we schedule a zoom", "not interested",
@@ -101,7 +99,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(read_table(spark, sf, "pages"))
+    return read_table(spark, sf, "pages")
 
 
 def marked_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,20 +112,31 @@ def linked_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages(spark, sf).withColumn("html", F.expr(LINKED_HTML))
 
 
+def tree_url_sql(n: str) -> str:
+    """URL of page ``n`` in the tree: three sites, four hosts each, a path of every link class."""
+    return (f"'http://h' || {_s(f'{n} % 4')} || '.tree' || {_s(f'{n} % {SITES}')} || '.net/' || CASE ({n}) % 7 "
+            f"WHEN 1 THEN 'contact/' WHEN 2 THEN 'list?page=' WHEN 3 THEN 'ali-ben-' WHEN 4 THEN 'faculte/' "
+            f"WHEN 5 THEN 'staff/' ELSE 'n/' END || {_s(n)}")
+
+
+def tree_child_sql(n: str, k: int) -> str:
+    """Number of the k-th child of page ``n``; children lie on the site of their parent."""
+    return f"((FLOOR(({n}) / {SITES}) * {FANOUT} + {k}) * {SITES} + ({n}) % {SITES})"
+
+
+TREE_LINKS = " || ".join(
+    f"'<a href=\"' || {tree_url_sql('CAST(' + tree_child_sql('page_id', k) + ' AS BIGINT)')} || '\">t</a>'"
+    for k in range(1, FANOUT + 1))
+TREE_URL = tree_url_sql("page_id")
+
+
 def tree_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages that link to captured pages: page n to pages FANOUT*n+1 .. FANOUT*(n+1).
+    """All pages as trees: each page links to FANOUT later pages of its site.
 
-    Each page has one parent, so no group has more than FANOUT rows.
+    Every page but the first of its site has one parent, so all are reached.
     """
-    all_pages = pages(spark, sf)
-    children = all_pages.where(F.col("page_id") > 0).select(
-        F.floor((F.col("page_id") - 1) / FANOUT).cast("long").alias("page_id"),
-        F.concat(F.lit('<a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")),
-                 F.lit('">t</a>')).alias("link"))
-    links = children.groupBy("page_id").agg(
-        F.array_join(F.array_sort(F.collect_list("link")), "").alias("links"))
-    return all_pages.join(links, "page_id", "left").select(
-        "page_id", "url", F.concat("html", F.coalesce("links", F.lit(""))).alias("html"))
+    return pages(spark, sf).select(
+        "page_id", F.expr(TREE_URL).alias("url"), F.expr(f"html || {TREE_LINKS}").alias("html"))
 
 
 def page_time() -> Column:
@@ -137,7 +146,7 @@ def page_time() -> Column:
 
 def conversations_as_messages(spark: SparkSession, sf: str) -> DataFrame:
     """Whole conversation turns, each ending with one of the phrases."""
-    return spread(read_table(spark, sf, "conversations")).select(
+    return read_table(spark, sf, "conversations").select(
         "conv_id", "turn", F.col("role").alias("subject"),
         F.expr(f"text || ' ' || {phrase_sql('conv_id + turn')}").alias("body"))
 

@@ -195,7 +195,7 @@ def page_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
 # --- Contacts -------------------------------------------------------------
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return RD.spread(I.read_table(spark, sf, "documents")).select(
+    return I.read_table(spark, sf, "documents").select(
         "doc_id", "text", F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("url"))
 
 
@@ -261,14 +261,14 @@ def contacts_extracted(spark: SparkSession, sf: str) -> DataFrame:
 
 def _occurrences(spark: SparkSession, sf: str) -> DataFrame:
     """Contacts of pages and documents with one order over both."""
-    p = _page_contacts(spark, sf).withColumn(
-        "seq", F.col("page_id") * 1000 + F.col("rank")).drop("page_id", "rank")
+    order = lambda kind, key: F.struct(
+        F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col("rank").alias("rank"))
+    p = _page_contacts(spark, sf).withColumn("seq", order(0, "page_id")).drop("page_id", "rank")
     d = C.extract_contacts_from_text(
         _documents(spark, sf), suffixes=I.SUFFIXES, keep=["doc_id"],
         found_at=F.timestamp_seconds(F.unix_timestamp(
             F.lit("2027-01-15 08:00:00").cast("timestamp")) - F.col("doc_id")))
-    d = d.withColumn("seq", (F.col("doc_id") + 1_000_000_000) * 1000 + F.col("rank")).drop(
-        "doc_id", "rank")
+    d = d.withColumn("seq", order(1, "doc_id")).drop("doc_id", "rank")
     return p.unionByName(d)
 
 
@@ -281,7 +281,8 @@ def contacts_consolidated(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def contact_sources(spark: SparkSession, sf: str) -> DataFrame:
     out = C.contact_sources(_occurrences(spark, sf)).select(
-        "email", "source_url", F.floor(F.col("first_seq") / 1000).alias("first_page"),
+        "email", "source_url", F.col("first_seq.kind").cast("long").alias("kind"),
+        F.col("first_seq.id").alias("first_page"),
         "first_found_at", "n_occurrences")
     return _ntz(out, "first_found_at")
 
@@ -364,41 +365,48 @@ def link_class_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def frontier_class_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Classes by URL alone, as the crawl step sees them."""
-    anchors = _links(spark, sf).withColumn("source", F.lit("anchor"))
-    return L.classify_links(anchors, L.FRONTIER_RULES).groupBy("link_class").agg(
+    """Classes by URL alone and against the seed of the site, as the crawl step sees them."""
+    site = U.base_domain(U.host_of(F.col("page_url")), I.SUFFIXES)
+    seeds = _site_seeds(spark, sf).select("site", U.normalize_url(F.col("seed")).alias("seed"))
+    linked = _links(spark, sf).withColumn("site", site).join(seeds, "site")
+    return linked.groupBy(L.walk_class(F.col("url"), F.col("seed")).alias("link_class")).agg(
         F.count(F.lit(1)).alias("n_links"))
 
 
 @query
 def links_ranked_topk(spark: SparkSession, sf: str) -> DataFrame:
-    out = L.rank_links(L.classify_links(_links(spark, sf)), limit=8)
+    out = L.ranked_links(I.linked_pages(spark, sf), I.SUFFIXES, limit=8)
     return _long(out.select("page_id", "link_rank", "url", "link_class"), "link_rank")
 
 
 @query
 def frontier_levels(spark: SparkSession, sf: str) -> DataFrame:
-    return _long(_frontier(spark, sf, max_pages=None, per_level=None), "level")
+    return _long(_frontier(spark, sf), "level")
+
+
+@query
+def frontier_budgeted(spark: SparkSession, sf: str) -> DataFrame:
+    """The walk with a page budget, which is its feature here: the best twelve pages of each seed."""
+    return _long(_frontier(spark, sf, max_pages=12), "level")
 
 
 def _frontier(spark: SparkSession, sf: str, **limits) -> DataFrame:
     tree = I.tree_pages(spark, sf)
-    starts = _site_seeds(spark, sf).select(
-        U.normalize_url(F.col("seed")).alias("seed")).withColumn("url", F.col("seed"))
-    first = I.pages(spark, sf).where(F.col("page_id") == 0).select(
+    starts = tree.where(F.col("page_id") < I.SITES).select(
         U.normalize_url(F.col("url")).alias("seed")).withColumn("url", F.col("seed"))
     captured = tree.where(~U.is_skipped(F.col("url"))).select(
         U.normalize_url(F.col("url")).alias("url"))
-    edges = L.link_edges(tree, I.SUFFIXES, L.FRONTIER_RULES)
-    return FR.expand_frontier(starts.union(first).distinct(), captured, edges, **limits)
+    edges = L.link_edges(tree, I.SUFFIXES)
+    return FR.expand_frontier(starts, captured, edges, **limits)
 
 
 @query
 def seed_page_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages reached and address occurrences found per seed, under the default limits."""
+    """Pages reached and address occurrences found per seed."""
     reached = _frontier(spark, sf)
+    marked = I.marked_pages(spark, sf).withColumn("url", F.expr(I.TREE_URL))
     per_page = C.extract_contacts(
-        I.marked_pages(spark, sf), I.SUFFIXES, found_at=I.page_time()
+        marked, I.SUFFIXES, found_at=I.page_time()
     ).groupBy(U.normalize_url(F.col("source_url")).alias("url")).agg(
         F.count(F.lit(1)).alias("n"))
     return reached.join(per_page, "url", "left").groupBy("seed").agg(
@@ -416,8 +424,9 @@ def distinct_urls(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def unvisited_links(spark: SparkSession, sf: str) -> DataFrame:
     """Found links that are not captured yet."""
-    captured = I.pages(spark, sf).select(U.normalize_url(F.col("url")).alias("url"))
-    tree = L.extract_links(I.tree_pages(spark, sf), I.SUFFIXES).select("url").distinct()
+    pages = I.tree_pages(spark, sf)
+    captured = pages.select(U.normalize_url(F.col("url")).alias("url"))
+    tree = L.extract_links(pages, I.SUFFIXES).select("url").distinct()
     return tree.join(captured, "url", "left_anti")
 
 
@@ -667,7 +676,7 @@ def contacts_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = _fresh(spark, "contacts")
     sinks.write_contacts(_page_contacts(spark, sf), path)
     back = RD.read_contacts(spark, path).withColumn(
-        "seq", F.unix_timestamp("found_at"))
+        "seq", F.col("found_at"))
     return C.contact_sources(back).groupBy("email").agg(
         F.count(F.lit(1)).alias("n_sources"), F.sum("n_occurrences").alias("n_occurrences"))
 

@@ -18,16 +18,6 @@ CSV_OPTIONS = {
 }
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on a few large files.
-
-    A no-op when the scan already has a task per core, as it does on any big
-    table; filters and column pruning still reach the scan.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def seed_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Seeds from text lines: trimmed, without blank and '#' lines."""
     line = strip(F.col(column))

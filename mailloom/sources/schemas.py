@@ -8,7 +8,7 @@ OCCURRENCES = (
 )
 CLEAN_CONTACTS = (
     "email STRING, domain STRING, first_seen TIMESTAMP, sources STRING, verified STRING, "
-    "status STRING, notes STRING"
+    "status STRING, notes STRING, part BIGINT"
 )
 MESSAGES = (
     "message_id STRING, from_email STRING, subject STRING, body STRING, received_date TIMESTAMP"
