@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ def with_tracking(body: Column, tracking: Column, token: Column, base_url: str)
     """HTML body with an unsubscribe link and an open-tracking pixel at its end."""
     base = base_url.rstrip("/")
     return F.concat(
+        # Fixed output: the markup of the tracking pixel and of the link.
         F.lit("<html><body>"), body,
         F.lit(f'<p><a href="{base}/unsubscribe?token='), token, F.lit('">Unsubscribe</a></p>'),
         F.lit(f'<img src="{base}/track-open/'), tracking,
@@ -57,57 +59,82 @@ def build_mails(recipients: DataFrame, campaign: str, subject: str, body: str, b
         with_tracking(fill_template(body, fields), tracking, token, base_url).alias("body_html"))
 
 
-def provider_caps(provider: str) -> tuple[int | None, int | None]:
-    """(per_day, per_month) of a known provider."""
-    for name, per_day, per_month, _ in PROVIDER_LIMITS:
+def provider_caps(provider: str) -> tuple[int | None, int | None, int | None]:
+    """(per_day, per_month, per_second) of a known provider."""
+    for name, *caps in PROVIDER_LIMITS:
         if name == provider:
-            return per_day, per_month
+            return tuple(caps)
     raise KeyError(provider)
 
 
-def _planned_day(index: Column, daily_cap: int | None, monthly_cap: int | None) -> Column:
-    """Day number of the n-th mail under a daily and a 30-day cap."""
-    if monthly_cap is not None:
-        month = F.floor(index / F.lit(monthly_cap))
-        in_month = F.pmod(index, F.lit(monthly_cap))
-        day = F.floor(in_month / F.lit(daily_cap)) if daily_cap else F.lit(0)
-        return month * _DAYS_PER_MONTH + day
-    if daily_cap is not None:
-        return F.floor(index / F.lit(daily_cap))
-    return F.lit(0).cast("long")
+@dataclass(frozen=True)
+class Pace:
+    """How many mails fit into a day and when each of them goes out.
 
+    Batches start ``wait_seconds`` apart, or later if the mails of a batch take
+    longer at ``per_second`` mails a second; inside a batch mails follow one
+    another at that rate.  Nothing starts after ``window_seconds`` of a day.
+    """
 
-def _in_day(index: Column, daily_cap: int | None, monthly_cap: int | None) -> Column:
-    if monthly_cap is not None:
-        in_month = F.pmod(index, F.lit(monthly_cap))
-        return F.pmod(in_month, F.lit(daily_cap)) if daily_cap else in_month
-    return F.pmod(index, F.lit(daily_cap)) if daily_cap else index
+    batch_size: int = BATCH_SIZE
+    wait_seconds: int = BATCH_WAIT_SECONDS
+    daily_cap: int | None = None
+    monthly_cap: int | None = None
+    per_second: int | None = None
+    window_seconds: int = 8 * 3600
+
+    @property
+    def batch_seconds(self) -> int:
+        needed = -(-self.batch_size // self.per_second) if self.per_second else 0
+        return max(self.wait_seconds, needed)
+
+    @property
+    def per_day(self) -> int:
+        """Mails of one day: what the cap allows and the sending window holds."""
+        batches = self.window_seconds // self.batch_seconds + 1 if self.batch_seconds else None
+        fits = batches * self.batch_size if batches else None
+        return min(x for x in (fits, self.daily_cap, self.monthly_cap, 1 << 62) if x is not None)
+
+    def place(self, index: Column) -> tuple[Column, Column]:
+        """(day, mail of the day) of the n-th mail; a month has 30 days."""
+        day_cap = F.lit(self.per_day).cast("long")
+        if self.monthly_cap is None:
+            return F.floor(index / day_cap), F.pmod(index, day_cap)
+        month_cap = F.lit(min(self.monthly_cap, self.per_day * _DAYS_PER_MONTH)).cast("long")
+        in_month = F.pmod(index, month_cap)
+        return (F.floor(index / month_cap) * _DAYS_PER_MONTH + F.floor(in_month / day_cap),
+                F.pmod(in_month, day_cap))
+
+    def seconds(self, in_day: Column) -> Column:
+        """Seconds after the start of the day."""
+        out = F.floor(in_day / F.lit(self.batch_size)) * F.lit(self.batch_seconds)
+        if self.per_second:
+            out = out + F.floor(F.pmod(in_day, F.lit(self.batch_size)) / F.lit(self.per_second))
+        return out.cast("long")
 
 
 def plan_sends(recipients: DataFrame, start_ts: datetime, order: list[str] | None = None,
                batch_size: int = BATCH_SIZE, wait_seconds: int = BATCH_WAIT_SECONDS,
                daily_cap: int | None = None, monthly_cap: int | None = None,
+               per_second: int | None = None, window_seconds: int = 8 * 3600,
                dedupe: bool = True) -> DataFrame:
     """Add batch_number, planned_day and planned_at to recipients.
 
-    Batches follow ``order`` (default: address).  Each batch waits
-    ``wait_seconds`` after the one before; caps move the rest to later days.
-    Suppress recipients before planning.
+    Batches follow ``order`` (default: address).  Caps and the length of the
+    daily sending window move the rest to later days, so no day runs into the
+    next; see :class:`Pace`.  Suppress recipients before planning.
     """
-    if daily_cap is not None and monthly_cap is not None and -(
-            -monthly_cap // daily_cap) > _DAYS_PER_MONTH:
-        monthly_cap = daily_cap * _DAYS_PER_MONTH
+    pace = Pace(batch_size, wait_seconds, daily_cap, monthly_cap, per_second, window_seconds)
     rows = unique_recipients(recipients) if dedupe else recipients
     indexed = with_global_index(rows, order or ["email"], "send_index")
     i = F.col("send_index")
-    day = _planned_day(i, daily_cap, monthly_cap).cast("long")
-    slot = F.floor(_in_day(i, daily_cap, monthly_cap) / F.lit(batch_size)).cast("long")
+    day, in_day = pace.place(i)
     start = F.lit(start_ts.isoformat(sep=" ")).cast("timestamp")
-    seconds = day * F.lit(86_400) + slot * F.lit(wait_seconds)
+    seconds = day.cast("long") * F.lit(86_400) + pace.seconds(in_day)
     return indexed.select(
         *rows.columns, "send_index",
         (F.floor(i / F.lit(batch_size)) + 1).cast("long").alias("batch_number"),
-        day.alias("planned_day"),
+        day.cast("long").alias("planned_day"),
         F.timestamp_seconds(F.unix_timestamp(start) + seconds).alias("planned_at"),
     )
 

@@ -15,12 +15,10 @@ from ..functions.text import any_of, contains_any, literal_map, regex_quote
 
 Rules = Sequence[tuple[str, Sequence[str]]]
 
-_MAX_RULES = 1000
-
-
 def rule_pattern(keywords: Iterable[str]) -> str:
     """Whole-word pattern of a rule; only ASCII characters count as word characters."""
-    return f"(?<![A-Za-z0-9_]){any_of(keywords)}(?![A-Za-z0-9_])"
+    words = [k.lower() for k in keywords if k]
+    return f"(?<![A-Za-z0-9_]){any_of(words)}(?![A-Za-z0-9_])" if words else "(?!)"
 
 
 def message_text(subject: Column, body: Column) -> Column:
@@ -37,8 +35,9 @@ def _first_keyword_pattern(rules: Rules) -> str:
     """
     groups: dict[str, list[str]] = {}
     for _, keywords in rules:
-        for word in keywords:
-            groups.setdefault(word[0], []).append(word[1:])
+        for word in map(str.lower, keywords):
+            if word:
+                groups.setdefault(word[0], []).append(word[1:])
     words = "|".join(regex_quote(c) + any_of(rest) for c, rest in groups.items())
     return f"(?<![A-Za-z0-9_])(?=({words})(?![A-Za-z0-9_]))"
 
@@ -52,8 +51,9 @@ def reply_class(text: Column, rules: Rules = REPLY_RULES, status: Column | None
     """
     rank: dict[str, str] = {}
     for i, (_, keywords) in enumerate(rules):
-        for word in keywords:
-            rank.setdefault(word, str(i))
+        for word in map(str.lower, keywords):
+            if word:
+                rank.setdefault(word, str(i))
     if rank:
         ranks = literal_map(rank)
         found = F.regexp_extract_all(text, F.lit(_first_keyword_pattern(rules)), F.lit(1))
@@ -87,25 +87,37 @@ def matched_classes(msgs: DataFrame, rules: Rules = REPLY_RULES, subject: str =
     return msgs.withColumn("matches", F.filter(hits, lambda h: h["keyword"] != ""))
 
 
-def rules_from_table(rules: DataFrame) -> list[tuple[str, list[str]]]:
-    """Rules from a table (priority, classification, keyword), best priority first.
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(c, F.lit("[A-Za-z0-9_]+"), F.lit(0))
+
 
-    The table is configuration of bounded size: it becomes literal patterns,
-    compiled once per task, instead of a join that tests each message against
-    each row.
+def classify_with_table(msgs: DataFrame, rules: DataFrame, subject: str = "subject",
+                        body: str = "body", status: str | None = None) -> DataFrame:
+    """As :func:`classify_replies` with rules (priority, classification, keyword) from a table of any size.
+
+    The smallest priority wins, then the smallest class name.  Keywords are
+    lower-cased; empty ones are left out.  A message and a keyword meet only
+    over the keyword's first word, so this is a join on words, and only what
+    meets is compared.  Each distinct text is classified once.
     """
-    rows = rules.select("priority", "classification", "keyword").limit(_MAX_RULES + 1).collect()
-    if len(rows) > _MAX_RULES:
-        raise ValueError(f"more than {_MAX_RULES} rule keywords")
-    ordered: dict[tuple[int, str], list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["priority"], r["classification"])):
-        ordered.setdefault((r["priority"], r["classification"]), []).append(r["keyword"])
-    return [(name, words) for (_, name), words in ordered.items()]
-
-
-def classify_with_table(msgs: DataFrame, rules: DataFrame, **kwargs) -> DataFrame:
-    """As :func:`classify_replies` with rules from a table."""
-    return classify_replies(msgs, rules_from_table(rules), **kwargs)
+    text = message_text(F.col(subject), F.col(body))
+    keyed = msgs.withColumn("_text", text)
+    table = rules.select(
+        "priority", "classification", F.lower("keyword").alias("keyword")).where(
+            F.coalesce(F.col("keyword"), F.lit("")) != "").distinct()
+    # A keyword without any word of its own meets every message under ''.
+    table = table.withColumn("word", F.coalesce(F.get(_words(F.col("keyword")), 0), F.lit("")))
+    words = keyed.select("_text").distinct().select(
+        "_text", F.explode(F.array_append(F.array_distinct(_words(F.col("_text"))), "")).alias("word"))
+    quoted = F.concat(F.lit("(?<![A-Za-z0-9_])"), F.regexp_replace("keyword", r"([^A-Za-z0-9_\s])", r"\\$1"),
+                      F.lit("(?![A-Za-z0-9_])"))
+    best = words.join(table, "word").where(
+        F.contains("_text", F.col("keyword")) & F.rlike("_text", quoted)).groupBy("_text").agg(
+            F.min(F.struct("priority", "classification"))["classification"].alias("_class"))
+    out = F.coalesce("_class", F.lit(UNKNOWN_CLASS))
+    if status is not None:
+        out = F.when(F.col(status) == "Bounced", F.lit(BOUNCE_CLASS)).otherwise(out)
+    return keyed.join(best, "_text", "left").select(*msgs.columns, out.alias("classification"))
 
 
 def class_slug(classification: Column) -> Column:

@@ -38,7 +38,7 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = "row_inde
     are range-partitioned and sorted, stored once (so that positions cannot
     change between the two reads), and the number of rows in front of each
     partition is added to the position inside it.  Only those counts, one per
-    partition, reach the driver.
+    partition, reach the driver; they come back as a table, not as literals.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -49,15 +49,13 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = "row_inde
         df.withColumn("_tie", F.xxhash64(*df.columns))
         .repartitionByRange(n, *by).sortWithinPartitions(*by).drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_place", _INDEX_BITS)
+    ).withColumn("_part", F.shiftright("_place", _INDEX_BITS))
+    counts = sorted(placed.groupBy("_part").count().collect())
+    before, rows = 0, []
+    for part, number in counts:
+        rows.append((part, before))
+        before += number
+    offsets = spark.createDataFrame(rows, "_part BIGINT, _before BIGINT")
     local = F.col("_place").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
-    counts = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    offsets, total = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(p, 0)
-    before = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets or [0]]),
-                          part.cast("int") + 1)
-    return placed.withColumn(name, before + local).drop("_place")
+    return placed.join(offsets, "_part").withColumn(name, F.col("_before") + local).select(
+        *df.columns, name)

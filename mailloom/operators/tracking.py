@@ -95,7 +95,8 @@ def build_master(log: DataFrame, opens: DataFrame, replies: DataFrame,
     ts), ``replies`` classified (email, received_date, classification,
     message_id), further ``status`` events (email, status), ``recipients`` for
     name and university, ``customers`` (email, customer_date) and ``demos``
-    (email, demo_date) known from elsewhere.  Every side is aggregated to one
+    (email, demo_date) known from elsewhere.  Opens count for the address that
+    their tracking_id was sent to; ``tracking_id`` is that of the first mail.  Every side is aggregated to one
     row per key before its join, so no join multiplies rows and a hot address
     is reduced on the map side.
     """
@@ -111,13 +112,16 @@ def master_from_folds(log: DataFrame, opens: DataFrame, replies: DataFrame,
     sends = log.groupBy(normalize_email(F.col("email")).alias("email")).agg(
         F.min("sent_date").alias("sent_date"),
         F.min(F.struct("sent_date", "tracking_id"))["tracking_id"].alias("tracking_id"))
+    # Every mail of an address counts, not only its first.
+    mails = log.select("tracking_id", normalize_email(F.col("email")).alias("email")).distinct()
+    opened = mails.join(opens, "tracking_id").groupBy("email").agg(
+        F.min("opened_date").alias("opened_date"), F.sum("opened_count").alias("opened_count"))
     states = log.select("email", F.coalesce("status", F.lit("Sent")).alias("status"))
     if status is not None:
         states = states.unionByName(status.select("email", "status"))
     unsubscribed = F.coalesce("unsubscribed", F.lit(False))
-    # The one join by tracking_id comes first; all others share the address.
     out = (
-        sends.join(opens, "tracking_id", "left")
+        sends.join(opened, "email", "left")
         .join(fold_status(states), "email", "left")
         .join(replies, "email", "left")
         .withColumn("status", F.when(unsubscribed, "Unsubscribed").otherwise(F.col("status")))

@@ -165,18 +165,25 @@ def recipients(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_custkey").alias("custkey"))
 
 
+# Mails of two waves; an address can get both.
+WAVE = f"CASE WHEN {K} % 2 = 0 THEN '' ELSE '2' END"
+
+
+def wave_id(email: Column) -> Column:
+    return F.sha2(F.concat(F.lit(CAMPAIGN), F.expr(WAVE), F.lit("|"), email), 256)
+
+
 def send_log(spark: SparkSession, sf: str) -> DataFrame:
     email = F.expr(user_email_sql("user_id"))
     return _events(spark, sf, "signup").select(
         email.alias("email"), F.col("ts").alias("sent_date"), F.expr(LOG_STATUS).alias("status"),
-        F.sha2(F.concat(F.lit(CAMPAIGN + "|"), email), 256).alias("tracking_id"),
+        wave_id(email).alias("tracking_id"),
         (F.floor(F.col("user_id") / 10) + 1).cast("long").alias("batch_number"))
 
 
 def opens(spark: SparkSession, sf: str) -> DataFrame:
     email = F.expr(user_email_sql("user_id"))
-    return _events(spark, sf, "view").select(
-        F.sha2(F.concat(F.lit(CAMPAIGN + "|"), email), 256).alias("tracking_id"), "ts")
+    return _events(spark, sf, "view").select(wave_id(email).alias("tracking_id"), "ts")
 
 
 def inbox(spark: SparkSession, sf: str) -> DataFrame:

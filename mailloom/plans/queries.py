@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import REPLY_RULES
+from ..constants import PROVIDER_LIMITS, REPLY_RULES
 from ..functions import emails as E
 from ..functions import html as H
 from ..functions import text as T
@@ -21,7 +21,7 @@ from ..operators import links as L
 from ..operators import replies as R
 from ..operators import sites as S
 from ..operators import tracking as TR
-from ..session import shared_dir
+from ..session import scratch_dir
 from ..sources import readers as RD
 from ..sources import schemas, sinks
 from ..streaming import jobs as ST
@@ -60,6 +60,22 @@ def url_normalized(spark: SparkSession, sf: str) -> DataFrame:
         U.strip_www(U.host_of(u)).alias("host"))
 
 
+REFERENCES = (
+    ("&#00000064;", "@"), ("&#64", "@"), ("&#x0000040;b", "@b"), ("&eacute;", "\u00e9"), ("&eacutex", "\u00e9x"),
+    ("&amp ", "& "), ("&#146;", "\u2019"), ("&#128;", "\u20ac"), ("&copy1", "\u00a91"), ("&#0;", "\ufffd"),
+    ("&#xD800;", "\ufffd"), ("&#1114112;", "\ufffd"), ("&#8;", ""), ("&unknown;", "&unknown;"), ("&NotEqualTilde;", "\u2242\u0338"),
+    ("&notit;", "\u00acit;"), ("&", "&"), ("&amp;lt;", "&lt;"), ("&#x1F600;", "\U0001f600"),
+)
+
+
+@query
+def decoded_references(spark: SparkSession, sf: str) -> DataFrame:
+    """Character references of every form, one per page, between its number and its path."""
+    ref = F.get(F.array(*[F.lit(r) for r, _ in REFERENCES]), (F.col("page_id") % len(REFERENCES)).cast("int"))
+    text = F.concat(F.col("page_id").cast("string"), F.lit(" a"), ref, F.lit(" "), F.col("page_id").cast("string"))
+    return I.pages(spark, sf).select("page_id", H.unescape_html(text).alias("text"))
+
+
 @query
 def base_domain_counts(spark: SparkSession, sf: str) -> DataFrame:
     host = U.host_of(F.col("url"))
@@ -539,14 +555,23 @@ def send_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quota_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """Two plans under provider limits: per day, and per day and month."""
-    day, month = CA.provider_caps("mailjet")
-    daily, _ = CA.provider_caps("sendgrid")
+    """One plan per known provider, and one with a sending window that binds."""
     to = I.recipients(spark, sf)
-    a = CA.plan_sends(to, START, order=["custkey"], daily_cap=daily)
-    b = CA.plan_sends(to, START, order=["custkey"], daily_cap=day, monthly_cap=month)
-    plans = a.withColumn("plan", F.lit("daily")).unionByName(b.withColumn("plan", F.lit("both")))
-    return _ntz(plans.select("plan", "custkey", "planned_day", "planned_at"), "planned_at")
+    plans = [(name, dict(zip(("daily_cap", "monthly_cap", "per_second"), caps)))
+             for name, *caps in PROVIDER_LIMITS] + [("window", {"window_seconds": 300, "wait_seconds": 60})]
+    out = [CA.plan_sends(to, START, order=["custkey"], **limits).select(
+        F.lit(name).alias("plan"), "custkey", "planned_day", "planned_at") for name, limits in plans]
+    return _ntz(reduce(DataFrame.unionByName, out), "planned_at")
+
+
+@query
+def quota_day_ends(spark: SparkSession, sf: str) -> DataFrame:
+    """Per plan the number of days whose last mail is not before the next day's first: none."""
+    days = quota_plan(spark, sf).groupBy("plan", "planned_day").agg(
+        F.min("planned_at").alias("first"), F.max("planned_at").alias("last"))
+    after = days.select("plan", (F.col("planned_day") - 1).alias("planned_day"), F.col("first").alias("next"))
+    return days.join(after, ["plan", "planned_day"], "left").groupBy("plan").agg(
+        F.count_if(F.col("last") >= F.col("next")).alias("n_overlaps"), F.count(F.lit(1)).alias("n_days"))
 
 
 @query
@@ -657,7 +682,53 @@ def csv_safe_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_dir(spark, name)
+
+
+@query
+def recipients_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A recipient list with line breaks and quotes in its values, written and read back."""
+    path = _fresh(spark, "recipients")
+    note = F.concat(F.lit('a "b"\nc\\n, '), F.col("custkey").cast("string"), F.lit("\r\n"))
+    sinks.write_recipients(I.recipients(spark, sf).drop("department").withColumn("note", note), path)
+    return RD.read_recipients(spark, path).select(
+        "email", "name", "university", "department", F.col("custkey").cast("long").alias("custkey"),
+        F.md5("note").alias("note_md5"))
+
+
+@query
+def send_log_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The send log appended in two steps and read back."""
+    path = _fresh(spark, "log")
+    log = I.send_log(spark, sf)
+    for wave in (log.where("batch_number % 2 = 0"), log.where("batch_number % 2 = 1")):
+        sinks.write_send_log(wave, path)
+    return _ntz(RD.read_send_log(spark, path), "sent_date")
+
+
+@query
+def clean_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean contact file, filtered into a second one, with what that counted."""
+    path, out = _fresh(spark, "clean"), _fresh(spark, "recleaned")
+    occ = _odd_addresses(spark, sf).select(
+        "email", F.concat(F.lit("c:"), (F.col("c_custkey") % 50).cast("string")).alias("source_url"),
+        F.lit("").alias("domain"), F.col("c_custkey").alias("seq"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("c_custkey")).alias("found_at"))
+    sinks.write_clean_contacts(C.consolidate_contacts(occ, exclude=None), path)
+    seen = sinks.reclean_file(spark, path, out)
+    back = RD.read_clean_contacts(spark, out)
+    return _ntz(back, "first_seen").select(
+        "email", "domain", "first_seen", "sources", "verified", "status", F.coalesce("notes", F.lit("")).alias("notes"),
+        "part", F.lit(seen["removed"]).cast("long").alias("n_removed"),
+        F.lit(seen["remaining"]).cast("long").alias("n_remaining"))
+
+
+@query
+def metrics_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics summary through its file."""
+    path = _fresh(spark, "metrics")
+    sinks.write_metrics(funnel_metrics(spark, sf), path)
+    return RD.read_csv(spark, path, "metric STRING, value DOUBLE")
 
 
 @query
@@ -706,7 +777,7 @@ def stream_open_fold(spark: SparkSession, sf: str) -> DataFrame:
     base = _fresh(spark, "opens")
     email = F.expr(I.user_email_sql("user_id"))
     source = _event_stream(spark, sf, "view").select(
-        F.sha2(F.concat(F.lit(I.CAMPAIGN + "|"), email), 256).alias("tracking_id"), "ts")
+        I.wave_id(email).alias("tracking_id"), "ts")
     ST.stream_opens(source, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
     return _ntz(ST.read_opens(spark, f"{base}/parts"), "opened_date")
 
@@ -724,7 +795,7 @@ def stream_reply_counts(spark: SparkSession, sf: str) -> DataFrame:
     base = _fresh(spark, "classes")
     ST.stream_class_counts(_inbox_stream(spark, sf), f"{base}/counts",
                            f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/counts")
+    return ST.read_class_counts(spark, f"{base}/counts")
 
 
 @query
@@ -743,7 +814,7 @@ def stream_master(spark: SparkSession, sf: str) -> DataFrame:
     base = _fresh(spark, "live")
     email = F.expr(I.user_email_sql("user_id"))
     opened = _event_stream(spark, sf, "view").select(
-        F.sha2(F.concat(F.lit(I.CAMPAIGN + "|"), email), 256).alias("tracking_id"), "ts")
+        I.wave_id(email).alias("tracking_id"), "ts")
     running = [
         ST.stream_opens(opened, f"{base}/opens", f"{base}/cp-opens"),
         ST.stream_replies(_inbox_stream(spark, sf), I.recipients(spark, sf), ["opportunity"],
@@ -757,44 +828,61 @@ def stream_master(spark: SparkSession, sf: str) -> DataFrame:
                 "sent_date", "opened_date", "reply_date")
 
 
+BATCHES = 3
+
+
+def _arriving(spark: SparkSession, df: DataFrame, batch: Column, name: str) -> DataFrame:
+    """A stream that gets the rows in three micro-batches, by ``batch`` from 0."""
+    folder = _fresh(spark, name)
+    for i in range(BATCHES):
+        df.where(batch == i).coalesce(1).write.mode("append").parquet(folder)
+    return RD.stream_files(spark, folder, df.schema, files_per_batch=1)
+
+
 @query
 def stream_unsubscribes(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests in three micro-batches, each two months older than the one before."""
     base = _fresh(spark, "unsubscribes")
     email = F.expr(I.user_email_sql("user_id"))
     issued = F.sha2(F.concat(F.lit(f"{I.CAMPAIGN}|unsubscribe|"), email), 256)
-    k = F.expr(I.K)
-    source = _event_stream(spark, sf, "view").where(k.isin(7, 8)).select(
-        F.when(k == 7, issued).otherwise(F.concat(F.lit("bad"), F.col("event_id").cast("string")))
-        .alias("token"), "ts")
+    k, turn = F.expr(I.K), F.col("event_id") % BATCHES
+    views = I.read_table(spark, sf, "events").where((F.col("event_type") == "view") & k.isin(7, 8))
+    requests = views.select(
+        F.when(k == 7, issued).otherwise(F.concat(F.lit("bad"), F.col("event_id").cast("string"))).alias("token"),
+        F.timestamp_seconds(F.unix_timestamp(F.col("ts").cast("timestamp")) - turn * 5_184_000).alias("ts"),
+        turn.alias("turn"))
+    source = _arriving(spark, requests, F.col("turn"), "requests")
     tokens = CA.issued_tokens(I.recipients(spark, sf), I.CAMPAIGN)
-    ST.stream_unsubscribes(source, tokens, f"{base}/parts",
-                           f"{base}/checkpoint").awaitTermination()
-    return ST.read_unsubscribes(spark, f"{base}/parts").select("token", "email")
+    ST.stream_unsubscribes(source, tokens, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    return _ntz(ST.read_unsubscribes(spark, f"{base}/parts").select("token", "email", "ts"), "ts")
 
 
-def _page_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return RD.stream_files(spark, sf, schemas.PAGES, name_glob="pages.parquet")
+def _twice(spark: SparkSession, sf: str, html: bool) -> DataFrame:
+    """Each page in one batch and again, with a slash behind its path, in a later one."""
+    p = I.pages(spark, sf)
+    if html:
+        p = p.withColumn("html", F.expr(I.MARKED_HTML))
+    path = F.regexp_extract("url", "^[^?#]*", 0)
+    again = p.withColumn("url", F.concat(path, F.lit("/"), F.substr("url", F.length(path) + 1)))
+    out = p.withColumn("turn", F.col("page_id") % 2).unionByName(
+        again.withColumn("turn", F.col("page_id") % 2 + 1))
+    return out if html else out.drop("html")
 
 
 @query
 def stream_unique_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Each page arrives under two spellings of its URL; one per URL is kept."""
+    """Each page arrives in two micro-batches under two spellings of its URL; one per URL is kept."""
     base = _fresh(spark, "pages")
-    twice = _page_stream(spark, sf).select(
-        "page_id", F.explode(F.array("url", F.concat("url", F.lit("/")))).alias("url")).where(
-            ~F.contains("url", F.lit("?")) & ~F.contains("url", F.lit("#")))
-    writer = ST.unique_pages(twice).select("page_id", "url_norm").writeStream.format(
-        "parquet").option("path", f"{base}/out").option(
-            "checkpointLocation", f"{base}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("page_id BIGINT, url_norm STRING").parquet(f"{base}/out")
+    source = _arriving(spark, _twice(spark, sf, False), F.col("turn"), "page-stream")
+    ST.stream_unique_pages(source, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    return ST.read_unique_pages(spark, f"{base}/parts", "page_id BIGINT, url_norm STRING")
 
 
 @query
 def stream_contacts(spark: SparkSession, sf: str) -> DataFrame:
+    """Contacts of pages that arrive twice, in three micro-batches."""
     base = _fresh(spark, "contacts")
-    source = _page_stream(spark, sf).withColumn("html", F.expr(I.MARKED_HTML))
-    ST.stream_contacts(source, f"{base}/out", f"{base}/checkpoint",
-                       I.SUFFIXES).awaitTermination()
-    return spark.read.schema(schemas.OCCURRENCES).parquet(f"{base}/out").select(
+    source = _arriving(spark, _twice(spark, sf, True), F.col("turn"), "contact-stream")
+    ST.stream_contacts(source, f"{base}/parts", f"{base}/checkpoint", I.SUFFIXES).awaitTermination()
+    return ST.read_contact_parts(spark, f"{base}/parts").select(
         "email", "source_url", "parse_method", "context_snippet")

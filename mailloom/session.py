@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -52,17 +53,44 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate data below the shared one; see :func:`drop_scratch`."""
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append((spark, folder))
+    return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def drop_scratch() -> None:
+    """Delete all intermediate folders made so far; results read from them must have been used."""
+    while _MADE:
+        spark, folder = _MADE.pop()
+        try:
+            delete_folder(spark, folder)
+        except Exception:  # noqa: BLE001  the session has ended, nothing to ask
+            continue
+
+
 def store_bucketed(df: DataFrame, key: str) -> str:
     """Store a table in buckets of ``key``; returns its name in the catalog.
 
     Joins on the key then move only their other side.  The table is external,
-    in the shared folder; :func:`drop_stored` forgets it.
+    in the shared folder; :func:`drop_stored` forgets it, and its files go with
+    the other intermediate folders.
     """
     spark = df.sparkSession
     name = f"mailloom_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.repartition(n, key).write.format("parquet").bucketBy(n, key)
-       .option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name))
+       .option("path", scratch_dir(spark, name)).saveAsTable(name))
     return name
 
 
@@ -72,8 +100,7 @@ def drop_stored(spark: SparkSession, *tables: str) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store a result reliably and continue from the stored copy."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Store a result as Parquet in the shared folder and continue from the stored copy."""
+    spark, folder = df.sparkSession, scratch_dir(df.sparkSession, "stored")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

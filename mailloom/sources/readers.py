@@ -10,14 +10,34 @@ from ..functions.text import is_yes, strip
 from . import schemas
 from .files import child_names, path_exists
 
-# Values may hold quotes and line breaks; a quote is written twice.
+# Values may hold quotes, which are written twice.  Line breaks inside values
+# are written as escapes (see :func:`escape_breaks`), so files can be split.
 CSV_OPTIONS = {
-    "header": True, "quote": '"', "escape": '"', "multiLine": True, "enforceSchema": False,
+    "header": True, "quote": '"', "escape": '"', "multiLine": False, "enforceSchema": False,
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
 
+def escape_breaks(c: Column) -> Column:
+    """Line breaks and backslashes as two characters each."""
+    return F.replace(F.replace(F.replace(
+        c, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def restore_breaks(c: Column) -> Column:
+    """The inverse of :func:`escape_breaks`."""
+    mark = F.lit("\u0001")
+    out = F.replace(c, F.lit("\\\\"), mark)
+    out = F.replace(F.replace(out, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.when(F.contains(c, F.lit("\\")), F.replace(out, mark, F.lit("\\"))).otherwise(c)
+
+
+def _restored(df: DataFrame) -> DataFrame:
+    text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    return df.withColumns({c: restore_breaks(F.col(c)) for c in text})
+
+
 def seed_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Seeds from text lines: trimmed, without blank and '#' lines."""
     line = strip(F.col(column))
@@ -50,7 +70,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV folder with a header; a header that does not fit raises on read."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return _restored(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path))
 
 
 def read_contacts(spark: SparkSession, path: str) -> DataFrame:
@@ -63,7 +83,10 @@ def read_contacts(spark: SparkSession, path: str) -> DataFrame:
 def read_clean_contacts(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], schemas.CLEAN_CONTACTS)
-    return read_csv(spark, path, schemas.CLEAN_CONTACTS)
+    if "part" in spark.read.options(**CSV_OPTIONS).csv(path).columns:
+        return read_csv(spark, path, schemas.CLEAN_CONTACTS)
+    whole = schemas.CLEAN_CONTACTS.removesuffix(", part BIGINT")  # files of others have no parts
+    return read_csv(spark, path, whole).withColumn("part", F.lit(0).cast("long"))
 
 
 def read_recipients(spark: SparkSession, path: str) -> DataFrame:
@@ -72,7 +95,7 @@ def read_recipients(spark: SparkSession, path: str) -> DataFrame:
     The usual optional columns are added as NULL where the file lacks them;
     rows without an address are dropped.
     """
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
+    df = _restored(spark.read.options(**CSV_OPTIONS).csv(path))
     if "email" not in df.columns:
         raise ValueError(f"recipient list without an 'email' column: {df.columns}")
     for c in ("name", "university", "department"):
@@ -95,7 +118,7 @@ def read_crawl_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def read_routed(spark: SparkSession, path: str) -> DataFrame:
     """All routed replies with their ``class_slug``."""
-    return spark.read.options(**CSV_OPTIONS).csv(path)
+    return _restored(spark.read.options(**CSV_OPTIONS).csv(path))
 
 
 def master_versions(spark: SparkSession, path: str) -> list[int]:

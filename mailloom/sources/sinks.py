@@ -10,7 +10,7 @@ from ..functions.text import csv_safe
 from ..operators.contacts import CLEAN_COLUMNS, OCCURRENCE_COLUMNS
 from ..operators.replies import class_slug
 from ..operators.tracking import master_as_text
-from .readers import read_clean_contacts
+from .readers import escape_breaks, read_clean_contacts
 from .schemas import ROUTED_COLUMNS
 
 _CSV = {
@@ -22,6 +22,8 @@ _GUARDED = ("page_title", "context_snippet", "notes")
 
 
 def _csv(df: DataFrame, mode: str) -> DataFrameWriter:
+    text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    df = df.withColumns({c: escape_breaks(F.col(c)) for c in text})
     return df.write.mode(mode).options(**_CSV)
 
 
@@ -38,6 +40,8 @@ def clean_as_text(clean: DataFrame) -> DataFrame:
     """Consolidated contacts in file form: sources joined by ';'."""
     if dict(clean.dtypes)["sources"] != "string":
         clean = clean.withColumn("sources", F.array_join("sources", ";"))
+    if "part" not in clean.columns:
+        clean = clean.withColumn("part", F.lit(0).cast("long"))
     return clean.select(*CLEAN_COLUMNS)
 
 
@@ -60,6 +64,11 @@ def reclean_file(spark: SparkSession, path: str, out_path: str) -> dict[str, int
     return dict(seen.get)
 
 
+def write_recipients(df: DataFrame, path: str) -> None:
+    """A recipient list; all columns are kept."""
+    _csv(df, "overwrite").csv(path)
+
+
 def write_send_log(df: DataFrame, path: str) -> None:
     _csv(df.select("email", "sent_date", "status", "tracking_id", "batch_number"),
          "append").csv(path)
@@ -82,5 +91,8 @@ def write_master(df: DataFrame, path: str, version: int) -> None:
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
-    """Metrics summary as one file; it has a row per metric and group."""
-    _csv(df.coalesce(1), "overwrite").csv(path)
+    """Metrics summary as one file; it has a row per metric and group.
+
+    The aggregate before it keeps its own tasks; only its rows move to one.
+    """
+    _csv(df.repartition(1), "overwrite").csv(path)

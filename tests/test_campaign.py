@@ -32,7 +32,7 @@ def test_caps(spark):
     rows = CA.plan_sends(people(spark, 40), START, daily_cap=1, monthly_cap=1000).orderBy(
         "email").collect()
     assert [r["planned_day"] for r in rows] == list(range(40))
-    assert CA.provider_caps("mailjet") == (200, 6000)
+    assert CA.provider_caps("mailjet") == (200, 6000, None)
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 40])
@@ -84,3 +84,14 @@ def test_csv_safe(spark):
     df = spark.createDataFrame([("=1+1",), ("+a",), ("a=",), ("",), (None,)], "v STRING")
     assert [r[0] for r in df.select(csv_safe(F.col("v"))).collect()] == [
         "'=1+1", "'+a", "a=", "", None]
+
+
+def test_days_do_not_overlap_and_seconds_are_kept(spark):
+    rows = CA.plan_sends(people(spark, 300), START, batch_size=10, wait_seconds=60, per_second=1,
+                         window_seconds=600).orderBy("send_index").collect()
+    times = [r["planned_at"] for r in rows]
+    assert len(set(times)) == 300 and times == sorted(times)  # one mail a second
+    assert [r["planned_day"] for r in rows] == [i // 110 for i in range(300)]  # eleven batches start in the window
+    assert CA.provider_caps("ses") == (200, None, 1)
+    slow = CA.Pace(batch_size=100, wait_seconds=10, per_second=2)
+    assert slow.batch_seconds == 50

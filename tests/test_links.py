@@ -30,11 +30,20 @@ def test_classes(spark):
         "/xyz": "regular"}
 
 
+def test_walk_class_sees_the_url_and_the_seed(spark):
+    df = spark.createDataFrame([("https://u.dz/contact", "contact"), ("https://u.dz/websites?page=2", "pagination"),
+                                ("https://u.dz/ali-ben", "teacher"), ("https://lab.u.dz/x", "subdomain"),
+                                ("https://u.dz/staff", "priority"), ("https://u.dz/x", "regular"),
+                                ("https://lab.u.dz/contact", "contact")], "url STRING, expected STRING")
+    got = df.withColumn("c", L.walk_class(F.col("url"), F.lit("https://u.dz/"))).collect()
+    assert [r["c"] for r in got] == [r["expected"] for r in got]
+
+
 def test_first_link_wins_and_order(spark):
     html = (anchor("/a?p=2") + anchor("/reg") + anchor("/reg/", "again") + anchor("/a?p=3")
             + anchor("/staff") + "text https://lab.u.dz/x and https://u.dz/reg2, end")
-    links = L.rank_links(L.classify_links(L.extract_links(
-        page(spark, html, "https://u.dz/"), [".dz"])))
+    links = L.ranked_links(page(spark, html, "https://u.dz/"), [".dz"])
+    assert "Exchange" not in links._jdf.queryExecution().executedPlan().toString()
     rows = links.orderBy("link_rank").collect()
     assert [r["url"] for r in rows] == [
         "https://u.dz/a?p=3", "https://u.dz/a?p=2", "https://u.dz/staff", "https://lab.u.dz/x",

@@ -69,7 +69,7 @@ def test_class_counts(spark, tmp_path):
     arrive(inbox, src, 3)
     ST.stream_class_counts(RD.stream_files(spark, src, schemas.MESSAGES, files_per_batch=1), out,
                            cp).awaitTermination()
-    assert sorted(spark.read.parquet(out).collect()) == sorted(
+    assert sorted(ST.read_class_counts(spark, out).collect()) == sorted(
         R.class_counts(R.classify_replies(inbox)).collect())
 
 
@@ -95,6 +95,40 @@ def test_contacts_once_per_url(spark, tmp_path):
     ST.stream_contacts(stream, out, cp).awaitTermination()
     arrive(spark.createDataFrame([(4, "https://u.dz/a/", "a.bc@u.dz")], schemas.PAGES), src, 1)
     ST.stream_contacts(stream, out, cp).awaitTermination()
-    rows = spark.read.parquet(out).select("email", "source_url").collect()
+    rows = ST.read_contact_parts(spark, out).select("email", "source_url").collect()
     assert sorted(map(tuple, rows)) == [("a.bc@u.dz", "https://u.dz/a"),
                                         ("x.yz@u.dz", "https://u.dz/b")]
+
+
+def test_late_requests_and_pages_are_kept(spark, tmp_path):
+    src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    tokens = spark.createDataFrame([(f"t{i}", f"e{i}@u.dz") for i in range(4)], "token STRING, email STRING")
+    for i in range(4):  # each batch is three months older
+        arrive(spark.createDataFrame([(f"t{i}", D - timedelta(days=90 * i)), ("t0", D - timedelta(days=90 * i))],
+                                     schemas.UNSUBSCRIBES), src, 1)
+        ST.stream_unsubscribes(RD.stream_files(spark, src, schemas.UNSUBSCRIBES), tokens, out, cp).awaitTermination()
+    rows = {r["token"]: r["ts"] for r in ST.read_unsubscribes(spark, out).collect()}
+    assert sorted(rows) == ["t0", "t1", "t2", "t3"] and rows["t0"] == D - timedelta(days=270)
+
+
+def test_parts_are_complete_once_and_compacted(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    opens = spark.createDataFrame([("a", D), ("b", D)], schemas.OPENS)
+    for i in range(20):
+        ST._save_part(TR.fold_opens(opens), path, i)
+    ST._save_part(TR.fold_opens(opens), path, 3)  # a batch that runs again
+    broken = tmp_path / "parts" / "batch=20.x"
+    broken.mkdir()  # an attempt that did not finish
+    (broken / "part-0.parquet").write_bytes(b"half")
+    want = {"a": 20, "b": 20}
+    count = lambda: {r["tracking_id"]: r["opened_count"] for r in ST.read_opens(spark, path).collect()}
+    assert count() == want
+    reader = ST.read_opens(spark, path)
+    assert ST.compact(spark, path, ST.read_opens) == 20
+    assert count() == want and len(ST._live_parts(spark, path)) == 1
+    assert {r["tracking_id"]: r["opened_count"] for r in reader.collect()} == want
+    ST._save_part(TR.fold_opens(opens), path, 3)
+    ST._save_part(TR.fold_opens(opens), path, 21)
+    assert count() == {"a": 21, "b": 21}
+    ST.drop_compacted(spark, path)
+    assert count() == {"a": 21, "b": 21} and len(ST._live_parts(spark, path)) == 2

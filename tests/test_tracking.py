@@ -92,3 +92,12 @@ def test_summaries(spark):
     assert sorted(map(tuple, TR.send_summary(log).collect())) == [(1, "Sent", 2),
                                                                   (2, "Bounced", 1)]
     assert sorted(map(tuple, TR.status_counts(log).collect())) == [("Bounced", 1), ("Sent", 2)]
+
+
+def test_opens_of_every_mail_count(spark):
+    log = spark.createDataFrame([("a@u.dz", D[0], "Sent", "t1"), ("A@u.dz", D[1], "Sent", "t2")],
+                                "email STRING, sent_date TIMESTAMP, status STRING, tracking_id STRING")
+    opens = spark.createDataFrame([("t2", D[3]), ("t2", D[2])], "tracking_id STRING, ts TIMESTAMP")
+    replies = spark.createDataFrame([], "email STRING, received_date TIMESTAMP, classification STRING, message_id BIGINT")
+    row = TR.build_master(log, opens, replies).collect()
+    assert [(r["opened"], r["opened_count"], r["opened_date"], r["tracking_id"]) for r in row] == [(True, 2, D[2], "t1")]
