@@ -62,16 +62,17 @@ class TestSuffixes:
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
         items = [(i, w) for i, w in items if w]
-        self.names = [i for i, _ in items]
+        self.names = list(dict.fromkeys(i for i, _ in items))  # rows with equal ids are one item
+        number = {name: k for k, name in enumerate(self.names)}
         self.vocab = {w: k for k, w in enumerate(dict.fromkeys(w for _, ws in items for w in ws))}
         self.shortest = min((min(window, len(w)) for _, w in items), default=0)
         self.longest = max((len(w) for _, w in items), default=0)
         start, item, need, end, words, at = [], [], [], [], [], 0
-        for k, (_, ws) in enumerate(items):
+        for name, ws in items:
             need_k = min(window, len(ws))
             for p in range(len(ws) - need_k + 1):
                 start.append(at + p)
-                item.append(k)
+                item.append(number[name])
                 need.append(need_k)
                 end.append(at + len(ws))
             words.extend(self.vocab[w] for w in ws)
