@@ -54,7 +54,7 @@ def op3_suffix_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"), "longest", "longest_at")
+        (n_hit > 0).alias("contaminated"))
 
 
 @_query
@@ -95,3 +95,39 @@ def op9_gated_scores(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def op2_repeat_removal(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+
+
+# --- SQL counterparts, where SQL can express the whole result ----------------
+
+_FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _sql_words(text: str) -> str:
+    return _WORDS.format(_FOLD.format(f"coalesce({text}, '')"))
+
+
+ORACLE_SQL["op3_suffix_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_sql_words('text')} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_sql_words('text')} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS s FROM (
+  SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM (
+    SELECT item, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0))),
+ks AS (SELECT DISTINCT k FROM bw),
+hits AS (SELECT dw.doc_id, dw.p, bw.k, bw.item FROM (
+    SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS s FROM (
+      SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks WHERE len(w) >= k)) dw
+  JOIN bw ON bw.s = dw.s AND bw.k = dw.k),
+n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY 1),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+ORACLE_SQL["op4_seekable_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to FROM q"""
