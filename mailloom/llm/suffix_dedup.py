@@ -46,8 +46,8 @@ from .common import shuffle_partitions
 from .minhash import _BYTE, _P, _P_INV, mix
 
 LENGTH = 100
-BLOCK_BYTES = 8_000_000
-_SLICE = 2_000_000
+BLOCK_BYTES = 4_000_000
+_SLICE = 1_000_000
 _MAX_RANGES = 1024
 _NONE, _SETTLED, _OPEN = 0, 1, 2
 
@@ -124,12 +124,12 @@ def make_slice(texts: list[bytes], length: int) -> Slice:
     h = mix((summed[half:] - summed[:-half]) * down[:n - half + 1])
     first = _smallest(h, length - half + 1)
     end = np.repeat(stop, stop - start)
-    out.window = np.flatnonzero(np.arange(n - length + 1) + length <= end[:n - length + 1])
+    out.window = np.flatnonzero(np.arange(n - length + 1) + length <= end[:n - length + 1]).astype(np.int32)
     if not len(out.window):
         return out
     at = first[out.window].astype(np.int64)
     new = np.concatenate(([True], at[1:] != at[:-1]))
-    out.own = np.cumsum(new) - 1
+    out.own = np.cumsum(new, dtype=np.int32) - 1
     at = at[new]
     begin = np.repeat(start, stop - start)[at]
     out.left, out.right = np.maximum(begin, at - (length - half)), np.minimum(end[at], at + length)
@@ -239,7 +239,8 @@ def _settle(slices: list[Slice], code: np.ndarray) -> list[np.ndarray]:
         at += len(s.anchor)
         done = own == _SETTLED
         s.mark(s.left[done], s.right[done])
-        open_.append(s.window[own[s.own] == _OPEN] if len(s.window) else s.window)
+        open_.append(s.window[own[s.own] == _OPEN].astype(np.int64) if len(s.window) else s.window.astype(np.int64))
+        s.window = s.own = None
     return open_
 
 
