@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,8 +68,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], chars: int = 8_000_000) -> It
         col = next(i for i, f in enumerate(batch.schema)
                    if pa.types.is_string(f.type) or pa.types.is_large_string(f.type)
                    or pa.types.is_binary(f.type) or pa.types.is_large_binary(f.type))
-        sizes = np.array([len(x) if x is not None else 0 for x in
-                          batch.column(col).cast(pa.binary()).to_pylist()], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         start = 0
         total = np.cumsum(sizes)
         while start < batch.num_rows:

@@ -11,8 +11,12 @@ set Jaccard is ``threshold`` or more, and classes are the connected components.
 
 Equal word sequences are one node from the start.  Inside a band's bucket all
 nodes are compared with one leader, not with each other; buckets whose nodes
-are still in different classes get other leaders, and at last each pair that
-is left in different classes.  So no link is lost but by the bands, which miss
+are still in different classes get other leaders.  For what is then left in
+different classes a prefix join finds the rest: in an order that puts frequent
+shingles last, two texts at the threshold share one of the first shingles of both,
+those before the last ``threshold`` of their mass.  A pair whose registers agree
+far less than the threshold asks is dropped before its shingles are compared, and
+where many pairs share few texts the texts are dealt into tiles, not to each pair.  So no link is lost but by the bands, which miss
 a pair at the threshold with probability (1 - threshold^rows)^bands.
 
 Texts without words are classes of their own.  Rows with a null id take part
@@ -34,7 +38,13 @@ from .common import stored, text_blocks
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 5
+# Texts whose shingles tell which are frequent; only the speed of the prefix join depends on it.
+FREQUENT_SAMPLE, FREQUENT_KEPT = 5_000, 50_000
+# A pair at the threshold agrees in so many deviations less than expected with a probability below 3e-7.
+_DEVIATIONS = 5.0
+# Shingle sets of about so many bytes meet in a tile of the comparison.
+_TILE_BYTES = 32_000_000
 _BLOCK = 3_000_000
 _LONG = (1 << 63) - 1
 _SPACE = np.zeros(256, bool)
@@ -134,12 +144,14 @@ def _sketch(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, _BLOCK):
             doc, code, weight, n, whole = shingles(batch.column(0).to_pylist(), size)
-            found = band_hashes(signatures(doc, code, weight, batch.num_rows, bands * rows), bands, rows)
+            winners = signatures(doc, code, weight, batch.num_rows, bands * rows)
+            found, low = band_hashes(winners, bands, rows), winners.astype(np.uint8)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, bands, dtype=np.int32)),
                                              pa.array(found.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(whole.view(np.int64)), pa.array(n.astype(np.int64)), lists],
-                names=["_id", "_whole", "_words", "_bands"])
+                [batch.column(1), pa.array(whole.view(np.int64)), pa.array(n.astype(np.int64)), lists,
+                 pa.array([x.tobytes() for x in low], pa.binary())],
+                names=["_id", "_whole", "_words", "_bands", "_low"])
     return run
 
 
@@ -150,7 +162,8 @@ def _sets(size: int):
             edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             weight = weight.astype(np.uint32)
             sets = [code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
-            counts = [weight[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+            # No counts are stored where no shingle occurs twice.
+            counts = [weight[a:b].tobytes() if (weight[a:b] > 1).any() else b"" for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())],
                 names=["_id", "_set", "_counts"])
@@ -165,17 +178,15 @@ def similarity(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     both = y[at] == x
     plain = both.sum() / (len(x) + len(y) - both.sum())
-    p, q = np.frombuffer(wa, np.uint32)[both].astype(float), np.frombuffer(wb, np.uint32)[at[both]].astype(float)
-    if not len(p):
-        return 0.0
-    u, v = np.frombuffer(wa, np.uint32).astype(float), np.frombuffer(wb, np.uint32).astype(float)
-    return max(float(plain), probability_jaccard(p, q, u, v, both, at))
+    if not (wa or wb) or not both.any():  # without repeats both measures are equal
+        return float(plain)
+    u = np.frombuffer(wa, np.uint32).astype(float) if wa else np.ones(len(x))
+    v = np.frombuffer(wb, np.uint32).astype(float) if wb else np.ones(len(y))
+    return max(float(plain), probability_jaccard(u[both], v[at[both]], u, v))
 
 
-def probability_jaccard(p, q, u, v, both, at) -> float:
-    """Sum over shared shingles of 1 / sum_j max(u_j / p, v_j / q)."""
-    if (u == u[0]).all() and (v == v[0]).all():  # no repeats: set Jaccard on equal weights
-        return float(len(p) / (len(u) + len(v) - len(p))) if u[0] == p[0] and v[0] == q[0] else 0.0
+def probability_jaccard(p: np.ndarray, q: np.ndarray, u: np.ndarray, v: np.ndarray) -> float:
+    """Sum over shared shingles, weighing p and q, of 1 / sum_j max(u_j / p, v_j / q)."""
     alone_u, alone_v = u.sum() - p.sum(), v.sum() - q.sum()
     # With t = p / q, max(u_j / p, v_j / q) = (u_j if u_j / v_j >= t else t v_j) / p.
     ratio = p / q
@@ -189,12 +200,82 @@ def probability_jaccard(p, q, u, v, both, at) -> float:
 
 def _links(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             keep = [similarity(*x) >= threshold for x in zip(*[batch.column(i).to_pylist() for i in range(2, 6)])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles that occur in two texts or more of a sample, most frequent first, up to a bound."""
+    parts = [np.frombuffer(x, np.uint64) for b in batches for x in b.column(0).to_pylist()]
+    code, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
+    best = np.lexsort((code, -n))[:FREQUENT_KEPT]
+    best = np.sort(best[n[best] > 1])
+    yield pa.RecordBatch.from_arrays([pa.array([code[best].tobytes()], pa.binary()), pa.array([n[best].astype(np.int64).tobytes()], pa.binary())],
+                                     names=["code", "n"])
+
+
+def prefix(code: np.ndarray, weight: np.ndarray, frequent: np.ndarray, times: np.ndarray, threshold: float) -> np.ndarray:
+    """The first shingles, rare ones first, one of which each text at the threshold must share."""
+    seen = np.zeros(len(code), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, code), len(frequent) - 1)
+        seen = np.where(frequent[at] == code, times[at], 0)
+    order = np.lexsort((code, seen))
+    left = 1 - np.cumsum(weight[order]) / weight.sum()
+    by_mass = int(np.argmax(left < threshold - 1e-9)) + 1
+    by_number = len(code) - int(np.ceil(threshold * len(code) - 1e-9)) + 1
+    return code[order[:max(by_mass, by_number)]]
+
+
+def _prefixes(frequent, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, times = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64)))
+        for batch in batches:
+            keys = []
+            for s, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                own = np.frombuffer(s, np.uint64)
+                weight = np.frombuffer(w, np.uint32).astype(float) if w else np.ones(len(own))
+                keys.append(prefix(own, weight, code, times, threshold).view(np.int64) if len(own) else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["id", "keys"])
+    return run
+
+
+def _alike(threshold: float):
+    """Keeps the pairs whose registers do not speak clearly against the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
+            same = (x == y).mean(1)
+            least = threshold - _DEVIATIONS * np.sqrt(threshold * (1 - threshold) / x.shape[1])
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(same >= least))
+    return run
+
+
+def _tile_links(threshold: float):
+    """Links among the pairs of a tile; each text of the tile is there once."""
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        held = dict(zip(sets.column("_id").to_pylist(), zip(sets.column("_set").to_pylist(), sets.column("_counts").to_pylist())))
+        keep = [a in held and b in held and similarity(*held[a], *held[b]) >= threshold
+                for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist())]
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _links_by_tiles(pairs: DataFrame, sets: DataFrame, threshold: float, groups: int) -> DataFrame:
+    """Compares pairs in groups x groups tiles: a text is sent 2 x groups times, however many pairs it has."""
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
+    dealt = pairs.withColumn("tile", group("a") * groups + group("b"))
+    every = F.array(*[F.lit(i) for i in range(groups)])
+    own = group("_id")
+    tiles = F.array_distinct(F.concat(F.transform(every, lambda j: own * groups + j), F.transform(every, lambda j: j * groups + own)))
+    spread = sets.select("_id", "_set", "_counts", F.explode(tiles).alias("tile"))
+    return dealt.groupBy("tile").cogroup(spread.groupBy("tile")).applyInArrow(_tile_links(threshold), "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, class): the smallest id connected with each id that has an edge; edges (a, b) are stored.
 
@@ -221,12 +302,30 @@ def node_id(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), -1 - F.xxhash64(text).bitwiseAND(F.lit(_LONG)))
 
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+    """Candidate pairs (a, b) of the given nodes (id, class) in different classes, by their rare shingles."""
+    spark = nodes.sparkSession
+    nodes = stored(nodes, "open")
+    own = stored(sets.join(nodes, sets["_id"] == nodes["id"], "left_semi"), "open-sets")
+    grain, n = 1 << 30, max(1, own.count())
+    sample = own.where(F.pmod(F.xxhash64(F.lit(2), "_id"), F.lit(grain)) < F.lit(min(grain, grain * FREQUENT_SAMPLE // n)))
+    frequent = sample.select("_set").repartition(1).mapInArrow(_frequent, "code binary, n binary").first()
+    held = spark.sparkContext.broadcast(tuple(frequent) if frequent else (b"", b""))
+    low = sketch.select(F.col("_id").alias("id"), F.col("_low").alias("low")).dropDuplicates(["id"])
+    keyed = own.select("_id", "_set", "_counts").mapInArrow(_prefixes(held, threshold), "id long, keys array<long>").join(
+        nodes, "id").join(low, "id")
+    keyed = stored(keyed.select("id", "class", "low", F.explode("keys").alias("key")), "prefixes")
+    other = keyed.select("key", F.col("id").alias("b"), F.col("class").alias("other"), F.col("low").alias("low_b"))
+    found = keyed.withColumnRenamed("id", "a").join(other, "key").where("class <> other and a < b")
+    return found.select("a", "b", "low", "low_b").mapInArrow(_alike(threshold), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: id, class_id (smallest id of its class) and whether it is that one."""
     source = docs.select(F.col(text).cast("string").alias("_text"), node_id(doc_id, text).alias("_id"))
     sketch = stored(source.select("_text", "_id").mapInArrow(
-        _sketch(bands, rows, size), "_id long, _whole long, _words long, _bands array<long>"), "sketches")
+        _sketch(bands, rows, size), "_id long, _whole long, _words long, _bands array<long>, _low binary"), "sketches")
     copies = stored(sketch.where("_words > 0").groupBy("_whole", "_words").agg(
         F.min("_id").alias("_rep"), F.max("_id").alias("_last")).where("_rep < _last").drop("_last"), "copies")
     nodes = sketch.join(copies, ["_whole", "_words"], "left").withColumn("_rep", F.coalesce("_rep", "_id"))
@@ -241,17 +340,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = stored(sets, "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
+        n_pairs = pairs.count()
+        ids = stored(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "ids")
+        needed = sets.join(ids, "_id", "left_semi")
+        n, size = needed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("_set") + F.octet_length("_counts")), F.lit(0))).first()
+        groups = max(6, -(-2 * int(size) // _TILE_BYTES))
+        if n_pairs > 4 * groups * n:  # many pairs of few texts: tiles move less
+            return stored(_links_by_tiles(pairs, needed, threshold, groups), "links")
         left = sets.select(F.col("_id").alias("a"), F.col("_set").alias("sa"), F.col("_counts").alias("wa"))
         right = sets.select(F.col("_id").alias("b"), F.col("_set").alias("sb"), F.col("_counts").alias("wb"))
-        joined = stored(pairs, "pairs").join(left, "a").join(right, "b")
+        joined = pairs.join(left, "a").join(right, "b")
         return stored(joined.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_links(threshold), "a long, b long"), "links")
 
-    classes = None
+    classes, tested = None, None
     for turn in range(LEADER_ROUNDS + 1):
         now = members.withColumn("class", F.col("id")) if classes is None else members.join(
             classes, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
-        # The leader of a bucket: the smallest id at first, later the smallest of a hash that changes.
-        key = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), F.col("id"))
+        # The leader of a bucket: the smallest id at first, later one by a hash that differs from bucket to bucket.
+        key = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), F.col("bucket"), F.col("id"))
         lead = stored(now.groupBy("bucket").agg(
             F.min(F.struct(key.alias("k"), "id", "class")).alias("lead"), F.min("class").alias("low"),
             F.max("class").alias("high")).where("low < high").select(
@@ -259,12 +365,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if lead.isEmpty():
             break
         if turn < LEADER_ROUNDS:
-            pairs = now.join(lead, "bucket").where("class <> other").select(F.col("id").alias("a"), "b").distinct()
-        else:  # what is left: all pairs of different classes in the buckets still open
-            open_ = stored(now.join(lead.select("bucket"), "bucket"), "open")
-            other = open_.select("bucket", F.col("id").alias("b"), F.col("class").alias("other"))
-            pairs = open_.withColumnRenamed("id", "a").join(other, "bucket").where(
-                "class <> other and a < b").select("a", "b").distinct()
+            pairs = now.join(lead, "bucket").where("class <> other").select(F.col("id").alias("a"), "b")
+        else:  # what is left of the buckets still open
+            pairs = _prefix_pairs(now.join(lead.select("bucket"), "bucket").select("id", "class").distinct(),
+                                  sets, sketch, threshold)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        # No pair is compared twice, so rounds after the first are small.
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
+            continue
+        tested = pairs if tested is None else tested.union(pairs)
         edges = linked(pairs)
         known = edges if classes is None else edges.union(classes.select(F.col("id").alias("a"), F.col("class").alias("b")))
         classes = components(known)
