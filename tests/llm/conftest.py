@@ -1,20 +1,9 @@
-import random
-
 import pytest
+from llm_helpers import prose
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, kept BOOLEAN, score STRING, _text STRING, class_id STRING"
 
 
-def prose(seed, n, words=400):
-    """Invented prose: ``n`` words of a small vocabulary, in lines."""
-    r = random.Random(seed)
-    vocabulary = ["".join(r.choice("abcdefghiklmnoprstuvwéß") for _ in range(r.randint(2, 9))) for _ in range(words)]
-    out = []
-    for i in range(n):
-        out.append(r.choice(vocabulary) + ("." if i % 9 == 8 else "") + ("\n" if i % 40 == 39 else " "))
-    return "".join(out).strip()
-
-
 def edge_rows():
     """Null, empty, blank, long, equal and repeated texts, null ids, and other columns with clashing names."""
     long = prose(1, 20_000, 3000)

@@ -8,8 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
-from conftest import prose
-from llm_helpers import SF, by_key
+from llm_helpers import SF, by_key, prose
 from test_layout import check_packing, plain_pieces
 from test_matches import plain_contamination, plain_removal
 
