@@ -151,3 +151,32 @@ def test_score_query_beats_the_base_on_held_out_rows(spark):
     assert {i: r["held_out"] for i, r in out.items()} == held and {r["train_tokens"] for r in out.values()} == {n}
     rows = [r for r in out.values() if r["held_out"]]
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_model_learns_from_all_training_documents(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(12)) + " and the end") for i in range(10_000)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    training = F.col("doc_id") % 5 != 1
+    _, known = lm.score_documents(df, training)
+    assert known.learned == lm.ROUNDS * known.tokens == lm.ROUNDS * 8000 * 16
+    assert known.size - 1 == lm.vocabulary_size(8000 * 12 + 4) > 2000  # grows with the distinct tokens
+    monkeypatch.setattr(lm, "SMALL_TOKENS", 0)
+    monkeypatch.setattr(lm, "_PART_BYTES", 500_000)  # several partitions, each document in one round
+    _, known = lm.score_documents(df, training)
+    assert known.learned == known.tokens
+
+
+def test_average_of_weights_keeps_what_one_partition_learned():
+    w = lm.first_weights(np.ones(3000))
+    other = {k: x + 1 for k, x in w.items()}
+    met = np.zeros(3000, np.float32)
+    met[7] = 5
+    rows = [*lm._pack(w, np.zeros(3000, np.float32), 30), *lm._pack(other, met, 10)]
+    out = []
+    for shard in sorted({r[0] for r in rows}):
+        part = lm.pa.Table.from_pylist([dict(zip(("shard", "n", "seen", "w"), r)) for r in rows if r[0] == shard])
+        out.append((shard, lm._average(part).column("w")[0].as_py()))
+    got = lm._unpack(out, w)
+    assert {k: x.shape for k, x in got.items()} == {k: x.shape for k, x in w.items()}
+    assert np.allclose(got["u"], w["u"] + 0.25) and np.allclose(got["x"][7], other["x"][7], atol=1e-3)
+    assert np.allclose(got["ob"][2999], w["ob"][2999] + 0.25)
