@@ -5,8 +5,10 @@ of them).  Every shingle is a Poisson process whose rate is its count; each
 arrival falls into one of the registers, a register keeps the shingle of its
 first arrival, and a shingle stops as soon as its next arrival is later than
 all registers of its document.  Two registers agree with the probability
-Jaccard of the two texts.  Texts that agree in all registers of a band are
-candidates; a candidate pair is a link if its exact probability Jaccard or its
+Jaccard of the two texts.  A text that repeats a shingle has further registers
+with rate 1 for each distinct shingle, which agree with the set Jaccard; without
+repeats both are the same.  Texts that agree in all registers of a band, of
+either kind, are candidates; a candidate pair is a link if its exact probability Jaccard or its
 set Jaccard is ``threshold`` or more, and classes are the connected components.
 
 Equal word sequences are one node from the start.  Inside a band's bucket all
@@ -14,8 +16,8 @@ nodes are compared with one leader, not with each other; buckets whose nodes
 are still in different classes get other leaders.  For what is then left in
 different classes a prefix join finds the rest: in an order that puts frequent
 shingles last, two texts at the threshold share one of the first shingles of both,
-those before the last ``threshold`` of their mass.  A pair whose registers agree
-far less than the threshold asks is dropped before its shingles are compared, and
+those before the last ``threshold`` of their mass.  A pair whose registers of both
+kinds agree far less than the threshold asks is dropped before its shingles are compared, and
 where many pairs share few texts the texts are dealt into tiles, not to each pair.  So no link is lost but by the bands, which miss
 a pair at the threshold with probability (1 - threshold^rows)^bands.
 
@@ -132,6 +134,17 @@ def signatures(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n_docs: in
     return winner.reshape(n_docs, registers)
 
 
+def both_signatures(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n_docs: int,
+                    registers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures by counts; the texts with a repeated shingle, and their signatures by distinct shingles."""
+    winners = signatures(doc, code, weight, n_docs, registers)
+    repeats = np.zeros(n_docs, bool)
+    repeats[doc[weight > 1]] = True
+    own, place = np.flatnonzero(repeats), np.cumsum(repeats) - 1
+    at = repeats[doc]
+    return winners, own, signatures(place[doc[at]], code[at], np.ones(int(at.sum())), len(own), registers)
+
+
 def band_hashes(winners: np.ndarray, bands: int, rows: int) -> np.ndarray:
     parts = winners.reshape(len(winners), bands, rows)
     out = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), parts.shape[:2]).copy()
@@ -144,13 +157,16 @@ def _sketch(bands: int, rows: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, _BLOCK):
             doc, code, weight, n, whole = shingles(batch.column(0).to_pylist(), size)
-            winners = signatures(doc, code, weight, batch.num_rows, bands * rows)
-            found, low = band_hashes(winners, bands, rows), winners.astype(np.uint8)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, bands, dtype=np.int32)),
-                                             pa.array(found.ravel()))
+            winners, own, plain = both_signatures(doc, code, weight, batch.num_rows, bands * rows)
+            found = list(band_hashes(winners, bands, rows))
+            low = [x.tobytes() for x in winners.astype(np.uint8)]
+            for i, more, x in zip(own.tolist(), band_hashes(plain, bands, rows), plain.astype(np.uint8)):
+                found[i], low[i] = np.union1d(found[i], more), low[i] + x.tobytes()
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()),
+                                             pa.array(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(whole.view(np.int64)), pa.array(n.astype(np.int64)), lists,
-                 pa.array([x.tobytes() for x in low], pa.binary())],
+                 pa.array(low, pa.binary())],
                 names=["_id", "_whole", "_words", "_bands", "_low"])
     return run
 
@@ -242,15 +258,18 @@ def _prefixes(frequent, threshold: float):
     return run
 
 
-def _alike(threshold: float):
-    """Keeps the pairs whose registers do not speak clearly against the threshold."""
+def _alike(threshold: float, registers: int):
+    """Keeps the pairs unless their registers by counts and those by distinct shingles both speak clearly against the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
-            same = (x == y).mean(1)
-            least = threshold - _DEVIATIONS * np.sqrt(threshold * (1 - threshold) / x.shape[1])
+            pair = [batch.column(i).to_pylist() for i in (2, 3)]
+            same = np.zeros(batch.num_rows)
+            for part in (slice(None, registers), slice(-registers, None)):
+                x, y = (np.frombuffer(b"".join([v[part] for v in low]), np.uint8).reshape(batch.num_rows, -1) for low in pair)
+                same = np.maximum(same, (x == y).mean(1))
+            least = threshold - _DEVIATIONS * np.sqrt(threshold * (1 - threshold) / registers)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(same >= least))
     return run
 
@@ -302,7 +321,7 @@ def node_id(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), -1 - F.xxhash64(text).bitwiseAND(F.lit(_LONG)))
 
 
-def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshold: float) -> DataFrame:
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshold: float, registers: int) -> DataFrame:
     """Candidate pairs (a, b) of the given nodes (id, class) in different classes, by their rare shingles."""
     spark = nodes.sparkSession
     nodes = stored(nodes, "open")
@@ -317,7 +336,7 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshol
     keyed = stored(keyed.select("id", "class", "low", F.explode("keys").alias("key")), "prefixes")
     other = keyed.select("key", F.col("id").alias("b"), F.col("class").alias("other"), F.col("low").alias("low_b"))
     found = keyed.withColumnRenamed("id", "a").join(other, "key").where("class <> other and a < b")
-    return found.select("a", "b", "low", "low_b").mapInArrow(_alike(threshold), "a long, b long")
+    return found.select("a", "b", "low", "low_b").mapInArrow(_alike(threshold, registers), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -368,7 +387,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = now.join(lead, "bucket").where("class <> other").select(F.col("id").alias("a"), "b")
         else:  # what is left of the buckets still open
             pairs = _prefix_pairs(now.join(lead.select("bucket"), "bucket").select("id", "class").distinct(),
-                                  sets, sketch, threshold)
+                                  sets, sketch, threshold, bands * rows)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # No pair is compared twice, so rounds after the first are small.
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")

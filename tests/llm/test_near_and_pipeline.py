@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import SF, by_key, prose
 from test_layout import check_packing, plain_pieces
@@ -106,6 +107,35 @@ def test_large_groups_of_near_copies(spark):
     assert got == plain_classes(rows)
 
 
+def repeated(seed, n, phrase, times):
+    """Distinct words, then a phrase so often, each time in the same surroundings."""
+    return " ".join([f"s{seed}w{k}" for k in range(n)] + [f"{phrase}{seed}p{k}" for _ in range(times) for k in range(20)])
+
+
+def test_equal_sets_with_other_repeat_counts(spark):
+    """Set Jaccard 1, probability Jaccard about a half: linked by the set alone."""
+    rows = [(10 * s + k, repeated(s, 420, "q", times)) for s in range(40) for k, times in enumerate((2, 30))]
+    a, b = (shingle_counts(t) for _, t in rows[:2])
+    assert a.keys() == b.keys() and max(a.values()) < max(b.values())
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert got == plain_classes(rows) and set(got.values()) == {10 * s for s in range(40)}
+
+
+def test_registers_of_either_kind_keep_a_pair():
+    texts = [repeated(1, 420, "q", 2), repeated(1, 420, "q", 30), prose(3, 400)]
+    doc, code, weight, _, _ = minhash.shingles(texts)
+    winners, own, plain = minhash.both_signatures(doc, code, weight, 3, 150)
+    low = [x.tobytes() for x in winners.astype(np.uint8)]
+    assert {0, 1} <= set(own.tolist())
+    for i, x in zip(own.tolist(), plain.astype(np.uint8)):
+        low[i] += x.tobytes()
+    batch = pa.RecordBatch.from_pydict({"a": [0, 0], "b": [1, 2], "low": [low[0]] * 2, "low_b": [low[1], low[2]]})
+    assert (winners[0] == winners[1]).mean() < 0.64
+    out, = minhash._alike(0.8, 150)(iter([batch]))
+    assert out.column("b").to_pylist() == [1]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (103, 100)]
     random.Random(1).shuffle(edges)
