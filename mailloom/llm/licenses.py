@@ -1,8 +1,10 @@
 """License scan: ordered signature rules over whole texts, in built-in expressions only.
 
-Rules are regular expressions with a keyword, a level (1 strongest) and a
-label.  A text without the gate word is not looked at; a rule runs only where
-its keyword occurs.  A detection is dropped if the interval of another one of
+Rules are regular expressions with a gate word, a keyword, a level (1 strongest)
+and a label.  A text without any gate word is not looked at; a rule runs only
+where its gate word and keyword occur.  Every match of a rule contains both, so
+they save time and drop nothing; a name with alternatives that have no word in
+common is a family for each.  A detection is dropped if the interval of another one of
 the same or a stronger level contains it (of equal intervals the stronger, then
 the earlier rule stays).  The scan is one projection: no shuffle, so neither
 copies nor hot sources matter.
@@ -14,11 +16,14 @@ are left out unless named in ``keep``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GATE = "licen"
+GATE = "licen"  # in every match of a rule that asks for "license"
+GRANT_GATE = "under"  # in every grant
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _COUNTED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -31,6 +36,7 @@ class Rule:
     level: int
     keyword: str
     pattern: str
+    gate: str = GATE
 
 
 # label, SPDX identifiers, name patterns, keyword of the names.
@@ -67,7 +73,8 @@ FAMILIES = (
     ("zlib", ("zlib",), r"zlib(?:\s*/\s*libpng)?", "zlib"),
     ("libpng", ("libpng", "libpng-2.0"), r"libpng", "libpng"),
     ("boost", ("bsl-1.0",), r"boost(?:\s+software)?", "boost"),
-    ("unlicense", ("unlicense",), r"unlicense|the\s+un", "unlicense"),
+    ("unlicense", ("unlicense",), r"unlicense", "unlicense"),
+    ("unlicense", (), r"the\s+un", "un"),
     ("wtfpl", ("wtfpl",), r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public", "want"),
     ("python", ("psf-2.0", "python-2.0"), r"python(?:\s+software\s+foundation)?", "python"),
     ("postgresql", ("postgresql",), r"postgresql", "postgresql"),
@@ -83,35 +90,61 @@ FAMILIES = (
     ("afl", ("afl-3.0", "afl-2.1"), r"academic\s+free", "academic"),
     ("ofl", ("ofl-1.1",), r"(?:sil\s+)?open\s+font", "font"),
     ("odbl", ("odbl-1.0",), r"open\s+database", "database"),
-    ("cc-by-nc-nd", ("cc-by-nc-nd-4.0",), r"(?:creative\s+commons\s+attribution-noncommercial-noderiv\w*|cc[\s-]by-nc-nd)", "nc"),
-    ("cc-by-nc-sa", ("cc-by-nc-sa-4.0",), r"(?:creative\s+commons\s+attribution-noncommercial-sharealike|cc[\s-]by-nc-sa)", "nc"),
-    ("cc-by-nc", ("cc-by-nc-4.0",), r"(?:creative\s+commons\s+attribution-noncommercial|cc[\s-]by-nc)", "nc"),
-    ("cc-by-sa", ("cc-by-sa-4.0", "cc-by-sa-3.0"), r"(?:creative\s+commons\s+attribution-sharealike|cc[\s-]by-sa)", "sa"),
-    ("cc-by-nd", ("cc-by-nd-4.0",), r"(?:creative\s+commons\s+attribution-noderiv\w*|cc[\s-]by-nd)", "nd"),
-    ("cc-by", ("cc-by-4.0", "cc-by-3.0"), r"(?:creative\s+commons\s+attribution|cc[\s-]by)", "by"),
-    ("cc0", ("cc0-1.0",), r"(?:cc0|creative\s+commons\s+zero)", "cc"),
+    ("cc-by-nc-nd", ("cc-by-nc-nd-4.0",), r"creative\s+commons\s+attribution-noncommercial-noderiv\w*", "noderiv"),
+    ("cc-by-nc-nd", (), r"cc[\s-]by-nc-nd", "by-nc-nd"),
+    ("cc-by-nc-sa", ("cc-by-nc-sa-4.0",), r"creative\s+commons\s+attribution-noncommercial-sharealike", "sharealike"),
+    ("cc-by-nc-sa", (), r"cc[\s-]by-nc-sa", "by-nc-sa"),
+    ("cc-by-nc", ("cc-by-nc-4.0",), r"creative\s+commons\s+attribution-noncommercial", "noncommercial"),
+    ("cc-by-nc", (), r"cc[\s-]by-nc", "by-nc"),
+    ("cc-by-sa", ("cc-by-sa-4.0", "cc-by-sa-3.0"), r"creative\s+commons\s+attribution-sharealike", "sharealike"),
+    ("cc-by-sa", (), r"cc[\s-]by-sa", "by-sa"),
+    ("cc-by-nd", ("cc-by-nd-4.0",), r"creative\s+commons\s+attribution-noderiv\w*", "noderiv"),
+    ("cc-by-nd", (), r"cc[\s-]by-nd", "by-nd"),
+    ("cc-by", ("cc-by-4.0", "cc-by-3.0"), r"creative\s+commons\s+attribution", "attribution"),
+    ("cc-by", (), r"cc[\s-]by", "by"),
+    ("cc0", ("cc0-1.0",), r"cc0", "cc0"),
+    ("cc0", (), r"creative\s+commons\s+zero", "zero"),
     ("creative-commons", ("cc-pddc",), r"creative\s+commons", "creative"),
-    ("proprietary", ("licenseref-proprietary",), r"(?:proprietary|commercial)", "r"),
+    ("proprietary", ("licenseref-proprietary",), r"proprietary", "proprietary"),
+    ("proprietary", (), r"commercial", "commercial"),
+)
+# Wordings of the notices themselves, by hand: label, words in turn, keyword (also the gate).
+NOTICES = (
+    ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software", "obtaining"),
+    ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution"),
+    ("isc", "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "distribute"),
+    ("isc", "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", "distribute"),
+    ("zlib", "this software is provided 'as-is', without any express or implied warranty. in no event will the authors be held liable", "as-is"),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("boost", "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by", "organization"),
+    ("gpl", "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
+    ("gpl", "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
+    ("lgpl", "this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public", "redistribute"),
+    ("wtfpl", "you just do what the fuck you want to", "fuck"),
+    ("proprietary", "unauthorized copying of this file, via any medium is strictly prohibited", "unauthorized"),
 )
 
 
 def default_rules(families=FAMILIES) -> list[Rule]:
-    """The ordered rules: for each family identifiers, grants, titled names and references."""
+    """The ordered rules: for each family identifiers, grants, titled names and references; then the notices."""
     rules = []
     for label, ids, name, keyword in families:
         for spdx in ids:
             rules.append(Rule(label, 1, spdx, rf"spdx-licen[cs]e-identifier\s*:\s*{spdx.replace('.', '[.]')}(?![\w.-])"))
         grant = r"(?<!\w)(?:re)?(?:licensed|distributed|released|available|published|redistributed)\s+(?:to\s+you\s+)?under\s+(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+)?(?:the\s+|an?\s+)?"
-        rules.append(Rule(label, 2, keyword, rf"{grant}(?:{name})(?!\w)(?:\s+licen[cs]e)?"))
+        rules.append(Rule(label, 2, keyword, rf"{grant}(?:{name})(?!\w)(?:\s+licen[cs]e)?", GRANT_GATE))
         rules.append(Rule(label, 3, keyword, rf"(?<!\w)(?:{name})\s+(?:public\s+)?licen[cs]e(?:,?\s+(?:version\s+|v\.?\s*)\d+(?:\.\d+)*)?(?!\w)"))
         rules.append(Rule(label, 4, keyword, rf"(?<!\w)licen[cs]e\s*[:=]\s*[\"']?(?:{name})(?!\w)"))
+    for label, words, keyword in NOTICES:
+        pattern = r"\s+".join(w.replace(".", "[.]") for w in words.split(" "))
+        rules.append(Rule(label, 2, keyword, rf"(?<!\w){pattern}(?!\w)", keyword))
     return rules
 
 
 def _struct(rule: Rule, place: int) -> Column:
     return F.struct(F.lit(rule.label).alias("label"), F.lit(rule.level).alias("level"),
                     F.lit(place).alias("place"), F.lit(rule.keyword).alias("keyword"),
-                    F.lit(rule.pattern).alias("pattern"))
+                    F.lit(rule.gate).alias("gate"), F.lit(rule.pattern).alias("pattern"))
 
 
 def _intervals(text: Column, rule: Column) -> Column:
@@ -168,14 +201,18 @@ def _spaces(text: Column) -> Column:
 def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
                  rules: list[Rule] | None = None) -> DataFrame:
     """One row per row of ``docs``: word count, base phrase places, labels and score."""
-    table = F.array(*[_struct(r, i) for i, r in enumerate(rules or default_rules())])
+    rules = rules or default_rules()
+    table = F.array(*[_struct(r, i) for i, r in enumerate(rules)])
+    gates = sorted({GATE} | {r.gate for r in rules})
     raw = F.coalesce(F.col(text), F.lit(""))
     lower = F.lower(raw)
     base = "|".join(BASE_PHRASES)
     df = docs.select(
         *keep, F.regexp_count(raw, F.lit(_COUNTED)).cast("long").alias("n_words"),
-        F.when(F.contains(lower, F.lit(GATE)), lower).alias("_low"))
-    norm = F.concat(F.lit(" "), F.trim(F.regexp_replace("_low", SEPARATORS, " ")), F.lit(" "))
+        F.when(
+            reduce(or_, [F.contains(lower, F.lit(g)) for g in gates]), lower).alias("_low"))
+    norm = F.when(F.contains("_low", F.lit(GATE)), F.concat(
+        F.lit(" "), F.trim(F.regexp_replace("_low", SEPARATORS, " ")), F.lit(" ")))
     df = df.withColumn("_norm", norm)
     df = df.withColumn("n_base", F.coalesce(F.regexp_count(
         "_norm", F.lit(f"(?<= )(?:{base})(?= )")), F.lit(0)).cast("long"))
@@ -183,7 +220,7 @@ def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     before = F.regexp_instr("_norm", F.lit(f"(?<= )(?:{base})(?= )")) - 1
     last = F.regexp_extract("_norm", rf"(?s)^(.* )(?:{base}) ", 1)
     hits = F.array_sort(F.flatten(F.transform(
-        F.filter(table, lambda r: F.contains(F.col("_low"), r["keyword"])),
+        F.filter(table, lambda r: F.contains(F.col("_low"), r["gate"]) & F.contains(F.col("_low"), r["keyword"])),
         lambda r: _intervals(F.col("_low"), r))))
     labels = F.array(*[F.when(F.contains("_norm", F.lit(f" {p} ")), F.lit(v)) for p, v in BASE_PHRASES.items()])
     df = df.select(

@@ -113,3 +113,46 @@ def test_license_query(spark):
     assert {k: tuple(r)[1:6] for k, r in out.items()} == {i: base_places(t) for i, t in docs}
     assert all(0 <= r["score"] <= 1 and (r["labels"] == "") == (r["score"] == 0) for r in out.values())
     assert any(r["labels"] not in ("", r["base_labels"]) for r in out.values())
+
+
+def labels_of_all_rules(text):
+    """As plain_labels, but without gate words and keywords."""
+    low = (text or "").lower()
+    hits = [(m.start(), m.end(), r.level, i, r.label) for i, r in enumerate(licenses.default_rules())
+            for m in re.finditer(r.pattern, low, re.ASCII)]
+
+    def contained(h):
+        return any(g is not h and g[0] <= h[0] and g[1] >= h[1] and g[2] <= h[2]
+                   and ((g[0], g[1]) != (h[0], h[1]) or g[2:4] < h[2:4]) for g in hits)
+    return {h[4] for h in hits if not contained(h)}
+
+
+WORDINGS = [
+    ("distributed under the GPL v3", "gpl-3.0"), ("It was released under the MIT.", "mit"),
+    ("This work is licensed under the Creative Commons Attribution-ShareAlike license.", "cc-by-sa"),
+    ("licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives license", "cc-by-nc-nd"),
+    ("licensed under the Creative Commons Attribution-NoDerivs license", "cc-by-nd"),
+    ("under a Creative Commons Attribution license", "cc-by"), ("Creative Commons Zero License", "cc0"),
+    ("released under the Un license", "unlicense"), ("available under commercial", "proprietary"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided", "bsd"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and", "mit"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+]
+
+
+def test_license_prefilters_drop_nothing(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(WORDINGS)] + list(enumerate(LICENSED, 100))
+    out = by_key(licenses.license_scan(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")))
+    for i, text in rows:
+        want = labels_of_all_rules(text) | set(filter(None, base_places(text)[4].split(",")))
+        assert out[i]["labels"] == ",".join(sorted(want)), text
+    assert all(label in out[i]["labels"].split(",") for i, (_, label) in enumerate(WORDINGS))
+
+
+def test_every_name_holds_its_keyword():
+    names = {n: k for _, _, n, k in licenses.FAMILIES}
+    for name, keyword in names.items():
+        alternatives = name[3:-1].split("|") if name.startswith("(?:") and name.endswith(")") else [name]
+        assert all(keyword in re.sub(r"\([^()]*\)\?", "", a) for a in alternatives), name
+    for _, words, keyword in licenses.NOTICES:
+        assert keyword in words
