@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, licenses, lm, minhash, packing, quality, sharding, suffix_dedup, warc
+from . import (decontaminate, hard_negatives, langid, licenses, lm, minhash, mixing, packing, quality, runs, sharding,
+               suffix_dedup, warc)
 from .common import remainder, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +98,33 @@ def op2_repeat_removal(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
 
 
+@_query
+def op11_word_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of every document; a tenth of the texts get a periodic tail first."""
+    found = runs.collapse_runs(table(spark, sf, "documents").select("doc_id", "text"), change=runs.repeat_tail)
+    best = F.get("runs", F.col("strongest"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * get(runs, strongest).length div get(runs, strongest).period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of a hundredth of the vectors, with a seventh of the labels moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(rows, anchors=F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+
+
+@_query
+def op13_entropy_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "rate", "copies")
+
+
 # --- SQL counterparts, where SQL can express the whole result ----------------
 
 _FOLD = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -131,3 +159,17 @@ q AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d, max(page_id) OVER (PARTITION
 SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to FROM q"""
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5"""
