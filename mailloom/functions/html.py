@@ -35,9 +35,6 @@ _SCRIPT_BODY = rf"(?is)^<script{_ATTRS}>(.*?)(?:</script[^>]*+>)?\z"
 
 # Stands for removed markup; it cannot occur in valid HTML.
 MARK = "\u0001"
-# Elements without content.
-_VOID = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
-         "track", "wbr"]
 
 _NUMBER = r"^#(?:0*+([0-9]++)|[xX]0*+([0-9a-fA-F]++)|[xX]?0++);?"
 _NAME = r"^([A-Za-z][A-Za-z0-9]*+);"
@@ -50,8 +47,6 @@ _BARE_NAME = "^(" + "|".join(sorted(_BARE, key=lambda x: (-len(x), x))) + ")"
 # Numbers 128 to 159 stand for the characters of windows-1252.
 _CONTROLS = {str(i): bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
 _CONTROLS = {k: chr(int(k)) if v == "\ufffd" else v for k, v in _CONTROLS.items()}  # five are unassigned
-# Tags and stretches of text that are read for the text of an element found by attribute.
-_BODY_LIMIT = 128
 
 
 def _attr_pattern(name: str) -> str:
@@ -212,24 +207,15 @@ def meta_contents(markup: Column) -> Column:
     return F.transform(found, lambda a: attr(a, "content"))
 
 
-def tags_with_attr(markup: Column, name: str) -> Column:
-    """array<struct(value, text)> of all elements that carry the attribute.
+def attr_elements(elements: Column, name: str) -> Column:
+    """array<struct(value, text)> of the elements that carry the attribute.
 
-    The text runs to the next tag of the same name, through at most
-    ``_BODY_LIMIT`` tags and stretches between them, so that a page of elements that are
-    never closed costs linear time; void elements have none.
+    ``elements`` comes from :func:`.elements.elements_with_attr`, which reads
+    the page; a tag that only mentions the name has no such value.
     """
-    tag = (rf"(?is)<([a-z][^\s/>]*+)(?=[\s/])(?=[^>]*?{name}){_ATTRS}>"
-           rf"(?=((?:[^<]++|<(?!/?\1[\s/>])){{0,{_BODY_LIMIT}}}+))")
-    void = rf"(?i)^<(?:{'|'.join(_VOID)})[\s/]"
-    part = lambda g: F.regexp_extract_all(markup, F.lit(tag), F.lit(g))
-    found = F.zip_with(part(0), part(2), lambda t, body: F.struct(
-        _attr_of_tag(t, name).alias("value"),
-        F.when(t.rlike(void), F.lit("")).otherwise(inner_text(body)).alias("text")))
-    return F.when(
-        F.contains(F.lower(markup), F.lit(name)),
-        F.filter(found, lambda t: t["value"].isNotNull()),
-    ).otherwise(F.array().cast("array<struct<value:string,text:string>>"))
+    found = F.transform(elements, lambda e: F.struct(
+        _attr_of_tag(e["tag"], name).alias("value"), e["text"].alias("text")))
+    return F.filter(found, lambda t: t["value"].isNotNull())
 
 
 def is_blocked(title: Column, text: Column) -> Column:

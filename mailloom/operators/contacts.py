@@ -13,9 +13,11 @@ from ..constants import (
 )
 from ..functions import emails as E
 from ..functions import html as H
+from ..functions.elements import elements_with_attr
 from ..functions.text import built_once, let, strip
 from ..functions.urls import is_skipped
 from ..session import cut_lineage
+from .skew import with_global_index
 
 _HITS = "array<struct<email:string,pos:int,snippet:string>>"
 
@@ -48,8 +50,16 @@ def _mailto(markup: Column, suffixes: Iterable[str]) -> Column:
                   _accepted(F.transform(links, address), suffixes)).otherwise(_none())
 
 
-def _data_attr(markup: Column, suffixes: Iterable[str]) -> Column:
-    tags = H.tags_with_attr(markup, "data-email")
+def data_elements(html: Column) -> Column:
+    """The elements of a page that :func:`page_hits` reads data attributes from.
+
+    It holds a Python function, so ``html`` is a column of the table.
+    """
+    return elements_with_attr(html, "data-email", SNIPPET_LENGTH)
+
+
+def _data_attr(elements: Column, suffixes: Iterable[str]) -> Column:
+    tags = H.attr_elements(elements, "data-email")
     return _accepted(F.transform(tags, lambda t: F.struct(
         strip(t["value"]).alias("email"), t["text"].alias("snippet"))), suffixes)
 
@@ -85,7 +95,7 @@ def emails_mailto(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> C
 
 def emails_data_attr(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> Column:
     """array<struct(email, pos, snippet)> of data-email attributes."""
-    return let(H.without_blocks(html), lambda m: _data_attr(m, tuple(suffixes)))
+    return let(data_elements(html), lambda e: _data_attr(e, tuple(suffixes)))
 
 
 def emails_meta(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> Column:
@@ -119,11 +129,12 @@ def _first_hits(hits: Column) -> Column:
 
 def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
               exclude: Iterable[str] | None = ROLE_PATTERNS,
-              text: Column | None = None) -> Column:
+              text: Column | None = None, elements: Column | None = None) -> Column:
     """struct(title, hits) of a page; all five extractors share one pass.
 
     Order of precedence: mailto, data attribute, meta, visible text, script.
-    Role addresses are dropped unless ``exclude`` is None.
+    Role addresses are dropped unless ``exclude`` is None.  Inside a lambda
+    ``elements`` (:func:`data_elements`) has to be given.
     """
     suffixes = tuple(suffixes)
 
@@ -132,10 +143,11 @@ def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
             h["email"].alias("email"), F.lit(method).alias("method"),
             h["snippet"].alias("snippet")))
 
-    def build(markup: Column) -> Column:
+    def build(page: Column) -> Column:
+        markup = page["markup"]
         found = F.concat(
             tagged(_mailto(markup, suffixes), "mailto_link"),
-            tagged(_data_attr(markup, suffixes), "data_attribute"),
+            tagged(_data_attr(page["elements"], suffixes), "data_attribute"),
             tagged(_meta(markup, suffixes), "meta_tag"),
             tagged(emails_visible(html, suffixes) if text is None
                    else E.find_emails(text, suffixes), "regex_html"),
@@ -146,7 +158,8 @@ def page_hits(html: Column, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
             found = F.filter(found, lambda h: ~E.is_institutional(h["email"], roles))
         return F.struct(H.title_of(markup).alias("title"), _first_hits(found).alias("hits"))
 
-    return let(H.without_blocks(html), build)
+    elements = data_elements(html) if elements is None else elements
+    return let(F.struct(H.without_blocks(html).alias("markup"), elements.alias("elements")), build)
 
 
 def page_hits_of(html: str, suffixes: Iterable[str] = DEFAULT_SUFFIXES,
@@ -237,11 +250,14 @@ def consolidate_contacts(occ: DataFrame, seq: str = "seq",
     """Addresses with their distinct sources; the key is (email, part).
 
     ``seq``, of any type that sorts, is the order of the occurrences.  Equal
-    (address, source) pairs are merged first.  The sources of an address are
-    dealt by a hash into as many parts as make about ``sources_per_part`` each
-    (one part for nearly every address), so no list grows with the table; in a
-    part they stand in first-seen order, and the other columns are those of
-    the address.  All addresses take the same path.
+    (address, source) pairs are merged first.  Sources stand in first-seen
+    order; an address with more than ``sources_per_part`` of them has as many
+    parts as that takes, filled in this order, so no list grows with the table.
+    The other columns of a part are those of the address.
+
+    Nearly all addresses have one part and are put together by one shuffle.  The
+    place of a source of a larger one is its place in the order of all of them,
+    made by ranges, less that of the first source of its address.
     """
     rows = clean_occurrences(occ, exclude).select(
         "email",
@@ -251,31 +267,40 @@ def consolidate_contacts(occ: DataFrame, seq: str = "seq",
         "found_at",
         F.col(seq).alias("seq"),
     )
-    # Stored once: two readers follow, and the scan behind it is the big part.
+    # Stored once: several readers follow, and the scan behind it is the big part.
     pairs = cut_lineage(rows.groupBy("email", "source_url").agg(
         F.min(F.struct("seq", "domain")).alias("first"),
         F.min("found_at").alias("found_at"),
     ))
-    heads = pairs.groupBy("email").agg(
-        F.min("first")["domain"].alias("domain"), F.min("found_at").alias("first_seen"),
-        F.ceil(F.count("source_url") / F.lit(sources_per_part)).alias("parts"))
-    part = F.pmod(F.xxhash64("source_url"), F.greatest("parts", F.lit(1))).alias("part")
+    head = [F.min("first")["domain"].alias("domain"), F.min("found_at").alias("first_seen")]
+    large = cut_lineage(pairs.groupBy("email").agg(*head, F.count("source_url").alias("n")).where(
+        F.col("n") > sources_per_part).drop("n"))
     source = F.when(F.col("source_url").isNotNull(),
                     F.struct(F.col("first.seq").alias("seq"), "source_url"))
-    in_order = F.transform(F.array_sort(F.collect_list(source)), lambda s: s["source_url"])
-    dealt = pairs.join(heads, "email").select(
-        "email", "domain", "first_seen", "source_url", "first",
-        F.when(F.col("source_url").isNull(), F.lit(0)).otherwise(part).cast("long").alias("part"))
-    return dealt.groupBy("email", "part").agg(
-        F.first("domain").alias("domain"), F.first("first_seen").alias("first_seen"),
-        in_order.alias("sources"),
-    ).select(
+    in_order = F.transform(F.array_sort(F.collect_list(source)), lambda s: s["source_url"]).alias("sources")
+    out = pairs.join(large, "email", "left_anti").groupBy("email").agg(
+        *head, in_order).withColumn("part", F.lit(0).cast("long"))
+    if not large.isEmpty():
+        out = out.unionByName(_large_parts(pairs, large, in_order, sources_per_part))
+    return out.select(
         "email", "domain", "first_seen", "sources",
         F.lit("false").alias("verified"), F.lit("unknown").alias("status"),
         F.lit("").alias("notes"), "part",
     )
 
 
+def _large_parts(pairs: DataFrame, large: DataFrame, in_order: Column, sources_per_part: int) -> DataFrame:
+    """The parts of the addresses in ``large``; no task holds more than one part."""
+    ranked = with_global_index(
+        pairs.where(F.col("source_url").isNotNull()).join(large.select("email"), "email", "left_semi").select(
+            "email", F.col("first.seq").alias("seq"), "source_url", "first"), ["email", "seq", "source_url"], "place")
+    ranked = cut_lineage(ranked)
+    start = ranked.groupBy("email").agg(F.min("place").alias("start"))
+    part = F.floor((F.col("place") - F.col("start")) / F.lit(sources_per_part)).alias("part")
+    parts = ranked.join(start, "email").select("email", part, "first", "source_url")
+    return parts.groupBy("email", "part").agg(in_order).join(large, "email")
+
+
 def contact_sources(occ: DataFrame, seq: str = "seq",
                     exclude: Iterable[str] | None = ROLE_PATTERNS) -> DataFrame:
     """Distinct (address, source) rows with first position and time.
@@ -337,9 +362,10 @@ def page_diagnostics(pages: DataFrame, suffixes: Iterable[str] = DEFAULT_SUFFIXE
 
     def read_page() -> Column:
         """Text, title and hits; the text is made once for all uses."""
-        return let(H.visible_text(html), lambda t: F.struct(
-            t.alias("text"),
-            F.when(E.may_hold_address(html), page_hits(html, suffixes, exclude, t))
+        parts = F.struct(H.visible_text(html).alias("text"), data_elements(html).alias("elements"))
+        return let(parts, lambda p: F.struct(
+            p["text"].alias("text"),
+            F.when(E.may_hold_address(html), page_hits(html, suffixes, exclude, p["text"], p["elements"]))
             .otherwise(F.struct(H.page_title(html).alias("title"), _no_first_hits().alias("hits")))
             .alias("found")))
 

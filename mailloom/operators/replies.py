@@ -11,7 +11,7 @@ from ..constants import (
     BOUNCE_CLASS, CLASS_SLUGS, FOLLOW_UP_ACTIONS, REPLY_RULES, SUPPRESSING_CLASSES, UNKNOWN_CLASS,
 )
 from ..functions.emails import is_valid_email, normalize_email
-from ..functions.text import any_of, contains_any, literal_map, regex_quote
+from ..functions.text import any_of, contains_any, let, literal_map, regex_quote
 
 Rules = Sequence[tuple[str, Sequence[str]]]
 
@@ -87,8 +87,56 @@ def matched_classes(msgs: DataFrame, rules: Rules = REPLY_RULES, subject: str =
     return msgs.withColumn("matches", F.filter(hits, lambda h: h["keyword"] != ""))
 
 
+_WORD = "[A-Za-z0-9_]+"
+
+
 def _words(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit("[A-Za-z0-9_]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(_WORD), F.lit(0))
+
+
+def _gaps(c: Column) -> Column:
+    """What stands before, between and after the words: one more than there are words."""
+    return F.split(c, _WORD, -1)
+
+
+def _stands_at(text: Column, rule: Column) -> Column:
+    """Whether a keyword stands in a text (words, gaps) from the word ``rule.at`` on, as whole words.
+
+    Next to a gap of its own at either end a keyword needs another character or the end of the text.
+    """
+    n, at = F.size(rule["words"]), rule["at"]
+    before, after = F.get(text["gaps"], at), F.get(text["gaps"], at + n)
+    first, last = F.get(rule["gaps"], F.lit(0)), F.get(rule["gaps"], n)
+    inner = lambda gaps, start: F.slice(gaps, start, n - 1)
+    return (
+        (at >= 0) & (at + n <= F.size(text["words"])) & (F.slice(text["words"], F.greatest(at, F.lit(0)) + 1, n) == rule["words"])
+        & (inner(text["gaps"], F.greatest(at, F.lit(0)) + 2) == inner(rule["gaps"], F.lit(2)))
+        & F.endswith(before, first) & ((first == "") | (at == 0) | (F.length(before) > F.length(first)))
+        & F.startswith(after, last) & ((last == "") | (at + n == F.size(text["words"])) | (F.length(after) > F.length(last))))
+
+
+def _signs(c: Column) -> Column:
+    """The distinct characters that belong to no word."""
+    return F.array_distinct(F.filter(F.split(F.regexp_replace(c, _WORD, ""), "", -1), lambda x: x != ""))
+
+
+def filed_keywords(rules: DataFrame, places: DataFrame) -> DataFrame:
+    """Rules (priority, classification, keyword) with the token each is filed under, and its place in the keyword.
+
+    That is the word of the keyword that is rarest in ``places`` (id, token, place);
+    for a keyword without words, the rarest of its characters.
+    """
+    table = rules.select("priority", "classification", F.lower("keyword").alias("keyword")).where(
+        F.coalesce(F.col("keyword"), F.lit("")) != "").distinct()
+    words = _words(F.col("keyword"))
+    tokens = table.select("*", words.alias("words"), _gaps(F.col("keyword")).alias("gaps"), F.posexplode(
+        F.when(F.size(words) > 0, words).otherwise(_signs(F.col("keyword")))).alias("place", "token"))
+    seen = places.join(tokens.select("token").distinct(), "token", "left_semi").groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"))
+    return tokens.join(seen, "token", "left").groupBy("priority", "classification", "keyword").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "token")).alias("filed"),
+        F.first("words").alias("words"), F.first("gaps").alias("gaps")).select(
+        "priority", "classification", "keyword", "words", "gaps", "filed.token", F.col("filed.place").alias("offset"))
 
 
 def classify_with_table(msgs: DataFrame, rules: DataFrame, subject: str = "subject",
@@ -96,28 +144,36 @@ def classify_with_table(msgs: DataFrame, rules: DataFrame, subject: str = "subje
     """As :func:`classify_replies` with rules (priority, classification, keyword) from a table of any size.
 
     The smallest priority wins, then the smallest class name.  Keywords are
-    lower-cased; empty ones are left out.  A message and a keyword meet only
-    over the keyword's first word, so this is a join on words, and only what
-    meets is compared.  Each distinct text is classified once.
+    lower-cased; empty ones are left out.  Each distinct text is classified once.
+
+    A keyword is filed under its rarest word, so a word that many keywords and
+    messages share brings nothing together.  Only (text id, word, place) meets the
+    rules; the texts come back once, and each compares its words with the keywords found.
     """
-    text = message_text(F.col(subject), F.col(body))
-    keyed = msgs.withColumn("_text", text)
-    table = rules.select(
-        "priority", "classification", F.lower("keyword").alias("keyword")).where(
-            F.coalesce(F.col("keyword"), F.lit("")) != "").distinct()
-    # A keyword without any word of its own meets every message under ''.
-    table = table.withColumn("word", F.coalesce(F.get(_words(F.col("keyword")), 0), F.lit("")))
-    words = keyed.select("_text").distinct().select(
-        "_text", F.explode(F.array_append(F.array_distinct(_words(F.col("_text"))), "")).alias("word"))
-    quoted = F.concat(F.lit("(?<![A-Za-z0-9_])"), F.regexp_replace("keyword", r"([^A-Za-z0-9_\s])", r"\\$1"),
-                      F.lit("(?![A-Za-z0-9_])"))
-    best = words.join(table, "word").where(
-        F.contains("_text", F.col("keyword")) & F.rlike("_text", quoted)).groupBy("_text").agg(
-            F.min(F.struct("priority", "classification"))["classification"].alias("_class"))
+    keyed = msgs.withColumn("_text", message_text(F.col(subject), F.col(body))).withColumn("_text_id", F.md5("_text"))
+    texts = keyed.select("_text_id", "_text").dropDuplicates(["_text_id"])
+    places = texts.select("_text_id", F.posexplode(_words(F.col("_text"))).alias("place", "token")).unionByName(
+        texts.select("_text_id", F.lit(-1).alias("place"), F.explode(_signs(F.col("_text"))).alias("token")))
+    filed = filed_keywords(rules, places)
+    met = places.join(filed, "token").select("_text_id", F.struct(
+        "priority", "classification", "keyword", "words", "gaps", (F.col("place") - F.col("offset")).alias("at")).alias("rule"))
+    found = met.groupBy("_text_id").agg(F.collect_set("rule").alias("_rules"))
+    quoted = lambda k: F.concat(F.lit("(?<![A-Za-z0-9_])"), F.regexp_replace(k, r"([^A-Za-z0-9_\s])", r"\\$1"),
+                                F.lit("(?![A-Za-z0-9_])"))
+
+    def best(text: Column) -> Column:
+        fit = F.filter("_rules", lambda r: F.when(F.size(r["words"]) > 0, _stands_at(text, r)).otherwise(
+            F.rlike(text["text"], quoted(r["keyword"]))))
+        return F.array_min(F.transform(fit, lambda r: F.struct(
+            r["priority"].alias("priority"), r["classification"].alias("classification"))))
+
+    parts = F.struct(F.col("_text").alias("text"), _words(F.col("_text")).alias("words"), _gaps(F.col("_text")).alias("gaps"))
+    classes = texts.join(found, "_text_id").select("_text_id", let(parts, best).alias("_best")).select(
+        "_text_id", F.col("_best").getField("classification").alias("_class"))
     out = F.coalesce("_class", F.lit(UNKNOWN_CLASS))
     if status is not None:
         out = F.when(F.col(status) == "Bounced", F.lit(BOUNCE_CLASS)).otherwise(out)
-    return keyed.join(best, "_text", "left").select(*msgs.columns, out.alias("classification"))
+    return keyed.join(classes, "_text_id", "left").select(*msgs.columns, out.alias("classification"))
 
 
 def class_slug(classification: Column) -> Column:

@@ -56,6 +56,27 @@ FRAGMENT = " || ".join([
 ])
 MARKED_HTML = f"html || {FRAGMENT}"
 
+# Elements appended to a page that hold others: nested, closed by what holds them, closed
+# twice, empty, open to the end of the page.
+NESTED_FRAGMENT = " || ".join([
+    "'<div data-email=\"n'", P, "'.one@d.example.org\">out <div>in'", P,
+    "'<p>deep <b data-email=\"n'", P, "'.two@d.example.org\">b &amp; <i>c</i></p> after</div> rest</i></div> gone'",
+    "'<input data-email=\"n'", P, "'.three@d.example.org\">no<ul><li data-email=\"n'", P,
+    "'.four@d.example.org\">item<br>two</ul><section data-email=\"n'", P, "'.five@d.example.org\">tail<em>'", P,
+])
+NESTED_HTML = f"html || {NESTED_FRAGMENT}"
+
+# Bytes in several charsets, told by a header, a tag, a byte order mark or nothing: (header, tag, codec, text, mark).
+CHARSET_CASES = (
+    ("text/html; charset=windows-1256", "", "cp1256", "مرحبا بكم", b""),
+    ("text/html", "<meta charset=\"windows-1252\">", "cp1252", "“café” €5", b""),
+    (None, "<meta http-equiv=x content=\"text/html; charset=KOI8-R\">", "koi8_r", "привет", b""),
+    (None, "", "utf_8", "été — 日本", b"\xef\xbb\xbf"),
+    ("iso-8859-1", "<meta charset=utf-8>", "latin_1", "señor ÿ", b""),
+    (None, "", "utf_8", "plain ü", b""),
+    (None, "", "latin_1", "plain é", b""),
+)
+
 # Links appended to a page: one of each class, on the page's own site.
 SITE = "regexp_extract(url, '([a-z0-9-]+[.][a-z]+)(/|$)', 1)"
 LINK_FRAGMENT = " || ".join([

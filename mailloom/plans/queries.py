@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import PROVIDER_LIMITS, REPLY_RULES
+from ..functions import charsets as CH
 from ..functions import emails as E
 from ..functions import html as H
 from ..functions import text as T
@@ -195,10 +196,25 @@ def decoded_pages(spark: SparkSession, sf: str) -> DataFrame:
     latin = F.regexp_replace("html", r"[^\x00-\xff]", "?")
     odd = F.col("page_id") % 2 == 1
     raw = F.when(odd, F.encode(latin, "ISO-8859-1")).otherwise(F.encode("html", "UTF-8"))
-    return I.pages(spark, sf).select("page_id", RD.decode_bytes(raw).alias("text")).select(
+    return I.pages(spark, sf).select("page_id", CH.undeclared(raw).alias("text")).select(
         "page_id", F.md5("text").alias("text_md5"))
 
 
+@query
+def declared_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Page URLs and words in seven charsets, told by header, tag, byte order mark or nothing."""
+    kind = (F.col("page_id") % len(I.CHARSET_CASES)).cast("int")
+
+    def of(values: list[Column]) -> Column:
+        return F.get(F.array(*values), kind)
+
+    front = of([F.unhex(F.lit((mark + tag.encode()).hex())) for _, tag, _, _, mark in I.CHARSET_CASES])
+    words = of([F.unhex(F.lit(text.encode(codec).hex())) for _, _, codec, text, _ in I.CHARSET_CASES])
+    header = of([F.lit(h).cast("string") for h, *_ in I.CHARSET_CASES])
+    raw = I.pages(spark, sf).select("page_id", F.concat(front, F.encode("url", "UTF-8"), words).alias("content"), header.alias("header"))
+    return raw.select("page_id", CH.decode_page(F.col("content"), F.col("header")).alias("text"))
+
+
 @query
 def page_diagnostics(spark: SparkSession, sf: str) -> DataFrame:
     p = I.marked_pages(spark, sf).withColumn("html", F.when(
@@ -252,6 +268,14 @@ def contacts_data_attr(spark: SparkSession, sf: str) -> DataFrame:
     return _per_method(spark, sf, C.emails_data_attr)
 
 
+@query
+def contacts_nested_attr(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements with an address that hold other elements, in well and badly closed markup."""
+    p = I.pages(spark, sf).withColumn("html", F.expr(I.NESTED_HTML))
+    hits = p.select("page_id", F.explode(C.emails_data_attr(F.col("html"), I.SUFFIXES)).alias("h"))
+    return hits.select("page_id", F.col("h.pos").cast("long").alias("pos"), "h.email", "h.snippet")
+
+
 @query
 def contacts_meta(spark: SparkSession, sf: str) -> DataFrame:
     return _per_method(spark, sf, C.emails_meta)

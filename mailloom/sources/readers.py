@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.charsets import decode_page
 from ..functions.emails import normalize_email
 from ..functions.text import is_yes, strip
 from . import schemas
@@ -26,11 +27,11 @@ def escape_breaks(c: Column) -> Column:
 
 
 def restore_breaks(c: Column) -> Column:
-    """The inverse of :func:`escape_breaks`."""
-    mark = F.lit("\u0001")
-    out = F.replace(c, F.lit("\\\\"), mark)
-    out = F.replace(F.replace(out, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-    return F.when(F.contains(c, F.lit("\\")), F.replace(out, mark, F.lit("\\"))).otherwise(c)
+    """The inverse of :func:`escape_breaks`: pairs are read from left to right, whatever else the value holds."""
+    # Between escaped backslashes every other backslash belongs to a line break.
+    pieces = F.transform(F.split(c, r"\\\\", -1), lambda p: F.replace(
+        F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(F.contains(c, F.lit("\\")), F.array_join(pieces, "\\")).otherwise(c)
 
 
 def _restored(df: DataFrame) -> DataFrame:
@@ -56,16 +57,16 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
-def decode_bytes(content: Column) -> Column:
-    """Text of raw bytes: UTF-8 if valid, else Latin-1, which always succeeds."""
-    return F.coalesce(F.try_validate_utf8(content.cast("string")),
-                      F.decode(content, "ISO-8859-1"))
-
-
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Pages stored as single files: (url = file path, html)."""
+    """Pages stored as single files, in the charset each declares: (url = file path, html)."""
     raw = spark.read.format("binaryFile").load(path)
-    return raw.select(F.col("path").alias("url"), decode_bytes(F.col("content")).alias("html"))
+    return raw.select(F.col("path").alias("url"), decode_page(F.col("content")).alias("html"))
+
+
+def read_captured_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages stored as (page_id, url, content BINARY, content_type): their text by header, mark or tag."""
+    raw = spark.read.schema(schemas.CAPTURED).parquet(path)
+    return raw.select("page_id", "url", decode_page(F.col("content"), F.col("content_type")).alias("html"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Schemas of the files that go in and out."""
 
 PAGES = "page_id BIGINT, url STRING, html STRING"
+CAPTURED = "page_id BIGINT, url STRING, content BINARY, content_type STRING"
 OCCURRENCES = (
     "email STRING, local_part STRING, domain STRING, source_url STRING, source_type STRING, "
     "page_title STRING, context_snippet STRING, http_status STRING, found_at TIMESTAMP, "

@@ -118,3 +118,10 @@ def test_master_versions(spark, tmp_path):
 def test_metrics_file_is_one_file(spark, tmp_path):
     sinks.write_metrics(spark.range(5).repartition(4), str(tmp_path / "m"))
     assert len(list((tmp_path / "m").glob("part-*.csv"))) == 1
+
+
+def test_any_value_comes_back_from_its_escapes(spark):
+    values = ["\u0001\\", "\\n", "\\\n", "a\r\n\\\\n\u0001", "\\", "\n\\\\\n", "", "\\r\r", None, "x"]
+    df = spark.createDataFrame([(v,) for v in values], "v STRING")
+    got = df.select("v", RD.restore_breaks(RD.escape_breaks(F.col("v"))).alias("w")).collect()
+    assert [r["w"] for r in got] == [r["v"] for r in got] and len(got) == len(values)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailloom.functions import html as H
+from mailloom.functions.elements import elements_with_attr, walk_elements
 from mailloom.operators import links as L
 
 PAGE = """<!DOCTYPE html><html><head><meta name=a content="w a.b@u.dz c">
@@ -31,9 +32,9 @@ def test_page(spark):
         (0, "/a?b=1&c=2", "Tile"), (1, "/b", "un"), (2, "/d", "x")]
     assert one(spark, PAGE, H.scripts(h)) == ["var x=\"</p><a href='/no'>\";"]
     assert one(spark, PAGE, H.meta_contents(m)) == ["w a.b@u.dz c"]
-    tags = one(spark, PAGE, H.tags_with_attr(m, "data-email"))
-    assert [(t["value"], t["text"]) for t in tags[1:]] == [(" d.e@u.dz ", "Hime"), ("v@u.dz", "")]
-    assert tags[0]["value"] == "q.r@u.dz"
+    tags = one(spark, PAGE, H.attr_elements(elements_with_attr(h, "data-email"), "data-email"))
+    assert [(t["value"], t["text"]) for t in tags] == [
+        ("q.r@u.dz", "foobarbazTileunxnoa <b> 1 < 2HimeM.o@u.dz"), (" d.e@u.dz ", "Hime"), ("v@u.dz", "")]
 
 
 def test_attributes(spark):
@@ -87,7 +88,7 @@ def test_query_strings_keep_their_ampersands(spark):
 @pytest.mark.parametrize("page,function", [
     ("<title>" * 150_000, H.page_title),
     ("http://aaa" * 100_000, lambda c: F.size(L.page_links(c, F.lit("https://u.dz/"), (".dz",)))),
-    ("".join(f'<t{i} data-email="a{i}@b.dz">' for i in range(33_000)), lambda c: F.size(H.tags_with_attr(c, "data-email"))),
+    ("".join(f'<t{i} data-email="a{i}@b.dz">' for i in range(33_000)), lambda c: F.size(elements_with_attr(c, "data-email"))),
 ])
 def test_hostile_pages_cost_linear_time(spark, page, function):
     small = spark.createDataFrame([(page[:1000],)], "h STRING")
@@ -96,3 +97,30 @@ def test_hostile_pages_cost_linear_time(spark, page, function):
     start = time.perf_counter()
     whole.select(function(F.col("h"))).collect()
     assert time.perf_counter() - start < 20  # quadratic patterns took minutes
+
+
+@pytest.mark.parametrize("page,texts", [
+    ('<div data-email="a@x.dz">one<div>two</div>three</div>four', ["onetwothree"]),
+    ('<div data-email="a@x.dz">' + "<b></b>" * 70 + "late</div>x", ["late"]),
+    ('<p><b data-email="x">in</p>out', ["in"]),                     # closed with what holds it
+    ('<b data-email="x">a</i>b</b>c', ["ab"]),                     # an end tag without a start
+    ('<b data-email="x">a<i data-email="y">b</b>c</i>d', ["ab", "b"]),
+    ('<b data-email="x">a<i data-email="y">b', ["ab", "b"]),       # open to the end
+    ('<input data-email="x">a', [""]), ('<b data-email="x"/>a', [""]),
+    ('<B DATA-EMAIL="x">a &amp; <!-- </b> --> b<script></b></script> c</B>d', ["a &bc"]),
+    ('<b data-email="x">' + "y" * 150 + "<i>" + "z" * 150 + "</i></b>", ["y" * 150 + "z" * 50]),
+    ('<b title="a > b" data-email="x">a</b>', ["a"]), ("<b data-email", []),
+    ('<b data-email="x">a<template>no<u data-email="y">no</u></template>b</b>', ["ab", ""]),
+])
+def test_text_of_whole_elements(page, texts):
+    assert [x for _, x in walk_elements(page, "data-email", 200)] == texts
+
+
+@pytest.mark.parametrize("page", [
+    "<i>" * 100_000 + '<b data-email="x">' * 20_000 + "y", '<b data-email="x">y</i>' * 40_000,
+    '<b data-email="x">y ' * 50_000, "<b data-email=" * 70_000, "<b data-email='>" * 60_000,
+])
+def test_open_elements_cost_linear_time(page):
+    start = time.perf_counter()
+    walk_elements(page, "data-email", 200)
+    assert time.perf_counter() - start < 2

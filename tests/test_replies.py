@@ -127,3 +127,39 @@ def test_slugs_and_actions(spark):
         "unsubscribes", "bounces", "my_class"]
     acts = R.follow_up_actions(df).collect()
     assert [r["suppress"] for r in acts] == [True, True, False] and acts[2]["action"] is None
+
+
+def test_rule_table_equals_patterns_tried_one_by_one(spark):
+    r = random.Random(8)
+    words = ["the", "not", "me", "e", "mail", "a_b", "5", "stop"]
+    gaps = [" ", "  ", "-", ", ", "! ", "é", "."]
+    make = lambda n: "".join(r.choice(words) + r.choice(gaps) for _ in range(n))
+    keywords = {r.choice(["", "", "-", " ", "!"]) + make(r.randint(1, 3))[:-1] + r.choice(["", "", "?", " ", "!"]) for _ in range(150)}
+    keywords |= {"?!", "!", " ", "é", "- ", ".", "not the", "the"}
+    rows = [(r.randint(1, 40), f"C{r.randint(1, 9)}", k) for k in sorted(keywords)]
+    texts = sorted({make(r.randint(0, 12)) + r.choice(["", "me", "?!", "the?"]) for _ in range(200)})
+    msgs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "body STRING, i INT").withColumn("subject", F.lit(""))
+    rules = spark.createDataFrame(rows, "priority INT, classification STRING, keyword STRING")
+    got = {x["i"]: x["classification"] for x in R.classify_with_table(msgs, rules).collect()}
+    for i, t in enumerate(texts):
+        hits = [(p, c) for p, c, k in rows
+                if re.search(r"(?<![A-Za-z0-9_])" + re.escape(k.lower()) + r"(?![A-Za-z0-9_])", " " + t.lower())]
+        assert got[i] == min(hits, default=(0, "Unknown"))[1], (t, hits)
+
+
+def test_keywords_that_start_alike_are_filed_apart(spark):
+    """A stop word that all keywords start with and all messages hold brings nothing together."""
+    rules = spark.createDataFrame([(i, f"C{i}", f"the word{i}") for i in range(5000)] + [(9999, "All", "the")],
+                                  "priority INT, classification STRING, keyword STRING")
+    msgs = spark.range(300).select(F.lit("").alias("subject"), F.concat(
+        F.lit("the " * 50 + "the word"), F.col("id") * 30, F.lit(" the the")).alias("body"), "id")
+    places = msgs.select(F.col("id").alias("_text_id"), F.posexplode(R._words(F.col("body"))).alias("place", "token"))
+    filed = {x["keyword"]: (x["token"], x["offset"]) for x in R.filed_keywords(rules, places).collect()}
+    # Words no message holds are rarest of all.
+    assert filed == {"the": ("the", 0)} | {f"the word{i}": (f"word{i}", 1) for i in range(5000)}
+    out = R.classify_with_table(msgs, rules)
+    assert {x["id"]: x["classification"] for x in out.collect()} == {
+        i: f"C{30 * i}" if 30 * i < 5000 else "All" for i in range(300)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    generated = [line for line in plan.splitlines() if "Generate" in line]
+    assert generated and not [line for line in generated if "_text#" in line.split("], ")[-1]]
