@@ -109,8 +109,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PEN
     start = (np.cumsum(lengths) - lengths)[order]
     size = lengths[order]
     k = scores.shape[1]
-    own = np.arange(k, dtype=np.int8)
-    back = np.empty((len(scores), k), np.int8)
+    own = np.arange(k, dtype=np.int16)
+    back = np.empty((len(scores), k), np.int16)
     total = np.zeros((len(order), k), np.float32)
     active = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
     for t, a in enumerate(active):
@@ -123,7 +123,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH_PEN
         total[:a] = np.where(stay, now, moved) + scores[at]
         if t % 64 == 63:  # keep the sums small
             total[:a] -= total[:a].max(1, keepdims=True)
-    labels = np.empty(len(scores), np.int8)
+    labels = np.empty(len(scores), np.int16)
     state = total.argmax(1)
     for t in range(len(active) - 1, -1, -1):
         a = active[t]
@@ -208,7 +208,7 @@ def identify(docs: DataFrame, scorer: Scorer, text: str = "text", keep: tuple[st
             lengths = np.array([len(x) for x in lists], np.int64)
             words = list(chain.from_iterable(lists))
             letters = np.fromiter(map(len, words), np.int64, len(words))
-            labels = tagger.label(words, lengths) if words else np.zeros(0, np.int8)
+            labels = tagger.label(words, lengths) if words else np.zeros(0, np.int16)
             doc = np.repeat(np.arange(len(lists)), lengths)
             k = max(len(names), 1)
             share = np.bincount(doc * k + labels, letters, len(lists) * k).reshape(-1, k)

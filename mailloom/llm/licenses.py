@@ -204,7 +204,9 @@ def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     rules = rules or default_rules()
     table = F.array(*[_struct(r, i) for i, r in enumerate(rules)])
     gates = sorted({GATE} | {r.gate for r in rules})
-    raw = F.coalesce(F.col(text), F.lit(""))
+    names, keep = keep, tuple(f"_keep{i}" for i in range(len(keep)))
+    docs = docs.select(*[F.col(k).alias(c) for k, c in zip(names, keep)], F.col(text).cast("string").alias("_raw"))
+    raw = F.coalesce(F.col("_raw"), F.lit(""))
     lower = F.lower(raw)
     base = "|".join(BASE_PHRASES)
     df = docs.select(
@@ -232,7 +234,7 @@ def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     found = F.coalesce(F.col("_found.labels"), F.array().cast("array<string>"))
     score = F.coalesce(F.element_at(F.array(*[F.lit(s) for s in (*LEVEL_SCORE, 0.0)]), F.col("_found.best")), F.lit(0.0))
     return df.select(
-        *keep, "n_words", "n_base", "first_word", "last_word",
+        *[F.col(c).alias(k) for k, c in zip(names, keep)], "n_words", "n_base", "first_word", "last_word",
         F.array_join("_base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("_base", found)), ",").alias("labels"),
         F.greatest(score, F.when(F.col("n_base") > 0, LEVEL_SCORE[2]).otherwise(0.0)).alias("score"),

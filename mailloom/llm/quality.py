@@ -6,8 +6,11 @@ repetitive or lost more than ``max_lost`` of its characters.  Work stays in the
 row: one pass over Arrow batches, no shuffle, so neither copies nor a hot
 source matter and a lost task is simply run again.
 
-Null text counts as empty (no words, rejected, cleaned text null).  Repeated
-rows give repeated results.  An empty table gives an empty result.
+Null text counts as empty (no words, rejected, cleaned text empty).  Repeated
+rows and ties give repeated results.  A very long text or line costs time in
+proportion to its length.  An empty table gives an empty result.  Columns in
+``keep`` come back under their names, whatever these are, unless a measure has
+the same name.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ _WORD = re.compile(SPACE_WORD)
 _SYMBOLS = "#*$%&|<>"
 _ENDS = (".", "!", "?", '"', "'", ":", ";", ")", "…", "”", "»", "。", "！", "？")
 _MARK = re.compile(r"[.!?…。！？]")
-_NAVIGATION = re.compile(
-    r"^\s*(?:home|menu|login|log in|sign in|sign up|register|search|next|previous|back|top|share|print|"
-    r"skip to (?:main )?content|read more|click here|contact us|about us|site ?map|faq)\s*[.>»|]*\s*$"
-    r"|(?:[^|»>›•]{1,30}[|»>›•]){3,}", re.IGNORECASE)
+_MENU = re.compile(
+    r"\s*(?:home|menu|login|log in|sign in|sign up|register|search|next|previous|back|top|share|print|"
+    r"skip to (?:main )?content|read more|click here|contact us|about us|site ?map|faq)\s*[.>»|]*\s*$", re.IGNORECASE)
+_SEPARATORS = "|»>›•"
+_CELLS = re.compile(r"[|»>›•]")
 _BOILERPLATE = re.compile(
     r"lorem ipsum|all rights reserved|copyright (?:©|\(c\)|\d{4})|enable javascript|javascript is (?:disabled|required)|"
     r"(?:use|uses|using) (?:of )?cookies|cookie (?:policy|settings|consent)|privacy policy|terms of (?:use|service)|"
@@ -44,10 +48,23 @@ class LineRules:
     max_repeat_percent: int = 50
     bare_words: int = 8         # a line without any sentence mark needs more words than this
     boilerplate_words: int = 40  # a longer line is prose that only mentions such a phrase
-    max_symbol_share: float = 0.3
+    menu_cells: int = 3         # so many short cells between separators make a menu,
+    menu_cell_chars: int = 30   # if they are half of the line or more
+    min_letter_share: float = 0.35  # letters and digits among the characters that are not blanks
     max_lost: float = 0.5
 
 
+def is_menu(line: str, rules: LineRules = LineRules()) -> bool:
+    """Whether a line is one navigation word, or for the most part short cells between separators."""
+    if _MENU.match(line):
+        return True
+    if sum(map(line.count, _SEPARATORS)) < rules.menu_cells:
+        return False
+    cells = _CELLS.split(line)
+    short = [len(x) for x in cells if 0 < len(x) <= rules.menu_cell_chars]
+    return len(short) >= rules.menu_cells and 2 * sum(short) >= sum(map(len, cells))
+
+
 def line_ok(line: str, rules: LineRules = LineRules()) -> bool:
     """Whether a line stays.  A line without words is layout and stays."""
     words = line.split()
@@ -56,12 +73,11 @@ def line_ok(line: str, rules: LineRules = LineRules()) -> bool:
     bare = line.strip()
     if not bare.endswith(_ENDS) and len(words) <= rules.bare_words and not _MARK.search(bare):
         return False
-    if _NAVIGATION.search(line):
+    if is_menu(line, rules):
         return False
     if len(words) <= rules.boilerplate_words and _BOILERPLATE.search(line):
         return False
-    letters = sum(map(str.isalnum, bare))
-    return letters >= (1 - rules.max_symbol_share) * (len(bare) - bare.count(" ")) * 0.5
+    return sum(map(str.isalnum, bare)) >= rules.min_letter_share * (len(bare) - bare.count(" "))
 
 
 def repeated_words(words: list[str]) -> int:
@@ -69,8 +85,8 @@ def repeated_words(words: list[str]) -> int:
     n = len(words)
     if n < 4:
         return 0
-    ids: dict[str, int] = {}
-    codes = np.fromiter((ids.setdefault(w, len(ids)) for w in words), np.int64, n)
+    ids = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    codes = np.fromiter(map(ids.__getitem__, words), np.int64, n)
     v = len(ids)
     pairs = codes[:-1] * v + codes[1:]
     if v > 2_000_000:  # keep the triple code inside 63 bits

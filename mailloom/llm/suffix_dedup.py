@@ -12,20 +12,20 @@ follow this order, so comparing block numbers compares places.
    as a whole.  An anchor that never occurs in other surroundings has no
    earlier match.  Only what is between is looked at further.
 2. Suffixes.  For the windows of those anchors a block builds a suffix array
-   (prefix doubling over its segments, up to ``length`` bytes).  With equal
-   prefixes in the order of places, the previous smaller position of a suffix
-   stands right before it, and the longest previous factor reaches ``length``
-   exactly if both share their prefix.  Suffixes without such a factor in their
-   block go, as the hash of their prefix, to the owners of hash ranges, where
-   the same order over all blocks gives the previous smaller block.
+   (prefix doubling over its segments, up to ``length`` bytes) and from the
+   previous and next smaller positions in its order the longest previous factor of each
+   suffix; one of ``length`` bytes is an earlier match.  Suffixes without it in their
+   block go, as the hash of their prefix, to the owners of hash ranges, which find
+   the previous smaller block with the same prefix.
 3. Each block puts the answers together and cuts its documents.
 
 A passage that very many documents share is sent once per block, never
 gathered.  Hashes have 64 bits, those of surroundings 48 under an equal anchor.
 
 Null text counts as empty and stays null; rows with a null id come before all
-others; repeated rows follow one another, so the first one stays.  An empty
-table gives an empty result.
+others; repeated rows follow one another, so the first one stays.  A text longer
+than a block, or rows with one id that are, make a larger block.  An empty table
+gives an empty result.  Other columns are passed on under their names, whatever these are.
 """
 
 from __future__ import annotations
@@ -48,7 +48,8 @@ from .minhash import _BYTE, _P, _P_INV, mix
 LENGTH = 100
 BLOCK_BYTES = 4_000_000
 _SLICE = 1_000_000
-_MAX_RANGES = 1024
+_RANGE_BYTES = 16_000_000
+_CLUSTER = 500_000
 _NONE, _SETTLED, _OPEN = 0, 1, 2
 
 
@@ -151,13 +152,13 @@ def make_slices(texts: list[bytes], length: int) -> Iterator[Slice]:
 
 
 def _kinds(slices: list[Slice]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The block's distinct (anchor, surroundings) in the order of anchors, and for each anchor place
-    its kind and whether it is the first of it."""
+    """The block's distinct (anchor, surroundings) in the order of the anchors' mixed hashes, and for
+    each anchor place its kind and whether it is the first of it."""
     anchor = np.concatenate([s.anchor for s in slices]) if slices else np.zeros(0, np.uint64)
     around = np.concatenate([s.around for s in slices]) if slices else np.zeros(0, np.uint64)
     key = mix(anchor ^ (around * np.uint64(0x9E3779B97F4A7C15)))
     _, index, inverse = np.unique(key, return_index=True, return_inverse=True)
-    order = np.argsort(anchor[index], kind="stable")
+    order = np.argsort(mix(anchor[index]), kind="stable")  # an anchor is a minimum, so most are small numbers
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     first = np.zeros(len(anchor), bool)
@@ -195,7 +196,7 @@ def _ask_anchors(length: int, ranges: int):
             s.data = s.summed = s.window = s.own = s.cover = None  # only the anchors are needed
             slices.append(s)
         anchor, around, _, _ = _kinds(slices)
-        edge = _range_edges(anchor, ranges)
+        edge = _range_edges(mix(anchor), ranges)
         six = around.view(np.uint8).reshape(-1, 8)[:, :6]
         return _rows([(number, k, 1, anchor[a:b].tobytes(), six[a:b].tobytes())
                       for k, (a, b) in enumerate(zip(edge[:-1], edge[1:])) if a < b])
@@ -244,27 +245,97 @@ def _settle(slices: list[Slice], code: np.ndarray) -> list[np.ndarray]:
     return open_
 
 
-def suffix_ranks(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Ranks of the suffixes at the given places by their first ``length`` bytes (16 or more): prefix doubling."""
+def suffix_ranks(data: np.ndarray, length: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray]:
+    """Ranks of all suffixes by their first 8, 16, .. bytes, by prefix doubling, and the first 8 bytes themselves."""
     n, k = len(data), 8
     value = np.zeros(n, np.uint64)
     padded = np.concatenate((data, np.zeros(8, np.uint8))).astype(np.uint64)
     for i in range(8):
         value = (value << np.uint64(8)) | padded[i:n + i]
-    rank = np.unique(value, return_inverse=True)[1].astype(np.int64)
+    levels = [(k, np.unique(value, return_inverse=True)[1].astype(np.int32))]
     while 2 * k <= length:
         after = np.zeros(n, np.int64)
-        after[:n - k] = rank[k:]
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
+        after[:n - k] = levels[-1][1][k:]
+        levels.append((2 * k, np.unique(levels[-1][1] * np.int64(n + 1) + after, return_inverse=True)[1].astype(np.int32)))
         k *= 2
-    return rank[at] * (n + 1) + rank[at + length - k]
+    return levels, value
+
+
+def common_prefixes(levels: list[tuple[int, np.ndarray]], data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """How many bytes, up to ``length``, the suffixes at the places a and b share; both have so many."""
+    out = np.zeros(len(a), np.int64)
+    for k, rank in reversed(levels):
+        for _ in range(max(1, length // k) if k == levels[-1][0] else 1):
+            live = np.flatnonzero(out + k <= length)
+            same = live[rank[a[live] + out[live]] == rank[b[live] + out[live]]]
+            out[same] += k
+    for _ in range(levels[0][0]):
+        live = np.flatnonzero(out < length)
+        same = live[data[a[live] + out[live]] == data[b[live] + out[live]]]
+        if not len(same):
+            break
+        out[same] += 1
+    return out
+
+
+def _to_smaller(place: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each suffix, in suffix order, the prefix it shares with the nearest one before it that has a smaller place.
+
+    ``common[i]`` is shared by the suffixes i - 1 and i.  Sparse tables of least places and least prefixes
+    are walked from wide to narrow, for all suffixes at once.
+    """
+    m = len(place)
+    least, shared = [place], [common]
+    while 1 << len(least) < m:
+        half = 1 << len(least) - 1
+        least.append(np.minimum(least[-1][:-half], least[-1][half:]))   # of the stretch that starts here
+        shared.append(np.minimum(shared[-1][:-half], shared[-1][half:]))
+    end, out = np.arange(m), np.full(m, 255, np.uint8)  # all places from ``end`` to the suffix are larger
+    for k in range(len(least) - 1, -1, -1):
+        live = np.flatnonzero(end >= 1 << k)
+        first = end[live] - (1 << k)
+        skip = least[k][first] > place[live]
+        live, first = live[skip], first[skip]
+        out[live] = np.minimum(out[live], shared[k][first + 1])
+        end[live] = first
+    found = end > 0
+    out[found] = np.minimum(out[found], common[end[found]])
+    out[~found] = 0
+    return out
+
+
+def longest_previous_factors(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """The longest prefix, up to ``length`` (at most 255) bytes, of each suffix that starts earlier as well.
+
+    ``at`` rises, and every suffix has ``length`` bytes.  In suffix order the earlier suffix that shares most is that at the
+    previous or at the next smaller place.  Prefixes of less than 16 bytes count as 0, so the order falls into
+    clusters that are walked apart.
+    """
+    levels, value = suffix_ranks(data, length)
+    top, rank = levels[-1]
+    order = np.lexsort((at, rank[at + length - top], rank[at]))
+    common = np.zeros(len(at) + 1, np.uint8)
+    common[1:-1] = common_prefixes(levels, data, at[order[:-1]], at[order[1:]], length)
+    cut = np.flatnonzero(common < 16)  # before each cluster, and after the last one
+    common[cut] = 0
+    out, i = np.zeros(len(at), np.uint8), 0
+    single = np.diff(cut) == 1
+    while i < len(cut) - 1:
+        j = max(i + 1, int(np.searchsorted(cut, cut[i] + _CLUSTER, side="right")) - 1)
+        a, b = int(cut[i]), int(cut[j])
+        if not single[i:j].all():
+            place = order[a:b].astype(np.int32)
+            before = _to_smaller(place, common[a:b])
+            after = _to_smaller(place[::-1], np.concatenate(([0], common[a + 1:b][::-1])).astype(np.uint8))[::-1]
+            out[order[a:b]] = np.maximum(before, after)
+        i = j
+    return out
 
 
 def earlier_factor(rank: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor of each suffix covers the compared prefix.
+    """Whether a prefix, given by its hash, starts at a smaller place too.
 
-    In the order (rank, place) the previous smaller position of a suffix among
-    those with its prefix is its neighbour; the next smaller one never has it.
+    In the order (hash, place) the previous smaller place of a prefix is that of its neighbour.
     """
     order = np.lexsort((place, rank))
     r, p = rank[order], place[order]
@@ -306,7 +377,7 @@ def _ask_suffixes(length: int, ranges: int):
         code = np.frombuffer(_concatenated(replies, 1), np.uint8)
         open_ = _settle(slices, code)
         data, at = _segments(slices, open_, length)
-        before = earlier_factor(suffix_ranks(data, at, length), np.arange(len(at))) if len(at) else np.zeros(0, bool)
+        before = longest_previous_factors(data, at, length) >= length if len(at) else np.zeros(0, bool)
         hashes = np.sort(np.concatenate([s.hashes(o, length) for s, o in zip(slices, open_)] or [np.zeros(0, np.uint64)])[~before])
         edge = _range_edges(hashes, ranges)
         state = len(code).to_bytes(8, "little") + code.tobytes() + np.packbits(before).tobytes()
@@ -399,7 +470,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             dealt).withColumn("_block", F.col("_bucket").cast("int")).drop("_place", "_bucket")
     else:
         dealt = dealt.withColumn("_block", F.lit(0)).drop("_place")
-    ranges = min(max(16, shuffle_partitions(spark)), _MAX_RANGES)
+    ranges = max(16, shuffle_partitions(spark), -(-int(size) // _RANGE_BYTES))
     blocks = dealt.groupBy("_block")
     anchors = blocks.applyInArrow(_ask_anchors(length, ranges), _ROWS).groupBy("_range").applyInArrow(_answer_anchors, _ROWS)
     suffixes = blocks.cogroup(anchors.groupBy("_block")).applyInArrow(_ask_suffixes(length, ranges), _ROWS)

@@ -36,6 +36,7 @@ REVISIT_FROM = 1000
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
 FRAMES_PER_READ = 64
+MOST_READERS = 100_000
 # Fixed values of the Zstandard seekable format and of WARC 1.1.
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -177,6 +178,8 @@ def _id(value: str) -> str | None:
 def read_archives(spark: SparkSession, index: DataFrame) -> DataFrame:
     """All records of the bundles named in the index; digests are taken anew from what was read."""
     parts = index.select("bundle", F.floor(F.col("frame") / FRAMES_PER_READ).alias("part")).distinct()
+    # The list itself is tiny; without a number of its own it would be read by one task.
+    parts = parts.repartition(max(1, min(parts.count(), MOST_READERS)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()

@@ -180,4 +180,6 @@ def test_archive_round_trip(spark):
         if headers["WARC-Type"] == "response":
             assert block.split(b"\r\n\r\n", 1)[1] == payloads[key]
     none = spark.createDataFrame([], "page_id BIGINT, url STRING, html STRING")
+    read = warc.read_archives(spark, index)
+    assert read.rdd.getNumPartitions() == index.select("bundle").distinct().count()  # a task for each part, few frames each here
     assert warc.read_archives(spark, warc.write_archives(none)).count() == 0

@@ -1,11 +1,13 @@
 """Repeat removal and decontamination against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import SF, by_key
 
@@ -54,9 +56,41 @@ def test_suffix_ranks_order_prefixes():
     rng = np.random.default_rng(3)
     data = rng.integers(0, 3, 700).astype(np.uint8)
     at = np.arange(len(data) - 100)
-    rank = suffix_dedup.suffix_ranks(data, at, 100)
+    levels, _ = suffix_dedup.suffix_ranks(data, 100)
+    assert [k for k, _ in levels] == [8, 16, 32, 64]
+    rank = levels[-1][1]
+    order = np.lexsort((rank[at + 36], rank[at]))
     want = sorted(at, key=lambda p: data[p:p + 100].tobytes())
-    assert [data[p:p + 100].tobytes() for p in np.argsort(rank, kind="stable")] == [data[p:p + 100].tobytes() for p in want]
+    assert [data[p:p + 100].tobytes() for p in order] == [data[p:p + 100].tobytes() for p in want]
+
+
+@pytest.mark.parametrize("cluster", [1, 10, 500_000])
+def test_longest_previous_factors(monkeypatch, cluster):
+    """Against every earlier suffix, byte by byte; less than 16 bytes count as none."""
+    monkeypatch.setattr(suffix_dedup, "_CLUSTER", cluster)
+    r = random.Random(cluster)
+    for _ in range(25):
+        length, v = r.choice([16, 20, 100]), r.choice([1, 2, 4, 50])
+        data = [r.randrange(v) for _ in range(r.choice([length, length + 30, 350]))]
+        for _ in range(5):
+            a, b, n = r.randrange(len(data)), r.randrange(len(data)), r.randrange(150)
+            data[a:a + n] = data[b:b + n][:len(data[a:a + n])]
+        at = sorted(r.sample(range(len(data) - length + 1), r.randint(1, len(data) - length + 1))) if len(data) >= length else []
+        data, want = np.array(data, np.uint8), []
+        for i, p in enumerate(at):
+            best = max((next((k for k in range(length) if data[p + k] != data[q + k]), length) for q in at[:i]), default=0)
+            want.append(best if best >= 16 else 0)
+        if at:
+            assert suffix_dedup.longest_previous_factors(data, np.array(at), length).tolist() == want
+
+
+def test_anchors_are_spread_over_the_ranges():
+    """An anchor is a minimum; its mixed hash is not, so ranges get equal shares."""
+    rows = duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet'").fetchall()
+    block = pa.table({"_block": [0] * len(rows), "_order": list(range(len(rows))), "_text": [(t or "").encode() for t, in rows]})
+    asked = suffix_dedup._ask_anchors(100, 16)(block)
+    sizes = dict(zip(asked.column("_range").to_pylist(), map(len, asked.column("_hashes").to_pylist())))
+    assert len(sizes) == 16 and max(sizes.values()) < 1.3 * min(sizes.values())
 
 
 def plain_contamination(docs, items, window=10):

@@ -66,6 +66,14 @@ def test_scripts_narrow_the_candidates(spark):
     assert sum(s["words"] for s in out[0]["spans"]) == len(langid.words_of(mixed))
 
 
+def test_more_languages_than_a_byte_holds(spark):
+    word = lambda k: chr(97 + k % 26) * 3 + chr(97 + k // 26) * 3
+    rows = [(3 * k + i, f"{word(k)} " * 20, f"l{k:03}") for k in range(160) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    out = langid.identify(df, langid.fit(df), keep=("doc_id", "lang")).collect()
+    assert len(out) == 480 and all(r["lang_pred"] == r["lang"] for r in out)
+
+
 def test_language_on_edge_rows(edge, empty):
     df, rows = edge
     scorer = langid.fit(df, max_rows=5)
