@@ -12,22 +12,29 @@ either kind, are candidates; a candidate pair is a link if its exact probability
 set Jaccard is ``threshold`` or more, and classes are the connected components.
 
 Equal word sequences are one node from the start.  Inside a band's bucket all
-nodes are compared with one leader, not with each other; buckets whose nodes
-are still in different classes get other leaders.  For what is then left in
-different classes a prefix join finds the rest: in an order that puts frequent
-shingles last, two texts at the threshold share one of the first shingles of both,
-those before the last ``threshold`` of their mass.  A pair whose registers of both
-kinds agree far less than the threshold asks is dropped before its shingles are compared, and
-where many pairs share few texts the texts are dealt into tiles, not to each pair.  So no link is lost but by the bands, which miss
+nodes are compared with one leader, not with each other.  The first leader is the node
+with the fewest shingles: texts that share nothing but a passage are linked by its
+length and the lengths of their rests, so whatever is linked that way is linked to the
+one with the smallest rest.  Buckets whose nodes are still in different classes get
+other leaders.  For what is then left in different classes a prefix join finds the
+rest.  In an order that puts frequent shingles last, two sets at the threshold t share
+one of the first (1 - t) of the larger and (1 - t) / (1 + t) of the smaller one; their
+sizes, and the shingles that come after the first shared one, must leave room for the
+threshold.  Sizes fall into bins, and a shingle of a set meets only the bins that leave this
+room, so a passage that very many texts share brings together no more than links.  Of the
+pairs with a text that repeats a shingle, which prefixes by mass find, those go whose registers of both kinds agree far
+less than the threshold asks.  So no link is lost but by the bands, which miss
 a pair at the threshold with probability (1 - threshold^rows)^bands.
 
 Texts without words are classes of their own.  Rows with a null id take part
 under a negative number made from their text.  Rows with equal ids share a
-class.  An empty table gives an empty result.
+class, whatever their texts.  A very long text is one row of its task.  Other columns are not read.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +55,9 @@ _DEVIATIONS = 5.0
 # Shingle sets of about so many bytes meet in a tile of the comparison.
 _TILE_BYTES = 32_000_000
 _BLOCK = 3_000_000
+# Sizes in one bin of the prefix join differ by less than this factor.
+_BIN = 1.06
+_EPS = 1e-6
 _LONG = (1 << 63) - 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -162,26 +172,34 @@ def _sketch(bands: int, rows: int, size: int):
             low = [x.tobytes() for x in winners.astype(np.uint8)]
             for i, more, x in zip(own.tolist(), band_hashes(plain, bands, rows), plain.astype(np.uint8)):
                 found[i], low[i] = np.union1d(found[i], more), low[i] + x.tobytes()
+            repeats = np.zeros(batch.num_rows, bool)
+            repeats[own] = True
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()),
                                              pa.array(np.concatenate(found)))
+            # Texts without words are told apart by their ids.
+            alone = mix(batch.column(1).to_numpy().astype(np.int64).view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15))
+            node = np.where(n > 0, whole, alone)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(whole.view(np.int64)), pa.array(n.astype(np.int64)), lists,
-                 pa.array(low, pa.binary())],
-                names=["_id", "_whole", "_words", "_bands", "_low"])
+                [batch.column(1), batch.column(2), pa.array(node.view(np.int64)), pa.array(n.astype(np.int64)),
+                 pa.array(np.bincount(doc, minlength=batch.num_rows).astype(np.int64)), pa.array(repeats), lists, pa.array(low, pa.binary())],
+                names=["_id", "_key", "_node", "_words", "_size", "_repeats", "_bands", "_low"])
     return run
 
 
+_SKETCH = "_id long, _key long, _node long, _words long, _size long, _repeats boolean, _bands array<long>, _low binary"
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_blocks(batches, _BLOCK):
-            doc, code, weight, _, _ = shingles(batch.column(0).to_pylist(), size)
+            doc, code, weight, _, whole = shingles(batch.column(0).to_pylist(), size)
             edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             weight = weight.astype(np.uint32)
             sets = [code[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
             # No counts are stored where no shingle occurs twice.
             counts = [weight[a:b].tobytes() if (weight[a:b] > 1).any() else b"" for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())],
+                [pa.array(whole.view(np.int64)), pa.array(sets, pa.binary()), pa.array(counts, pa.binary())],
                 names=["_id", "_set", "_counts"])
     return run
 
@@ -321,6 +339,38 @@ def node_id(doc_id: str, text: str) -> Column:
     return F.coalesce(F.col(doc_id).cast("long"), -1 - F.xxhash64(text).bitwiseAND(F.lit(_LONG)))
 
 
+def text_key(text: str) -> Column:
+    """Tells texts with one id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
+def _bin(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(_BIN))).cast("int")
+
+
+def _plain_pairs(keyed: DataFrame, threshold: float) -> DataFrame:
+    """Candidate pairs of texts without repeated shingles; ``keyed`` has id, class, size, key, pos.
+
+    With i and j the places of the first shared shingle, no more than the shorter of the two remainders
+    is shared, and threshold / (1 + threshold) of both sizes together must be.
+    """
+    part = threshold / (1 + threshold)
+    size, pos = F.col("size"), F.col("pos")
+    small = keyed.where(size - pos >= 2 * part * size - _EPS).select(
+        "key", F.col("id").alias("b"), F.col("class").alias("other"), F.col("size").alias("size_b"), F.col("pos").alias("pos_b"),
+        _bin(size).alias("bin"))
+    least = F.ceil(threshold * size - _EPS)
+    most = F.least(size, F.floor((size - pos) / part - size + _EPS))
+    large = keyed.where(most >= least).select(
+        "key", F.col("id").alias("a"), "class", "size", "pos", F.explode(F.sequence(_bin(least), _bin(most))).alias("bin"))
+    fits = (F.col("class") != F.col("other")) & (
+        (F.col("size_b") < size) | ((F.col("size_b") == size) & (F.col("b") < F.col("a")))) & (
+        F.col("size_b") >= threshold * size - _EPS) & (
+        F.least(size - pos, F.col("size_b") - F.col("pos_b")) >= part * (size + F.col("size_b")) - _EPS)
+    l, r = large.alias("l"), small.alias("r")
+    return l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.bin") == F.col("r.bin")) & fits).select("a", "b")
+
+
 def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshold: float, registers: int) -> DataFrame:
     """Candidate pairs (a, b) of the given nodes (id, class) in different classes, by their rare shingles."""
     spark = nodes.sparkSession
@@ -330,33 +380,44 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshol
     sample = own.where(F.pmod(F.xxhash64(F.lit(2), "_id"), F.lit(grain)) < F.lit(min(grain, grain * FREQUENT_SAMPLE // n)))
     frequent = sample.select("_set").repartition(1).mapInArrow(_frequent, "code binary, n binary").first()
     held = spark.sparkContext.broadcast(tuple(frequent) if frequent else (b"", b""))
-    low = sketch.select(F.col("_id").alias("id"), F.col("_low").alias("low")).dropDuplicates(["id"])
+    about = sketch.select(F.col("_node").alias("id"), F.col("_size").alias("size"), F.col("_repeats").alias("repeats"))
     keyed = own.select("_id", "_set", "_counts").mapInArrow(_prefixes(held, threshold), "id long, keys array<long>").join(
-        nodes, "id").join(low, "id")
-    keyed = stored(keyed.select("id", "class", "low", F.explode("keys").alias("key")), "prefixes")
-    other = keyed.select("key", F.col("id").alias("b"), F.col("class").alias("other"), F.col("low").alias("low_b"))
-    found = keyed.withColumnRenamed("id", "a").join(other, "key").where("class <> other and a < b")
-    return found.select("a", "b", "low", "low_b").mapInArrow(_alike(threshold, registers), "a long, b long")
+        nodes, "id").join(about, "id")
+    keyed = stored(keyed.select("id", "class", "size", "repeats", F.posexplode("keys").alias("pos", "key")), "prefixes")
+    plain = _plain_pairs(keyed.where("not repeats"), threshold)
+    other = keyed.select("key", F.col("id").alias("b"), F.col("class").alias("other"), F.col("repeats").alias("repeats_b"))
+    again = keyed.where("repeats").withColumnRenamed("id", "a").join(other, "key").where(
+        "class <> other and (not repeats_b or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    low = sketch.select(F.col("_node").alias("id"), "_low")
+    again = again.join(low.toDF("a", "low"), "a").join(low.toDF("b", "low_b"), "b").select(
+        "a", "b", "low", "low_b").mapInArrow(_alike(threshold, registers), "a long, b long")
+    return plain.union(again)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``docs``: id, class_id (smallest id of its class) and whether it is that one."""
-    source = docs.select(F.col(text).cast("string").alias("_text"), node_id(doc_id, text).alias("_id"))
-    sketch = stored(source.select("_text", "_id").mapInArrow(
-        _sketch(bands, rows, size), "_id long, _whole long, _words long, _bands array<long>, _low binary"), "sketches")
-    copies = stored(sketch.where("_words > 0").groupBy("_whole", "_words").agg(
-        F.min("_id").alias("_rep"), F.max("_id").alias("_last")).where("_rep < _last").drop("_last"), "copies")
-    nodes = sketch.join(copies, ["_whole", "_words"], "left").withColumn("_rep", F.coalesce("_rep", "_id"))
-    member = nodes.select("_id", "_rep")
-    banded = nodes.where("_id = _rep and _words > 0").select(F.col("_id").alias("id"), F.explode("_bands").alias("bucket"))
+    """One row per row of ``docs``: id, class_id (smallest id of its class), whether it is kept, and text_key.
+
+    Of each class the rows with the smallest id, then the smallest ``text_key`` (a hash of the text), are kept.
+    """
+    source = docs.select(F.col(text).cast("string").alias("_text"), node_id(doc_id, text).alias("_id"),
+                         text_key(text).alias("_key"))
+    sketch = stored(source.select("_text", "_id", "_key").mapInArrow(_sketch(bands, rows, size), _SKETCH), "sketches")
+    row = F.struct("_id", "_key")
+    # The first row of every node that has several.
+    copies = stored(sketch.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_rep")).where(
+        "_n > 1").drop("_n"), "copies")
+    marked = sketch.join(copies, "_node", "left")
+    reps = stored(marked.where(F.col("_rep").isNull()).unionByName(
+        marked.where(row == F.col("_rep")).dropDuplicates(["_node"])).drop("_rep"), "nodes")
+    banded = reps.where("_words > 0").select(
+        F.col("_node").alias("id"), F.col("_size").alias("size"), F.explode("_bands").alias("bucket"))
     shared = stored(banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
                     .where("low < high").select("bucket"), "buckets")
-    members = stored(banded.join(shared, "bucket").select("bucket", "id"), "members")
-    wanted = members.select(F.col("id").alias("_id")).distinct()
-    sets = stored(source.select("_text", "_id").join(wanted, "_id", "left_semi").select("_text", "_id").mapInArrow(
-        _sets(size), "_id long, _set binary, _counts binary"), "sets").dropDuplicates(["_id"])
-    sets = stored(sets, "sets")
+    members = stored(banded.join(shared, "bucket").select("bucket", "id", "size"), "members")
+    wanted = members.select(F.col("id").alias("_node")).distinct().join(reps.select("_node", "_id", "_key"), "_node").drop("_node")
+    sets = stored(source.join(wanted, ["_id", "_key"], "left_semi").select("_text").mapInArrow(
+        _sets(size), "_id long, _set binary, _counts binary").dropDuplicates(["_id"]), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         n_pairs = pairs.count()
@@ -371,12 +432,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         joined = pairs.join(left, "a").join(right, "b")
         return stored(joined.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_links(threshold), "a long, b long"), "links")
 
-    classes, tested = None, None
+    # Rows of one id belong together from the start.
+    several = sketch.groupBy("_id").agg(F.min("_node").alias("b"), F.max("_node").alias("_high")).where("b < _high").drop("_high")
+    same_id = stored(sketch.join(several, "_id").select(F.col("_node").alias("a"), "b").where("a <> b").distinct(), "same-id")
+    classes, tested = None if same_id.isEmpty() else components(same_id), None
     for turn in range(LEADER_ROUNDS + 1):
         now = members.withColumn("class", F.col("id")) if classes is None else members.join(
-            classes, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
-        # The leader of a bucket: the smallest id at first, later one by a hash that differs from bucket to bucket.
-        key = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), F.col("bucket"), F.col("id"))
+            classes, "id", "left").select("bucket", "id", "size", F.coalesce("class", "id").alias("class"))
+        # The leader of a bucket: the smallest text at first, later one by a hash that differs from bucket to bucket.
+        key = F.col("size") if turn == 0 else F.xxhash64(F.lit(turn), F.col("bucket"), F.col("id"))
         lead = stored(now.groupBy("bucket").agg(
             F.min(F.struct(key.alias("k"), "id", "class")).alias("lead"), F.min("class").alias("low"),
             F.max("class").alias("high")).where("low < high").select(
@@ -387,7 +451,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = now.join(lead, "bucket").where("class <> other").select(F.col("id").alias("a"), "b")
         else:  # what is left of the buckets still open
             pairs = _prefix_pairs(now.join(lead.select("bucket"), "bucket").select("id", "class").distinct(),
-                                  sets, sketch, threshold, bands * rows)
+                                  sets, reps, threshold, bands * rows)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # No pair is compared twice, so rounds after the first are small.
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -397,8 +461,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         edges = linked(pairs)
         known = edges if classes is None else edges.union(classes.select(F.col("id").alias("a"), F.col("class").alias("b")))
         classes = components(known)
-    found = member if classes is None else member.join(classes, F.col("_rep") == F.col("id"), "left")
-    label = F.col("_rep") if classes is None else F.coalesce("class", "_rep")
-    found = found.select("_id", label.alias("class_id"))
-    return found.select(F.col("_id").alias(doc_id), "class_id", (F.col("_id") == F.col("class_id")).alias("kept"))
-
+    # The first row of each class, by way of the first rows of its nodes.
+    heads = copies.select("_node", "_rep")
+    if classes is not None:
+        first = classes.join(reps.select(F.col("_node").alias("id"), row.alias("_rep")), "id")
+        heads = first.join(first.groupBy("class").agg(F.min("_rep").alias("_head")), "class").select(
+            F.col("id").alias("_node"), F.col("_head").alias("_rep")).unionByName(
+            heads.join(classes, heads["_node"] == classes["id"], "left_anti"))
+    found = sketch.select("_id", "_key", "_node").join(stored(heads, "heads"), "_node", "left").withColumn(
+        "_rep", F.coalesce("_rep", row))
+    return found.select(F.col("_id").alias(doc_id), F.col("_rep._id").alias("class_id"), (row == F.col("_rep")).alias("kept"),
+                        F.col("_key").alias("text_key"))

@@ -28,6 +28,8 @@ def plain_similarity(a, b):
     if not a or not b:
         return 0.0
     both, union = a.keys() & b.keys(), a.keys() | b.keys()
+    if max(a.values()) == max(b.values()) == 1:  # both measures are equal
+        return len(both) / len(union)
     weighted = sum(1 / sum(max(a[y] / a[x], b[y] / b[x]) for y in union) for x in both)
     return max(len(both) / len(union), weighted)
 
@@ -107,6 +109,53 @@ def test_large_groups_of_near_copies(spark):
     assert got == plain_classes(rows)
 
 
+def test_texts_that_share_a_passage_meet_only_if_their_rests_leave_room(spark, monkeypatch):
+    """One passage and rests of their own: the links follow from the lengths, and few other pairs come up."""
+    passage, r, found = prose(60, 200), random.Random(4), []
+    rows = [(k, " ".join([f"r{k}w{i}" for i in range(r.randint(0, 70))]) + " " + passage + " " + " ".join(
+        f"q{k}w{i}" for i in range(r.choice([0, 0, 9])))) for k in range(400)]
+    keep = minhash._prefix_pairs
+    monkeypatch.setattr(minhash, "_prefix_pairs", lambda *a: found.append(keep(*a)) or found[-1])
+    got = {x["doc_id"]: x["class_id"] for x in minhash.near_duplicates(
+        spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert got == plain_classes(rows) and len(set(got.values())) > 40
+    assert sum(df.distinct().count() for df in found) < 4 * len(rows)  # all pairs would be 80,000
+
+
+def test_candidates_hold_every_pair_at_the_threshold(spark):
+    """All pairs of the prefix join, every text in a class of its own, against all pairs."""
+    r, texts = random.Random(3), []
+    for family in range(12):
+        words = [f"f{family}w{i}" for i in range(r.choice([6, 12, 40, 90]))]
+        for _ in range(25):
+            own = words[:]
+            for _ in range(r.randint(0, 3)):
+                own[r.randrange(len(own))] = f"x{r.randrange(10 ** 6)}"
+            texts.append(" ".join(own[r.randint(0, 2):] + [f"y{r.randrange(10 ** 6)}" for _ in range(r.randint(0, 4))]
+                                  + (own[:7] * 2 if r.random() < 0.1 else [])))
+    rows = spark.createDataFrame([(t, i, i) for i, t in enumerate(texts)], "_text STRING, _id BIGINT, _key BIGINT")
+    sketch = rows.mapInArrow(minhash._sketch(30, 5, 5), minhash._SKETCH).dropDuplicates(["_node"]).persist()
+    sets = rows.select("_text").mapInArrow(minhash._sets(5), "_id long, _set binary, _counts binary").dropDuplicates(["_id"])
+    nodes = sketch.selectExpr("_node AS id", "_node AS class")
+    of = {x["_node"]: shingle_counts(texts[x["_id"]]) for x in sketch.collect()}
+    got = {tuple(sorted(x)) for x in minhash._prefix_pairs(nodes, sets, sketch, 0.8, 150).collect()}
+    want = {tuple(sorted(p)) for p in itertools.combinations(of, 2) if plain_similarity(of[p[0]], of[p[1]]) >= 0.8}
+    assert want <= got and len(want) > 100
+
+
+def test_ids_with_several_texts(spark):
+    """Rows of one id share a class, and every text is compared."""
+    a, b, c = prose(70, 90), prose(71, 90), prose(72, 90)
+    rows = [(3, a), (5, a), (5, b), (7, c), (7, b + " x"), (8, c + " y"), (9, ""), (9, prose(73, 80)), (10, ""), (11, prose(73, 80))]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    out = minhash.near_duplicates(df).collect()
+    assert sorted((x["doc_id"], x["class_id"]) for x in out) == [
+        (3, 3), (5, 3), (5, 3), (7, 3), (7, 3), (8, 3), (9, 9), (9, 9), (10, 10), (11, 9)]
+    kept = corpus_pipeline.near_duplicates(spark, df, SF).collect()
+    assert len(kept) == 3 and {x["doc_id"] for x in kept} == {3, 9, 10}
+    assert Counter(x["doc_id"] for x in out if x["kept"]) == {3: 1, 9: 1, 10: 1}
+
+
 def repeated(seed, n, phrase, times):
     """Distinct words, then a phrase so often, each time in the same surroundings."""
     return " ".join([f"s{seed}w{k}" for k in range(n)] + [f"{phrase}{seed}p{k}" for _ in range(times) for k in range(20)])
