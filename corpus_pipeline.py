@@ -45,9 +45,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays, that with the smallest id."""
     df, doc_id, text, back = _shielded(docs)
-    found = stored(minhash.near_duplicates(df, doc_id, text).where("kept").select(F.col(doc_id).alias("_kept")).distinct(), "kept")
-    df = df.withColumn("_kept", minhash.node_id(doc_id, text))
-    return df.join(found, "_kept", "left_semi").dropDuplicates(["_kept"]).select(
+    kept = minhash.near_duplicates(df, doc_id, text).where("kept").select(F.col(doc_id).alias("_kept"), F.col("text_key").alias("_key"))
+    found = stored(kept.distinct(), "kept")
+    df = df.withColumn("_kept", minhash.node_id(doc_id, text)).withColumn("_key", minhash.text_key(text))
+    return df.join(found, ["_kept", "_key"], "left_semi").dropDuplicates(["_kept", "_key"]).select(
         *[F.col(k).alias(c) for k, c in back.items()])
 
 
