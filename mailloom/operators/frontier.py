@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import host_of
-from ..session import cut_lineage, drop_stored, store_bucketed
+from ..session import append_bucketed, cut_lineage, drop_stored, store_bucketed
 from .skew import top_k_per_group
 
 # Order of waiting links: older levels first, then class, page and position.
 _ORDER = ("found_level", "class_rank", "src", "class_seq", "url")
-_COMPACT_EVERY = 8
 
 
 def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
@@ -33,7 +32,9 @@ def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
     ``queue_factor * max_pages`` links wait.
 
     One level is a join on URL and an anti-join on (seed, URL); both spread
-    over all keys even if one seed owns most of the graph.  Every level is
+    over all keys even if one seed owns most of the graph.  Links and the visited (seed, URL)
+    lie in buckets of these keys, to which a level adds its own, so it moves
+    only new links, however much was visited before.  Every level is
     stored, so its plan does not grow and lost executors recompute only it.
     """
     spark = starts.sparkSession
@@ -55,11 +56,20 @@ def expand_frontier(starts: DataFrame, pages: DataFrame, edges: DataFrame,
 
 def _walk(starts: DataFrame, captured: DataFrame, links: DataFrame, max_pages: int | None,
           per_level: int | None, max_levels: int | None, queue_factor: int | None) -> DataFrame:
-    order = [F.col(c) for c in _ORDER]
     waiting = cut_lineage(starts.select(
         "seed", "url", F.lit(0).alias("found_level"), F.lit(0).alias("class_rank"),
         F.lit("").alias("src"), F.lit(0).alias("class_seq")))
-    seen = [waiting.select("seed", "url")]
+    spark = starts.sparkSession
+    seen = store_bucketed(waiting.select("seed", "url"), "seed", "url")
+    try:
+        return _levels(starts, waiting, seen, captured, links, max_pages, per_level, max_levels, queue_factor)
+    finally:
+        drop_stored(spark, seen)
+
+
+def _levels(starts: DataFrame, waiting: DataFrame, seen: str, captured: DataFrame, links: DataFrame, max_pages: int | None,
+            per_level: int | None, max_levels: int | None, queue_factor: int | None) -> DataFrame:
+    spark, order = starts.sparkSession, [F.col(c) for c in _ORDER]
     reached: list[DataFrame] = []
     level = 0
     while not waiting.isEmpty() and (max_levels is None or level < max_levels):
@@ -75,10 +85,8 @@ def _walk(starts: DataFrame, captured: DataFrame, links: DataFrame, max_pages: i
         hits = cut_lineage(hits.select("seed", *_ORDER))
         reached.append(hits.select("seed", "url", F.lit(level).alias("level")))
 
-        found = cut_lineage(_new_links(hits, links, _union(seen), level + 1))
-        seen.append(found.select("seed", "url"))
-        if len(seen) > _COMPACT_EVERY:
-            seen = [cut_lineage(_union(seen))]
+        found = cut_lineage(_new_links(hits, links, spark.table(seen), level + 1))
+        append_bucketed(found.select("seed", "url"), seen, "seed", "url")
         waiting = found if rest is None else rest.unionByName(found)
         if max_pages is not None:  # only then can a seed end early
             waiting = _still_open(waiting, _union(reached), max_pages, queue_factor)

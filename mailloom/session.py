@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def build_session(app_name: str = "mailloom", master: str | None = None,
@@ -79,21 +79,30 @@ def drop_scratch() -> None:
             continue
 
 
-def store_bucketed(df: DataFrame, key: str) -> str:
-    """Store a table in buckets of ``key``; returns its name in the catalog.
+def store_bucketed(df: DataFrame, *keys: str) -> str:
+    """Store a table in buckets of ``keys``; returns its name in the catalog.
 
-    Joins on the key then move only their other side.  The table is external,
+    Joins on the keys then move only their other side.  The table is external,
     in the shared folder; :func:`drop_stored` forgets it, and its files go with
     the other intermediate folders.
     """
-    spark = df.sparkSession
     name = f"mailloom_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartition(n, key).write.format("parquet").bucketBy(n, key)
-       .option("path", scratch_dir(spark, name)).saveAsTable(name))
+    _bucketed(df, keys, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).option(
+        "path", scratch_dir(df.sparkSession, name)).saveAsTable(name)
     return name
 
 
+def append_bucketed(df: DataFrame, name: str, *keys: str) -> None:
+    """Add rows to a table of :func:`store_bucketed`; only the new rows are dealt into its buckets."""
+    spark = df.sparkSession
+    n = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()["data_type"]
+    _bucketed(df, keys, int(n)).mode("append").saveAsTable(name)
+
+
+def _bucketed(df: DataFrame, keys: tuple[str, ...], n: int) -> DataFrameWriter:
+    return df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys)
+
+
 def drop_stored(spark: SparkSession, *tables: str) -> None:
     for name in tables:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

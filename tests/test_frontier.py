@@ -60,3 +60,38 @@ def test_level_limit_and_empty(spark):
     one = spark.createDataFrame([("a", "a")], "seed STRING, url STRING")
     assert expand_frontier(one, pages, edges, max_levels=1).count() == 1
     assert expand_frontier(one, pages, edges).count() == 2
+
+
+def test_a_level_moves_only_new_links(spark):
+    """What was visited lies in buckets: no level shuffles it, and later ones only append."""
+    from mailloom import session
+    from mailloom.operators import frontier
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    name = session.store_bucketed(spark.createDataFrame([("s", f"u{i}") for i in range(50)], "seed STRING, url STRING"), "seed", "url")
+    try:
+        links = spark.createDataFrame([("u1", f"v{i}", 0, i, None) for i in range(9)] + [("u1", "u7", 0, 99, None)],
+                                      "src STRING, dst STRING, class_rank INT, class_seq INT, sub_rank INT")
+        hits = spark.createDataFrame([("s", "u1")], "seed STRING, url STRING")
+        for level in (1, 2):
+            out = frontier._new_links(hits, links, spark.table(name), level)
+            plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+            at = next(i for i, line in enumerate(plan) if "FileScan" in line and name in line)
+            join = max(i for i, line in enumerate(plan[:at]) if "LeftAnti" in line)
+            assert "Bucketed: true" in plan[at]
+            right = plan[join + 1:at + 1]
+            depth = len(right[-1]) - len(right[-1].lstrip(" :+-"))
+            above = []
+            for line in reversed(right[:-1]):  # the operators between the scan and the join
+                d = len(line) - len(line.lstrip(" :+-"))
+                if d < depth:
+                    above.append(line)
+                    depth = d
+            assert not [x for x in above if "Exchange" in x], above
+            assert {r["url"] for r in out.collect()} == ({f"v{i}" for i in range(9)} if level == 1 else set())
+            session.append_bucketed(out.select("seed", "url"), name, "seed", "url")
+        assert spark.table(name).count() == 59
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        session.drop_stored(spark, name)
