@@ -30,21 +30,42 @@ def with_crawl_delay(urls: DataFrame, rules: DataFrame, url: str = "url",
     ).drop("rule_delay")
 
 
+_SITE = ["base_domain", "scheme_family"]
+
+
+def with_site(df: DataFrame, url: str, suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> DataFrame:
+    """Adds the site of a URL, its base domain and scheme family; rows without a host go."""
+    return df.withColumn("base_domain", U.base_domain(U.host_of(F.col(url)), tuple(suffixes))).withColumn(
+        "scheme_family", U.scheme_family(F.col(url))).where(F.col("base_domain") != "")
+
+
 def pair_same_site(seeds: DataFrame, pages: DataFrame,
                    suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> DataFrame:
     """Each page (``url``) with the seeds (``seed``) of its site.
 
-    An equi-join on base domain and scheme family.
+    An equi-join on base domain and scheme family.  It has seeds times pages
+    rows for each site; :func:`site_groups` holds the same without them.
     """
-    suffixes = tuple(suffixes)
+    return with_site(pages, "url", suffixes).join(with_site(seeds, "seed", suffixes), _SITE)
 
-    def key(df: DataFrame, u: str) -> DataFrame:
-        return df.withColumn(
-            "base_domain", U.base_domain(U.host_of(F.col(u)), suffixes)
-        ).withColumn("scheme_family", U.scheme_family(F.col(u))).where(
-            F.col("base_domain") != "")
 
-    return key(pages, "url").join(key(seeds, "seed"), ["base_domain", "scheme_family"])
+def site_groups(seeds: DataFrame, pages: DataFrame,
+                suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> DataFrame:
+    """One row per site that has seeds and pages: n_seeds, first_seed, n_pages.
+
+    Both sides are merged per site before they meet, so a site with a large part of all pages is one
+    row; :func:`pages_of_sites` and :func:`with_site` of the seeds give its members.
+    """
+    own = with_site(seeds, "seed", suffixes).groupBy(*_SITE).agg(
+        F.count(F.lit(1)).alias("n_seeds"), F.min("seed").alias("first_seed"))
+    captured = with_site(pages, "url", suffixes).groupBy(*_SITE).agg(F.count(F.lit(1)).alias("n_pages"))
+    return own.join(captured, _SITE)
+
+
+def pages_of_sites(pages: DataFrame, sites: DataFrame,
+                   suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> DataFrame:
+    """The pages of the sites of :func:`site_groups`, each once, with the site and how many seeds it has."""
+    return with_site(pages, "url", suffixes).join(sites.select(*_SITE, "n_seeds"), _SITE)
 
 
 def match_www_variants(pages: DataFrame, captured: DataFrame,

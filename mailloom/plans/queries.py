@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import PROVIDER_LIMITS, REPLY_RULES
 from ..functions import charsets as CH
@@ -105,6 +106,26 @@ def same_site_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("seed", "url", "base_domain")
 
 
+def _all_seeds(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third page is a seed, so sites have many."""
+    return I.pages(spark, sf).where(F.col("page_id") % 3 == 0).select(F.col("url").alias("seed"))
+
+
+@query
+def same_site_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Sites with how many seeds and pages they have, instead of all pairs of them."""
+    out = S.site_groups(_all_seeds(spark, sf), I.pages(spark, sf), I.SUFFIXES)
+    return out.select("base_domain", "first_seed", "n_seeds", "n_pages")
+
+
+@query
+def same_site_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Each page once, with its site and the number of its seeds."""
+    p = I.pages(spark, sf)
+    sites = S.site_groups(_all_seeds(spark, sf), p, I.SUFFIXES)
+    return S.pages_of_sites(p, sites, I.SUFFIXES).select("page_id", "base_domain", "n_seeds")
+
+
 @query
 def www_variant_matches(spark: SparkSession, sf: str) -> DataFrame:
     p = I.pages(spark, sf).select("page_id", "url")
@@ -832,6 +853,17 @@ def stream_reply_fold(spark: SparkSession, sf: str) -> DataFrame:
     return _ntz(out, "reply_date", "first_reply_date", "demo_date", "customer_date")
 
 
+@query
+def stream_routed(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies per class folder, read from what a stream has routed."""
+    base = _fresh(spark, "routed-stream")
+    ST.stream_replies(_inbox_stream(spark, sf), I.recipients(spark, sf), ["opportunity"],
+                      I.SELF_EMAIL, f"{base}/routed", f"{base}/folds", f"{base}/checkpoint",
+                      every=None).awaitTermination()
+    return ST.read_routed_parts(spark, f"{base}/routed").groupBy("class_slug", "classification").agg(
+        F.count(F.lit(1)).alias("n_replies"))
+
+
 @query
 def stream_master(spark: SparkSession, sf: str) -> DataFrame:
     """The tracking table from what an open stream and a reply stream have stored."""
@@ -855,12 +887,13 @@ def stream_master(spark: SparkSession, sf: str) -> DataFrame:
 BATCHES = 3
 
 
-def _arriving(spark: SparkSession, df: DataFrame, batch: Column, name: str) -> DataFrame:
-    """A stream that gets the rows in three micro-batches, by ``batch`` from 0."""
+def _arriving(spark: SparkSession, df: DataFrame, batch: Column, name: str,
+              run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """The rows come in three times, by ``batch`` from 0; each time the stream starts again and takes what is new."""
     folder = _fresh(spark, name)
     for i in range(BATCHES):
-        df.where(batch == i).coalesce(1).write.mode("append").parquet(folder)
-    return RD.stream_files(spark, folder, df.schema, files_per_batch=1)
+        df.where(batch == i).write.mode("append").parquet(folder)
+        run(RD.stream_files(spark, folder, df.schema)).awaitTermination()
 
 
 @query
@@ -875,9 +908,9 @@ def stream_unsubscribes(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k == 7, issued).otherwise(F.concat(F.lit("bad"), F.col("event_id").cast("string"))).alias("token"),
         F.timestamp_seconds(F.unix_timestamp(F.col("ts").cast("timestamp")) - turn * 5_184_000).alias("ts"),
         turn.alias("turn"))
-    source = _arriving(spark, requests, F.col("turn"), "requests")
     tokens = CA.issued_tokens(I.recipients(spark, sf), I.CAMPAIGN)
-    ST.stream_unsubscribes(source, tokens, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    _arriving(spark, requests, F.col("turn"), "requests", lambda source: ST.stream_unsubscribes(
+        source, tokens, f"{base}/parts", f"{base}/checkpoint"))
     return _ntz(ST.read_unsubscribes(spark, f"{base}/parts").select("token", "email", "ts"), "ts")
 
 
@@ -897,8 +930,8 @@ def _twice(spark: SparkSession, sf: str, html: bool) -> DataFrame:
 def stream_unique_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Each page arrives in two micro-batches under two spellings of its URL; one per URL is kept."""
     base = _fresh(spark, "pages")
-    source = _arriving(spark, _twice(spark, sf, False), F.col("turn"), "page-stream")
-    ST.stream_unique_pages(source, f"{base}/parts", f"{base}/checkpoint").awaitTermination()
+    _arriving(spark, _twice(spark, sf, False), F.col("turn"), "page-stream", lambda source: ST.stream_unique_pages(
+        source, f"{base}/parts", f"{base}/checkpoint"))
     return ST.read_unique_pages(spark, f"{base}/parts", "page_id BIGINT, url_norm STRING")
 
 
@@ -906,7 +939,7 @@ def stream_unique_pages(spark: SparkSession, sf: str) -> DataFrame:
 def stream_contacts(spark: SparkSession, sf: str) -> DataFrame:
     """Contacts of pages that arrive twice, in three micro-batches."""
     base = _fresh(spark, "contacts")
-    source = _arriving(spark, _twice(spark, sf, True), F.col("turn"), "contact-stream")
-    ST.stream_contacts(source, f"{base}/parts", f"{base}/checkpoint", I.SUFFIXES).awaitTermination()
+    _arriving(spark, _twice(spark, sf, True), F.col("turn"), "contact-stream", lambda source: ST.stream_contacts(
+        source, f"{base}/parts", f"{base}/checkpoint", I.SUFFIXES))
     return ST.read_contact_parts(spark, f"{base}/parts").select(
         "email", "source_url", "parse_method", "context_snippet")

@@ -122,6 +122,16 @@ def read_routed(spark: SparkSession, path: str) -> DataFrame:
     return _restored(spark.read.options(**CSV_OPTIONS).csv(path))
 
 
+def read_routed_folders(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Routed replies of some folders below a path, each with one sub-folder per class."""
+    columns = [*schemas.ROUTED_COLUMNS, "class_slug"]
+    schema = ", ".join(f"{c} STRING" for c in columns)
+    if not names:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).options(**CSV_OPTIONS, basePath=path).csv([f"{path}/{n}" for n in names])
+    return _restored(found.select(*columns))
+
+
 def master_versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of the master table, oldest first."""
     return sorted(

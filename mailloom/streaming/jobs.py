@@ -31,6 +31,7 @@ from ..operators.tracking import (
 )
 from ..session import delete_folder
 from ..sources.files import child_names, path_exists
+from ..sources.readers import read_routed_folders
 from ..sources.sinks import route_by_class
 
 
@@ -148,7 +149,9 @@ def stream_replies(inbox: DataFrame, recipients: DataFrame, keywords: Sequence[s
         chosen = select_replies(batch, recipients, keywords, self_email)
         classified = enrich_replies(classify_replies(chosen, rules), recipients).persist()
         try:
-            route_by_class(classified, f"{routed_path}/{_BATCH}{batch_id}", "overwrite")
+            # An attempt is a folder of its own and never changed; the first complete one of a batch counts.
+            if batch_id not in _complete(batch.sparkSession, routed_path, _BATCH):
+                route_by_class(classified, _part(routed_path, batch_id), "errorifexists")
             _save_part(fold_replies(classified), fold_path, batch_id)
         finally:
             classified.unpersist()
@@ -156,6 +159,17 @@ def stream_replies(inbox: DataFrame, recipients: DataFrame, keywords: Sequence[s
     return _start(inbox.writeStream.foreachBatch(save), checkpoint, every)
 
 
+def read_routed_parts(spark: SparkSession, path: str) -> DataFrame:
+    """All replies that :func:`stream_replies` has routed, with their ``class_slug``.
+
+    Only complete attempts are listed, one for each batch, so a reader sees a batch whole or not at
+    all, and once, also while it is repeated.
+    """
+    names = [n for _, n in sorted(_complete(spark, path, _BATCH).items())]
+    return read_routed_folders(spark, path, [n for n in names if any(
+        c.startswith("class_slug=") for c in child_names(spark, f"{path}/{n}"))])
+
+
 def read_reply_folds(spark: SparkSession, path: str) -> DataFrame:
     """Current reply fold: latest reply and class per address."""
     empty = spark.createDataFrame(

@@ -6,6 +6,7 @@ from mailloom.operators import replies as R
 from mailloom.operators import tracking as TR
 from mailloom.sources import readers as RD
 from mailloom.sources import schemas
+from mailloom.sources.sinks import route_by_class
 from mailloom.streaming import jobs as ST
 
 D = datetime(2024, 1, 1)
@@ -62,6 +63,32 @@ def test_replies_equal_batch(spark, tmp_path):
             R.class_slug(F.col("classification")).alias("slug")).count().collect()}
 
 
+def test_routed_batches_are_read_whole_and_once(spark, tmp_path):
+    """A reader at any time while a batch is repeated: after a broken attempt, between two, after both."""
+    src, routed, folds, cp = (str(tmp_path / x) for x in ("in", "routed", "folds", "cp"))
+    inbox = spark.createDataFrame([(str(i), f"p{i}@u.dz", "Offer", "buy" if i % 2 else "no thanks\n\\ now", D) for i in range(6)], schemas.MESSAGES)
+    people = spark.createDataFrame([(f"p{i}@u.dz", "N", "U") for i in range(6)], "email STRING, name STRING, university STRING")
+    count = lambda: sorted((r["class_slug"], r["body"]) for r in ST.read_routed_parts(spark, routed).collect())
+    assert count() == []
+    arrive(inbox.where("message_id < 4"), src, 1)
+    broken = tmp_path / "routed" / "batch=0.a" / "class_slug=unsubscribes"
+    broken.mkdir(parents=True)
+    (broken / "part-0.csv").write_text("email\nhalf")
+    run = lambda: ST.stream_replies(RD.stream_files(spark, src, schemas.MESSAGES), people, ["offer"], "x@u.dz", routed, folds, cp,
+                                    every=None).awaitTermination()
+    run()
+    buy, no = ("potential_buyers", "buy"), ("not_interested", "no thanks\n\\ now")
+    assert count() == [no] * 2 + [buy] * 2
+    reader = ST.read_routed_parts(spark, routed)
+    # A second complete attempt of the batch, as a driver that comes back may write it, adds nothing.
+    classified = R.enrich_replies(R.classify_replies(R.select_replies(inbox, people, ["offer"], "x@u.dz")), people)
+    route_by_class(classified, f"{routed}/batch=0.zz", "errorifexists")
+    assert count() == [no] * 2 + [buy] * 2 and reader.count() == 4
+    arrive(inbox.where("message_id >= 4"), src, 1)
+    run()
+    assert count() == [no] * 3 + [buy] * 3 and reader.count() == 4
+
+
 def test_class_counts(spark, tmp_path):
     src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     inbox = spark.createDataFrame([(str(i), "a@u.dz", "s", ["buy", "x"][i % 2], D)
