@@ -20,6 +20,8 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 TOKEN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
+_TASK_ROWS = 100_000
+
 _STORED: list[tuple[SparkSession, str]] = []
 
 
@@ -39,8 +41,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts the lineage for good."""
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: cuts the lineage for good.
+
+    ``rows``, a bound on how many there are, spares a small table a task and a file for every shuffle partition.
+    """
+    if rows is not None:
+        df = df.coalesce(max(8, -(-rows // _TASK_ROWS)))
     spark, folder = df.sparkSession, fresh_dir(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)

@@ -47,7 +47,7 @@ from .common import stored, text_blocks
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-LEADER_ROUNDS = 5
+LEADER_ROUNDS = 2
 # Texts whose shingles tell which are frequent; only the speed of the prefix join depends on it.
 FREQUENT_SAMPLE, FREQUENT_KEPT = 5_000, 50_000
 # A pair at the threshold agrees in so many deviations less than expected with a probability below 3e-7.
@@ -319,16 +319,17 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label around and then the label's own label,
     so chains shorten by half; only the number of changes reaches the driver.
     """
-    both = stored(edges.union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges")
+    n = 2 * edges.count()
+    both = stored(edges.union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges", rows=n)
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("id"), F.least("a", "m").alias("class")), "labels")
+        F.col("a").alias("id"), F.least("a", "m").alias("class")), "labels", rows=n)
     while True:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("class").alias("m"))
         step = stored(labels.join(near, F.col("id") == F.col("a")).select(
-            "id", F.least("class", "m").alias("class"), F.col("class").alias("old")), "labels")
+            "id", F.least("class", "m").alias("class"), F.col("class").alias("old")), "labels", rows=n)
         up = step.select(F.col("id").alias("_i"), F.col("class").alias("_c"))
         step = stored(step.join(up, F.col("class") == F.col("_i"), "left").select(
-            "id", F.least("class", F.coalesce("_c", "class")).alias("class"), "old"), "labels")
+            "id", F.least("class", F.coalesce("_c", "class")).alias("class"), "old"), "labels", rows=n)
         labels = step.select("id", "class")
         if step.where("class <> old").isEmpty():
             return labels
@@ -374,8 +375,8 @@ def _plain_pairs(keyed: DataFrame, threshold: float) -> DataFrame:
 def _prefix_pairs(nodes: DataFrame, sets: DataFrame, sketch: DataFrame, threshold: float, registers: int) -> DataFrame:
     """Candidate pairs (a, b) of the given nodes (id, class) in different classes, by their rare shingles."""
     spark = nodes.sparkSession
-    nodes = stored(nodes, "open")
-    own = stored(sets.join(nodes, sets["_id"] == nodes["id"], "left_semi"), "open-sets")
+    nodes = stored(nodes, "open", rows=sets.count())
+    own = stored(sets.join(nodes, sets["_id"] == nodes["id"], "left_semi"), "open-sets", rows=4 * nodes.count())
     grain, n = 1 << 30, max(1, own.count())
     sample = own.where(F.pmod(F.xxhash64(F.lit(2), "_id"), F.lit(grain)) < F.lit(min(grain, grain * FREQUENT_SAMPLE // n)))
     frequent = sample.select("_set").repartition(1).mapInArrow(_frequent, "code binary, n binary").first()
@@ -403,25 +404,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     source = docs.select(F.col(text).cast("string").alias("_text"), node_id(doc_id, text).alias("_id"),
                          text_key(text).alias("_key"))
     sketch = stored(source.select("_text", "_id", "_key").mapInArrow(_sketch(bands, rows, size), _SKETCH), "sketches")
+    n_rows = sketch.count()
     row = F.struct("_id", "_key")
     # The first row of every node that has several.
     copies = stored(sketch.groupBy("_node").agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_rep")).where(
-        "_n > 1").drop("_n"), "copies")
+        "_n > 1").drop("_n"), "copies", rows=n_rows)
     marked = sketch.join(copies, "_node", "left")
     reps = stored(marked.where(F.col("_rep").isNull()).unionByName(
-        marked.where(row == F.col("_rep")).dropDuplicates(["_node"])).drop("_rep"), "nodes")
+        marked.where(row == F.col("_rep")).dropDuplicates(["_node"])).drop("_rep"), "nodes", rows=4 * n_rows)
     banded = reps.where("_words > 0").select(
         F.col("_node").alias("id"), F.col("_size").alias("size"), F.explode("_bands").alias("bucket"))
     shared = stored(banded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-                    .where("low < high").select("bucket"), "buckets")
-    members = stored(banded.join(shared, "bucket").select("bucket", "id", "size"), "members")
+                    .where("low < high").select("bucket"), "buckets", rows=bands * n_rows)
+    members = stored(banded.join(shared, "bucket").select("bucket", "id", "size"), "members", rows=bands * n_rows)
+    n_members = members.count()
     wanted = members.select(F.col("id").alias("_node")).distinct().join(reps.select("_node", "_id", "_key"), "_node").drop("_node")
     sets = stored(source.join(wanted, ["_id", "_key"], "left_semi").select("_text").mapInArrow(
-        _sets(size), "_id long, _set binary, _counts binary").dropDuplicates(["_id"]), "sets")
+        _sets(size), "_id long, _set binary, _counts binary").dropDuplicates(["_id"]), "sets", rows=4 * n_rows)
 
     def linked(pairs: DataFrame) -> DataFrame:
         n_pairs = pairs.count()
-        ids = stored(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "ids")
+        ids = stored(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct(), "ids", rows=2 * n_pairs)
         needed = sets.join(ids, "_id", "left_semi")
         n, size = needed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("_set") + F.octet_length("_counts")), F.lit(0))).first()
         groups = max(6, -(-2 * int(size) // _TILE_BYTES))
@@ -430,11 +433,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         left = sets.select(F.col("_id").alias("a"), F.col("_set").alias("sa"), F.col("_counts").alias("wa"))
         right = sets.select(F.col("_id").alias("b"), F.col("_set").alias("sb"), F.col("_counts").alias("wb"))
         joined = pairs.join(left, "a").join(right, "b")
-        return stored(joined.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_links(threshold), "a long, b long"), "links")
+        return stored(joined.select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(_links(threshold), "a long, b long"), "links", rows=8 * n_pairs)
 
     # Rows of one id belong together from the start.
     several = sketch.groupBy("_id").agg(F.min("_node").alias("b"), F.max("_node").alias("_high")).where("b < _high").drop("_high")
-    same_id = stored(sketch.join(several, "_id").select(F.col("_node").alias("a"), "b").where("a <> b").distinct(), "same-id")
+    same_id = stored(sketch.join(several, "_id").select(F.col("_node").alias("a"), "b").where("a <> b").distinct(), "same-id", rows=n_rows)
     classes, tested = None if same_id.isEmpty() else components(same_id), None
     for turn in range(LEADER_ROUNDS + 1):
         now = members.withColumn("class", F.col("id")) if classes is None else members.join(
@@ -444,7 +447,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         lead = stored(now.groupBy("bucket").agg(
             F.min(F.struct(key.alias("k"), "id", "class")).alias("lead"), F.min("class").alias("low"),
             F.max("class").alias("high")).where("low < high").select(
-            "bucket", F.col("lead.id").alias("b"), F.col("lead.class").alias("other")), "leaders")
+            "bucket", F.col("lead.id").alias("b"), F.col("lead.class").alias("other")), "leaders", rows=n_members)
         if lead.isEmpty():
             break
         if turn < LEADER_ROUNDS:
@@ -454,7 +457,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                   sets, reps, threshold, bands * rows)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         # No pair is compared twice, so rounds after the first are small.
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs", rows=n_members)
         if pairs.isEmpty():
             continue
         tested = pairs if tested is None else tested.union(pairs)
@@ -468,7 +471,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         heads = first.join(first.groupBy("class").agg(F.min("_rep").alias("_head")), "class").select(
             F.col("id").alias("_node"), F.col("_head").alias("_rep")).unionByName(
             heads.join(classes, heads["_node"] == classes["id"], "left_anti"))
-    found = sketch.select("_id", "_key", "_node").join(stored(heads, "heads"), "_node", "left").withColumn(
+    found = sketch.select("_id", "_key", "_node").join(stored(heads, "heads", rows=n_rows), "_node", "left").withColumn(
         "_rep", F.coalesce("_rep", row))
     return found.select(F.col("_id").alias(doc_id), F.col("_rep._id").alias("class_id"), (row == F.col("_rep")).alias("kept"),
                         F.col("_key").alias("text_key"))
