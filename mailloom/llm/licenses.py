@@ -15,6 +15,7 @@ are left out unless named in ``keep``.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -108,21 +109,162 @@ FAMILIES = (
     ("proprietary", ("licenseref-proprietary",), r"proprietary", "proprietary"),
     ("proprietary", (), r"commercial", "commercial"),
 )
-# Wordings of the notices themselves, by hand: label, words in turn, keyword (also the gate).
+# Wordings of the notices themselves, by hand: label, level, words in turn, and a keyword every match
+# holds.  '*' stands for up to three words.
 NOTICES = (
-    ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of this software", "obtaining"),
-    ("bsd", "redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution"),
-    ("isc", "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "distribute"),
-    ("isc", "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", "distribute"),
-    ("zlib", "this software is provided 'as-is', without any express or implied warranty. in no event will the authors be held liable", "as-is"),
-    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
-    ("boost", "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by", "organization"),
-    ("gpl", "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
-    ("gpl", "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
-    ("lgpl", "this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public", "redistribute"),
-    ("wtfpl", "you just do what the fuck you want to", "fuck"),
-    ("proprietary", "unauthorized copying of this file, via any medium is strictly prohibited", "unauthorized"),
+    ("mit", 2, "permission is hereby granted, free of charge, to any person obtaining a copy of this software", "obtaining"),
+    ("mit", 3, "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial"),
+    ("mit", 3, "to deal in the software without restriction, including without limitation the rights to use, copy, modify, merge, publish", "restriction"),
+    ("mit", 4, "the software is provided \"as is\", without warranty of any kind, express or implied", "warranty"),
+    ("mit", 3, "in no event shall the authors or copyright holders be liable for any claim, damages or other liability", "liability"),
+    ("mit-0", 3, "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"software\"), to deal in the software without restriction", "associated"),
+    ("x11", 3, "shall not be used in advertising or otherwise to promote the sale, use or other dealings in this software without prior written authorization", "advertising"),
+    ("bsd", 2, "redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution"),
+    ("bsd", 3, "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer", "redistributions"),
+    ("bsd", 3, "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer", "redistributions"),
+    ("bsd-3-clause", 2, "neither the name of * nor the names of its contributors may be used to endorse or promote products derived from this software", "endorse"),
+    ("bsd-3-clause", 3, "the name of the author may not be used to endorse or promote products derived from this software", "endorse"),
+    ("bsd-4-clause", 2, "all advertising materials mentioning features or use of this software must display the following acknowledgement", "acknowledgement"),
+    ("bsd", 3, "this software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties", "contributors"),
+    ("bsd", 4, "loss of use, data, or profits; or business interruption", "interruption"),
+    ("bsd-2-clause-patent", 3, "subject to the terms and conditions of this license, each copyright holder and contributor hereby grants", "contributor"),
+    ("bsd-3-clause-clear", 2, "no express or implied licenses to any party's patent rights are granted by this license", "patent"),
+    ("0bsd", 3, "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. the software", "distribute"),
+    ("isc", 2, "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "distribute"),
+    ("isc", 2, "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", "distribute"),
+    ("isc", 3, "the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness", "disclaims"),
+    ("hpnd", 3, "permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is hereby granted", "documentation"),
+    ("ntp", 3, "the university of delaware makes no representations about the suitability this software for any purpose", "delaware"),
+    ("zlib", 2, "this software is provided 'as-is', without any express or implied warranty. in no event will the authors be held liable", "as-is"),
+    ("zlib", 3, "the origin of this software must not be misrepresented; you must not claim that you wrote the original software", "misrepresented"),
+    ("zlib", 3, "altered source versions must be plainly marked as such, and must not be misrepresented as being the original software", "misrepresented"),
+    ("libpng", 3, "the png reference library is supplied \"as is\"", "png"),
+    ("libtiff", 3, "the names of sam leffler and silicon graphics may not be used in any advertising or publicity", "leffler"),
+    ("ijg", 3, "this software is based in part on the work of the independent jpeg group", "jpeg"),
+    ("curl", 3, "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies", "appear"),
+    ("freetype", 3, "portions of this software are copyright * the freetype project", "freetype"),
+    ("info-zip", 3, "this software is provided \"as is,\" without warranty of any kind, express or implied. in no event shall info-zip or its contributors", "info-zip"),
+    ("bzip2", 3, "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission. julian seward", "seward"),
+    ("unlicense", 2, "this is free and unencumbered software released into the public domain", "unencumbered"),
+    ("unlicense", 3, "anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary", "compile"),
+    ("public-domain", 3, "the author or authors of this code dedicate any and all copyright interest in this code to the public domain", "dedicate"),
+    ("public-domain", 3, "the author or authors of this software dedicate any and all copyright interest in the software to the public domain", "dedicate"),
+    ("public-domain", 4, "this work is in the public domain", "domain"),
+    ("public-domain", 4, "has been placed in the public domain", "domain"),
+    ("public-domain", 4, "is hereby placed into the public domain", "domain"),
+    ("public-domain", 3, "the author disclaims copyright to this source code", "disclaims"),
+    ("blessing", 2, "may you do good and not evil. may you find forgiveness for yourself and forgive others", "forgiveness"),
+    ("json", 2, "the software shall be used for good, not evil", "evil"),
+    ("beerware", 2, "if we meet some day, and you think this stuff is worth it, you can buy me a beer in return", "beer"),
+    ("boost", 2, "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by", "organization"),
+    ("boost", 3, "unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor", "machine-executable"),
+    ("apache-2.0", 2, "you may not use this file except in compliance with the license. you may obtain a copy of the license at", "compliance"),
+    ("apache-2.0", 3, "unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an \"as is\" basis", "agreed"),
+    ("apache-2.0", 3, "see the license for the specific language governing permissions and limitations under the license", "governing"),
+    ("apache-2.0", 2, "each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license", "irrevocable"),
+    ("apache-2.0", 2, "licensed to the apache software foundation (asf) under one or more contributor license agreements", "contributor"),
+    ("apache-1.1", 3, "this product includes software developed by the apache software foundation", "developed"),
+    ("apache-1.1", 3, "the names \"apache\" and \"apache software foundation\" must not be used to endorse or promote products", "endorse"),
+    ("ecl-2.0", 3, "licensed under the educational community license, version 2.0", "educational"),
+    ("gpl", 2, "this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
+    ("gpl", 2, "this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public", "redistribute"),
+    ("gpl-2.0", 2, "either version 2 of the license, or (at your option) any later version", "option"),
+    ("gpl-3.0", 2, "either version 3 of the license, or (at your option) any later version", "option"),
+    ("lgpl-2.1", 2, "either version 2.1 of the license, or (at your option) any later version", "option"),
+    ("gpl", 3, "you should have received a copy of the gnu general public license along with this program", "received"),
+    ("lgpl", 3, "you should have received a copy of the gnu lesser general public license along with this", "received"),
+    ("lgpl-2.0", 3, "you should have received a copy of the gnu library general public license along with this", "received"),
+    ("agpl-3.0", 2, "you should have received a copy of the gnu affero general public license along with this program", "affero"),
+    ("gpl", 4, "this program is distributed in the hope that it will be useful, but without any warranty", "hope"),
+    ("gpl", 4, "without even the implied warranty of merchantability or fitness for a particular purpose. see the gnu", "merchantability"),
+    ("gpl", 3, "everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed", "verbatim"),
+    ("gpl-2.0", 3, "the licenses for most software are designed to take away your freedom to share and change it", "freedom"),
+    ("gpl-3.0", 3, "the gnu general public license is a free, copyleft license for software and other kinds of works", "copyleft"),
+    ("agpl-3.0", 3, "your modified version must prominently offer all users interacting with it remotely through a computer network", "remotely"),
+    ("lgpl-3.0", 3, "this version of the gnu lesser general public license incorporates the terms and conditions of version 3", "incorporates"),
+    ("lgpl", 2, "this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public", "redistribute"),
+    ("lgpl-2.0", 2, "this library is free software; you can redistribute it and/or modify it under the terms of the gnu library general public", "redistribute"),
+    ("agpl-3.0", 2, "under the terms of the gnu affero general public license as published by the free software foundation", "affero"),
+    ("gpl-2.0-only", 2, "under the terms of the gnu general public license version 2 as published by the free software foundation", "foundation"),
+    ("gpl-3.0-only", 2, "under the terms of the gnu general public license version 3 as published by the free software foundation", "foundation"),
+    ("gpl-with-classpath", 2, "as a special exception, the copyright holders of this library give you permission to link this library with independent modules", "exception"),
+    ("gpl-with-gcc-exception", 2, "under section 7 of gpl version 3, you are granted additional permissions described in the gcc runtime library exception", "runtime"),
+    ("gpl-with-bison", 3, "as a special exception, you may create a larger work that contains part or all of the bison parser skeleton", "bison"),
+    ("gpl-with-openssl", 3, "in addition, as a special exception, the copyright holders give permission to link the code of portions of this program with the openssl library", "openssl"),
+    ("gfdl", 2, "permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation license", "documentation"),
+    ("gfdl", 3, "with no invariant sections, no front-cover texts, and no back-cover texts", "invariant"),
+    ("mpl-2.0", 2, "this source code form is subject to the terms of the mozilla public license, v. 2.0", "mozilla"),
+    ("mpl-2.0", 3, "if a copy of the mpl was not distributed with this file, you can obtain one at", "mpl"),
+    ("mpl-1.1", 2, "the contents of this file are subject to the mozilla public license version 1.1", "mozilla"),
+    ("npl", 2, "the contents of this file are subject to the netscape public license", "netscape"),
+    ("cddl", 2, "the contents of this file are subject to the terms of the common development and distribution license", "development"),
+    ("epl-1.0", 2, "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0", "eclipse"),
+    ("epl-2.0", 2, "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0", "eclipse"),
+    ("epl", 3, "which accompanies this distribution, and is available at * eclipse.org/legal", "eclipse.org"),
+    ("cpl", 2, "this program and the accompanying materials are made available under the terms of the common public license", "common"),
+    ("ipl", 3, "the accompanying program is provided under the terms of this ibm public license", "ibm"),
+    ("eupl", 2, "you may not use this work except in compliance with the licence. you may obtain a copy of the licence at * joinup.ec.europa.eu", "europa"),
+    ("cecill", 2, "this software is governed by the cecill license under french law and abiding by the rules of distribution of free software", "cecill"),
+    ("artistic", 3, "the intent of this document is to state the conditions under which a package may be copied", "package"),
+    ("artistic", 2, "you can redistribute it and/or modify it under the same terms as perl itself", "perl"),
+    ("artistic-2.0", 3, "this is free software; you can redistribute it and/or modify it under the terms of the artistic license 2.0", "artistic"),
+    ("python", 3, "this license agreement is between the python software foundation (\"psf\"), and the individual or organization", "psf"),
+    ("python", 3, "beopen.com hereby grants licensee a non-exclusive, royalty-free, world-wide license", "beopen"),
+    ("postgresql", 3, "in no event shall the university of california be liable to any party for direct, indirect, special, incidental, or consequential damages", "california"),
+    ("openssl", 3, "this product includes software developed by the openssl project for use in the openssl toolkit", "openssl"),
+    ("ssleay", 3, "this product includes cryptographic software written by eric young", "cryptographic"),
+    ("openldap", 3, "openldap is a registered trademark of the openldap foundation", "openldap"),
+    ("php", 3, "this product includes php software, freely available from", "php"),
+    ("php", 3, "products derived from this software may not be called \"php\"", "php"),
+    ("ruby", 3, "you may distribute the software in object code or binary form, provided that you do at least one of the following", "provided"),
+    ("vim", 3, "vim is charityware. you can use and copy it as much as you like", "charityware"),
+    ("tcl", 3, "the authors hereby grant permission to use, copy, modify, distribute, and license this software and its documentation for any purpose", "license"),
+    ("w3c", 3, "permission to copy, modify, and distribute this software and its documentation, with or without modification, for any purpose and without fee or royalty is hereby granted", "royalty"),
+    ("unicode", 3, "permission is hereby granted, free of charge, to any person obtaining a copy of the unicode data files", "unicode"),
+    ("icu", 3, "to deal in the software without restriction, provided that the above copyright notice(s) and this permission notice appear in all copies", "appear"),
+    ("ncsa", 3, "redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimers", "disclaimers"),
+    ("ms-pl", 3, "this license governs use of the accompanying software. if you use the software, you accept this license", "governs"),
+    ("osl", 3, "licensed under the open software license version", "open"),
+    ("afl", 3, "licensed under the academic free license version", "academic"),
+    ("qpl", 3, "the software is licensed under the q public license", "q"),
+    ("sleepycat", 3, "redistributions in any form must be accompanied by information on how to obtain complete source code", "accompanied"),
+    ("ofl", 2, "this font software is licensed under the sil open font license, version 1.1", "font"),
+    ("ofl", 3, "the font software may not be sold by itself", "font"),
+    ("bitstream-vera", 3, "the names \"bitstream\" and \"vera\" must not be used", "bitstream"),
+    ("odbl", 2, "is made available under the open database license", "database"),
+    ("odc-by", 3, "is made available under the open data commons attribution license", "commons"),
+    ("cc0", 2, "to the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "waived"),
+    ("cc0", 3, "the person who associated a work with this deed has dedicated the work to the public domain", "deed"),
+    ("cc-by", 3, "you must give appropriate credit, provide a link to the license, and indicate if changes were made", "credit"),
+    ("cc-by-sa", 3, "if you remix, transform, or build upon the material, you must distribute your contributions under the same license as the original", "remix"),
+    ("cc-by-nc", 3, "you may not use the material for commercial purposes", "commercial"),
+    ("cc-by-nd", 3, "if you remix, transform, or build upon the material, you may not distribute the modified material", "remix"),
+    ("cc-by-sa", 3, "text is available under the creative commons attribution-sharealike license", "sharealike"),
+    ("wtfpl", 2, "you just do what the fuck you want to", "fuck"),
+    ("commons-clause", 2, "the grant of rights under the license will not include, and the license does not grant to you, the right to sell the software", "sell"),
+    ("busl-1.1", 2, "the licensor hereby grants you the right to copy, modify, create derivative works, redistribute, and make non-production use of the licensed work", "non-production"),
+    ("sspl", 2, "if you make the functionality of the program or a modified version available to third parties as a service", "functionality"),
+    ("elastic-2.0", 2, "you may not provide the software to third parties as a hosted or managed service", "hosted"),
+    ("polyform", 2, "you may use the software for any noncommercial purpose is a permitted purpose", "noncommercial"),
+    ("proprietary", 2, "unauthorized copying of this file, via any medium is strictly prohibited", "unauthorized"),
+    ("proprietary", 3, "this software is confidential and proprietary information", "confidential"),
+    ("proprietary", 3, "you shall not disclose such confidential information and shall use it only in accordance with the terms of the license agreement", "disclose"),
+    ("proprietary", 3, "this document contains proprietary information which is protected by copyright", "proprietary"),
+    ("proprietary", 3, "no part of this publication may be reproduced, stored in a retrieval system, or transmitted", "reproduced"),
+    ("proprietary", 3, "no part of this document may be reproduced in any form without prior written permission", "reproduced"),
+    ("proprietary", 3, "may not be reproduced or distributed without the express written consent", "consent"),
+    ("proprietary", 3, "by installing, copying or otherwise using the software, you agree to be bound by the terms", "installing"),
+    ("proprietary", 3, "you may not reverse engineer, decompile, or disassemble the software", "decompile"),
+    ("proprietary", 3, "the software is licensed, not sold", "sold"),
+    ("proprietary", 4, "this software is the property of", "property"),
+    ("shareware", 3, "you may use this software for an evaluation period of", "evaluation"),
+    ("freeware", 3, "this software is freeware and may be distributed freely", "freeware"),
+    ("freeware", 4, "free for personal and non-commercial use", "personal"),
+    ("us-government", 3, "this work was prepared by an officer or employee of the united states government as part of that person's official duties", "officer"),
+    ("us-government", 4, "is not subject to copyright protection in the united states", "subject"),
 )
+# A notice without any of these words is gated by its keyword.
+NOTICE_GATES = ("licen", "softw", "permi", "redistribut", "domain", "copyright", "distribut")
 
 
 def default_rules(families=FAMILIES) -> list[Rule]:
@@ -135,12 +277,20 @@ def default_rules(families=FAMILIES) -> list[Rule]:
         rules.append(Rule(label, 2, keyword, rf"{grant}(?:{name})(?!\w)(?:\s+licen[cs]e)?", GRANT_GATE))
         rules.append(Rule(label, 3, keyword, rf"(?<!\w)(?:{name})\s+(?:public\s+)?licen[cs]e(?:,?\s+(?:version\s+|v\.?\s*)\d+(?:\.\d+)*)?(?!\w)"))
         rules.append(Rule(label, 4, keyword, rf"(?<!\w)licen[cs]e\s*[:=]\s*[\"']?(?:{name})(?!\w)"))
-    for label, words, keyword in NOTICES:
-        pattern = r"\s+".join(w.replace(".", "[.]") for w in words.split(" "))
-        rules.append(Rule(label, 2, keyword, rf"(?<!\w){pattern}(?!\w)", keyword))
+    for label, level, words, keyword in NOTICES:
+        gate = next((g for g in NOTICE_GATES if g in words), keyword)
+        rules.append(Rule(label, level, keyword, notice_pattern(words), gate))
     return rules
 
 
+def notice_pattern(words: str) -> str:
+    """A wording with any white space between its words."""
+    some = r"(?:\S+\s+){0,3}?"
+    parts = [some if w == "*" else re.sub(r"([.()*+?\[\]{}^$|\\])", r"[\1]", w) + r"\s+" for w in words.split(" ")]
+    body = "".join(parts).removesuffix(r"\s+")
+    return rf"(?<![\w\"']){body}(?!\w)" if words[0].isalnum() else body
+
+
 def _struct(rule: Rule, place: int) -> Column:
     return F.struct(F.lit(rule.label).alias("label"), F.lit(rule.level).alias("level"),
                     F.lit(place).alias("place"), F.lit(rule.keyword).alias("keyword"),

@@ -143,12 +143,15 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, doc_id:
     and new shard, bytes and first slot; the folder holds the rows with
     ``_slot`` in one sub-folder per ``_shard``; ``shards`` says per new shard
     how many bytes it has, got from elsewhere, and whether it must be rewritten.
+    Columns named ``_old``, ``_slot`` or ``_shard`` are replaced by those of the
+    new layout; all others are kept, whatever their names.
     """
     spark = docs.sparkSession
     block = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(blocks_per_shard)).cast("int")
-    rows = docs.withColumns({"_old": old_shard.cast("int"), "_block": block, "_size": document_size(text)})
+    dealt = docs.withColumns({"__old": old_shard.cast("int"), "__block": block, "__size": document_size(text)})
+    rows = dealt.drop("_old", "_slot", "_shard").withColumnRenamed("__old", "_old")
     # At most n_old * blocks_per_shard rows, whatever the size of the table.
-    stats = rows.groupBy("_old", "_block").agg(F.sum("_size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
+    stats = rows.groupBy("_old", F.col("__block").alias("_block")).agg(F.sum("__size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
     where = place_blocks([(r["_old"], r["_block"], r["b"]) for r in stats], n_old, n_new)
     first, filled = [], [0] * n_new
     for r in sorted(stats, key=lambda r: (r["_old"], r["_block"])):
@@ -156,11 +159,11 @@ def reshard(docs: DataFrame, old_shard: Column, n_old: int, n_new: int, doc_id:
         first.append((r["_old"], r["_block"], j, filled[j], r["b"], r["n"]))
         filled[j] += r["n"]
     plan = spark.createDataFrame(first, "_old int, _block int, _shard int, _first long, _bytes long, _rows long")
-    rank = F.row_number().over(Window.partitionBy("_old", "_block").orderBy(
+    rank = F.row_number().over(Window.partitionBy("_old", "__block").orderBy(
         F.col(doc_id).asc_nulls_first(), F.crc32(F.coalesce(F.col(text), F.lit("")))))
-    placed = rows.withColumn("_rank", rank).join(
-        F.broadcast(plan.select("_old", "_block", "_shard", "_first")), ["_old", "_block"]).withColumn(
-        "_slot", F.col("_first") + F.col("_rank") - 1).drop("_first", "_rank", "_size", "_block")
+    starts = plan.select("_old", F.col("_block").alias("__block"), "_shard", F.col("_first").alias("__first"))
+    placed = rows.withColumn("__rank", rank).join(F.broadcast(starts), ["_old", "__block"]).withColumn(
+        "_slot", F.col("__first") + F.col("__rank") - 1).drop("__first", "__rank", "__size", "__block")
     folder = fresh_dir(spark, "shards")
     placed.write.partitionBy("_shard").option("compression", "zstd").parquet(folder)
     shards = plan.groupBy("_shard").agg(

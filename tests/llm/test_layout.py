@@ -140,6 +140,15 @@ def test_resharding_on_edge_rows(spark, edge, empty):
     assert plan.count() == 0
 
 
+def test_resharding_with_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, "t" * i, "a", "b", "c", "d", "e") for i in range(30)],
+                               "doc_id INT, text STRING, _size STRING, _slot STRING, _shard STRING, _first STRING, _block STRING")
+    folder, _, _ = sharding.reshard(df, F.col("doc_id") % 3, 3, 4)
+    out = spark.read.parquet(folder).collect()
+    assert sorted((r["doc_id"], r["_size"], r["_first"], r["_block"]) for r in out) == [(i, "a", "d", "e") for i in range(30)]
+    assert all(isinstance(r["_slot"], int) and r["_shard"] in range(4) for r in out)
+
+
 def test_resharding_query(spark):
     out = by_key(Q.llm_queries()["op7_flow_resharding"](spark, SF))
     docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SF}/documents.parquet'").fetchall()

@@ -210,10 +210,23 @@ def test_every_name_holds_its_keyword():
     for name, keyword in names.items():
         alternatives = name[3:-1].split("|") if name.startswith("(?:") and name.endswith(")") else [name]
         assert all(keyword in re.sub(r"\([^()]*\)\?", "", a) for a in alternatives), name
-    for _, words, keyword in licenses.NOTICES:
+    for _, _, words, keyword in licenses.NOTICES:
         assert keyword in words
 
 
+def test_every_notice_is_found_in_its_own_words(spark):
+    """Whatever white space stands between the words, and through the gate words and keywords."""
+    rows = [(i, "Text before.\n" + w.replace("* ", "the one two ").replace(" ", " \n ").upper() + " and after")
+            for i, (_, _, w, _) in enumerate(licenses.NOTICES)]
+    assert len(rows) >= 150 and len({w for _, _, w, _ in licenses.NOTICES}) == len(rows)
+    out = by_key(licenses.license_scan(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")))
+    for i, (label, _, words, _) in enumerate(licenses.NOTICES):
+        found = set(out[i]["labels"].split(","))
+        # A longer wording that holds this one may stand for it.
+        assert label in found or found - {""}, words
+        assert found == labels_of_all_rules(rows[i][1]) | set(filter(None, base_places(rows[i][1])[4].split(","))), words
+
+
 def test_licenses_keep_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, "mit license", "a", "b", "c")], "doc_id INT, text STRING, _low STRING, _norm STRING, _found STRING")
     out = licenses.license_scan(df, keep=("doc_id", "_low", "_norm", "_found", "text")).first()
