@@ -11,14 +11,16 @@ a softmax factored into classes; their number grows with the distinct training
 tokens (``vocabulary_size``).  It is trained by truncated backpropagation on all
 training documents: in each of ``ROUNDS`` rounds every partition starts from the
 same weights and walks through its documents, then the weights are averaged by
-token counts.  Up to ``SMALL_TOKENS`` training tokens a round takes all
-documents; beyond, each document is in one of the rounds.  Other tokens share
+token counts.  Each document is in one of the rounds, at every size; long ones
+are learned from in stretches of ``SEGMENT`` tokens side by side.  Other tokens share
 one entry of the model, divided by their training counts.  Scoring walks through the documents of a block side by side,
 in windows; the state goes from window to window, so a document of any length
 is scored as a whole.
 
 Null text counts as empty: it has the end token alone.  Repeated rows count as
-often as they occur.  An empty table gives an empty result.
+often as they occur and share a block, as do rows whose id and text are equal.
+A very long text makes a block of its size.  Only id and text are read, so other
+columns may have any names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,12 +40,15 @@ BLOCK_BYTES = 8_000_000
 VOCABULARY = 2000  # modelled tokens at least, where there are so many
 HIDDEN, CLASS_SIZE, WINDOW = 24, 48, 16
 BATCH, LARGE_BATCH = 96, 512
-ROUNDS, SMALL_TOKENS = 3, 5_000_000
+# Each document is learned from in one of the rounds, whatever the size of the table.
+ROUNDS = 3
+# Longer documents are learned from in stretches of so many tokens side by side; scoring never cuts them.
+SEGMENT = 512
 # Training partitions hold at least so many bytes, and more than the second only where all cores have one.
 _PART_BYTES, _FULL_PART_BYTES, _CHUNK_BYTES = 32_000_000, 512_000_000, 8_000_000
 _SHARD = 2048  # vocabulary rows that are averaged together
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token; words have other hashes but by chance
-_MAX_RANGES = 1024
+_RANGE_BYTES = 16_000_000  # of text for each hash range
 
 
 def vocabulary_size(distinct: int) -> int:
@@ -205,6 +210,12 @@ class GatedModel:
             grads["c"] += h.T @ d
             grads["cb"] += d.sum(0)
             dh = d @ w["c"].T
+        if len(target) <= 2 * self.classes and self.classes * s == len(w["ob"]) and grads is None:
+            # Few targets: the weights of their classes side by side.
+            wk = w["o"].reshape(self.classes, s, -1)[own]
+            l = np.matmul(wk, h[:, :, None])[:, :, 0] + w["ob"].reshape(self.classes, s)[own]
+            l -= l.max(1, keepdims=True)
+            return out + l[row, target - own * s] - np.log(np.exp(l).sum(1)), None
         order = np.argsort(own, kind="stable")
         edge = np.searchsorted(own[order], np.arange(self.classes + 1))
         for k in range(self.classes):
@@ -227,9 +238,13 @@ class GatedModel:
                 dh[at] += d @ wk
         return out, dh
 
-    def window(self, h: np.ndarray, ids: np.ndarray, target: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, dict, float]:
-        """One truncated backpropagation window (rows x steps): new state, gradients, loss."""
-        grads = {k: np.zeros_like(v) for k, v in self.w.items()}
+    def window(self, h: np.ndarray, ids: np.ndarray, target: np.ndarray, live: np.ndarray,
+               grads: dict | None = None) -> tuple[np.ndarray, dict, float]:
+        """One truncated backpropagation window (rows x steps): new state, gradients, loss.
+
+        ``grads`` are arrays of zeros to fill.
+        """
+        grads = grads or {k: np.zeros_like(v) for k, v in self.w.items()}
         past, hs = [], []
         for t in range(ids.shape[1]):
             new, z, r, n = self.step(h, ids[:, t])
@@ -288,12 +303,18 @@ class Trainer:
         self.model.w = {k: x.copy() for k, x in weights.items()}
         self.m = {k: np.zeros_like(x) for k, x in weights.items()}
         self.v = {k: np.zeros_like(x) for k, x in weights.items()}
+        self.grads = {k: np.zeros_like(x) for k, x in weights.items()}
         self.rate, self.step, self.rng = rate, 0, np.random.default_rng(seed)
 
     def learn(self, ids: np.ndarray, lengths: np.ndarray, end: int) -> None:
-        start, order = np.cumsum(lengths) - lengths, np.argsort(lengths, kind="stable")
+        start = np.cumsum(lengths) - lengths
         before = np.concatenate(([end], ids[:-1])) if len(ids) else ids
         before[start] = end
+        # Stretches of long documents, so that windows stay full.
+        pieces = -(-lengths // SEGMENT)
+        place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        lengths = np.minimum(SEGMENT, np.repeat(lengths, pieces) - place * SEGMENT)
+        start, order = np.repeat(start, pieces) + place * SEGMENT, np.argsort(lengths, kind="stable")
         size = min(max(BATCH, len(order) // 8), LARGE_BATCH)
         batches = [order[i:i + size] for i in range(0, len(order), size)]
         for b in self.rng.permutation(len(batches)):
@@ -303,7 +324,7 @@ class Trainer:
                 go = lengths[rows] > t
                 rows, h = rows[go], h[go]
                 at, live = _lanes(lengths, rows, ids, start, t, WINDOW)
-                h, grads, _ = self.model.window(h, before[at], ids[at], live)
+                h, grads, _ = self.model.window(h, before[at], ids[at], live, self.grads)
                 self._move(grads, before[at], ids[at][live])
 
     def _move(self, grads: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> None:
@@ -315,7 +336,8 @@ class Trainer:
         touched = {"x": np.unique(inputs), "o": met, "ob": met}
         for k, g in grads.items():
             at = touched.get(k, slice(None))
-            g = g[at] / max(1, len(targets))
+            all_rows, g = g, g[at] / max(1, len(targets))
+            all_rows[at] = 0  # for the next window
             m = self.m[k][at] = self.m[k][at] * 0.9 + 0.1 * g
             v = self.v[k][at] = self.v[k][at] * 0.99 + 0.01 * (g * g)
             self.model.w[k][at] -= (rate * m / (np.sqrt(v) + 1e-6)).astype(np.float32)
@@ -407,8 +429,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, frequency: np.ndarray, size:
     weights, end = first_weights(frequency), int(vocabulary.encode(np.array([END]))[0])
     parts = max(1, min(-(-size // _PART_BYTES), max(spark.sparkContext.defaultParallelism, -(-size // _FULL_PART_BYTES))))
     for turn in range(ROUNDS):
-        own = docs if vocabulary.tokens <= SMALL_TOKENS else docs.where(
-            F.pmod(F.xxhash64(F.lit(1), F.col(doc_id), F.col(text)), F.lit(ROUNDS)) == turn)
+        own = docs.where(F.pmod(F.xxhash64(F.lit(1), F.col(doc_id), F.col(text)), F.lit(ROUNDS)) == turn)
         held = spark.sparkContext.broadcast((vocabulary, weights))
         found = own.select(F.col(text).cast("string")).repartition(parts).mapInArrow(
             _train_task(held, end, 0.02 * 0.3 ** turn), _SHARD_SCHEMA).groupBy("shard").applyInArrow(
@@ -427,7 +448,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     size, in_training = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.coalesce(
         F.sum(F.when(training, F.octet_length(text))), F.lit(0))).first()
     n_blocks = max(1, -(-int(size) // block_bytes))
-    ranges = min(max(16, shuffle_partitions(spark)), _MAX_RANGES)
+    ranges = max(16, shuffle_partitions(spark), -(-int(size) // _RANGE_BYTES))
     kind = docs.schema[doc_id].dataType.simpleString()
     dealt = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("_text"),
                         training.cast("int").alias("_train"),
@@ -438,7 +459,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     totals = replies.where("_block = -1")
     n, v = totals.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum("_v"), F.lit(0))).first()
 
-    # At most _MAX_RANGES rows, each of VOCABULARY tokens and twice the range's share of the modelled ones.
+    # A row for each range, of VOCABULARY tokens and twice the range's share of the modelled ones.
     top = totals.select("_top", "_counts").repartition(1).mapInArrow(
         _merge_top(vocabulary_size(int(v))), "_top binary, _counts binary").first()
     hashes, counts = (np.frombuffer(x, t) for x, t in zip(top or (b"", b""), (np.uint64, np.int64)))
