@@ -16,6 +16,8 @@ CAMPAIGN = "launch"
 SELF_EMAIL = "c3.u@site3.example.com"
 BASE_URL = "https://track.example.org"
 FANOUT, SITES = 9, 3
+# A walk in which the cap per level and the length of the queue decide.
+PER_LEVEL, CAPPED_PAGES, QUEUE_FACTOR = 5, 40, 3
 
 PHRASES = (
     "I want to buy", "the cost is too much", "can we schedule a zoom", "not interested",

@@ -451,6 +451,12 @@ def frontier_budgeted(spark: SparkSession, sf: str) -> DataFrame:
     return _long(_frontier(spark, sf, max_pages=12), "level")
 
 
+@query
+def frontier_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """The walk with few links per level, which ends a seed when too many wait; both limits are its feature."""
+    return _long(_frontier(spark, sf, max_pages=I.CAPPED_PAGES, per_level=I.PER_LEVEL, queue_factor=I.QUEUE_FACTOR), "level")
+
+
 def _frontier(spark: SparkSession, sf: str, **limits) -> DataFrame:
     tree = I.tree_pages(spark, sf)
     starts = tree.where(F.col("page_id") < I.SITES).select(
