@@ -129,7 +129,7 @@ def round_cells(size: np.ndarray, n: np.ndarray, rate: np.ndarray, most: int) ->
 
     First every cell takes the whole number of copies just below or above n * rate, whichever leaves fewer
     words owed.  Then, as long as it brings the words closer to what the rates ask for, a
-    cell gives or takes one copy, or one gives while another one takes.
+    cell gives or takes one copy, or one gives while another one takes.  No cell goes two copies or more beyond n * rate.
     """
     out, owed = np.zeros(len(size), np.int64), 0.0
     for k, (s, m, copies) in enumerate(zip(size.tolist(), n.tolist(), (n * rate).tolist())):
@@ -139,7 +139,8 @@ def round_cells(size: np.ndarray, n: np.ndarray, rate: np.ndarray, most: int) ->
         out[k] = low + up
         owed -= s * up
     for _ in range(_REPAIRS):
-        grow, shrink = np.append(np.flatnonzero(out < most * n), -1), np.append(np.flatnonzero(out > 0), -1)
+        grow = np.append(np.flatnonzero((out < most * n) & (out < n * rate + 1)), -1)
+        shrink = np.append(np.flatnonzero((out > 0) & (out > n * rate - 1)), -1)
         plus, minus = (np.where(k < 0, 0, size[k]).astype(float) for k in (grow, shrink))
         order = np.argsort(minus, kind="stable")
         # For every cell that could take a copy the one to give whose size comes closest to the rest.
