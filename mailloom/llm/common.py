@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import inspect
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,26 @@ def drop_stored() -> None:
             continue
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker is used again by later stages, which need theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(fn: Callable) -> Callable:
+    """``fn`` for a group of rows, followed by :func:`give_back`."""
+    def run(*tables):
+        try:
+            return fn(*tables)
+        finally:
+            give_back()
+
+    # The engine tells the form of a function by its arguments.
+    return {1: lambda a: run(a), 2: lambda a, b: run(a, b)}[len(inspect.signature(fn).parameters)]
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], chars: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches whose first string column holds about so many bytes.
 
@@ -83,6 +105,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], chars: int = 8_000_000) -> It
             stop = max(start + 1, int(np.searchsorted(total, base + chars, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def rows_out(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:

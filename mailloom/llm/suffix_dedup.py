@@ -42,7 +42,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import giving_back, shuffle_partitions
 from .minhash import _BYTE, _P, _P_INV, mix
 
 LENGTH = 100
@@ -472,11 +472,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         dealt = dealt.withColumn("_block", F.lit(0)).drop("_place")
     ranges = max(16, shuffle_partitions(spark), -(-int(size) // _RANGE_BYTES))
     blocks = dealt.groupBy("_block")
-    anchors = blocks.applyInArrow(_ask_anchors(length, ranges), _ROWS).groupBy("_range").applyInArrow(_answer_anchors, _ROWS)
-    suffixes = blocks.cogroup(anchors.groupBy("_block")).applyInArrow(_ask_suffixes(length, ranges), _ROWS)
-    answers = suffixes.groupBy("_range").applyInArrow(_answer_suffixes, _ROWS)
+    anchors = blocks.applyInArrow(giving_back(_ask_anchors(length, ranges)), _ROWS).groupBy("_range").applyInArrow(giving_back(_answer_anchors), _ROWS)
+    suffixes = blocks.cogroup(anchors.groupBy("_block")).applyInArrow(giving_back(_ask_suffixes(length, ranges)), _ROWS)
+    answers = suffixes.groupBy("_range").applyInArrow(giving_back(_answer_suffixes), _ROWS)
     held = [f"_k{i}" for i in range(len(keys))]
     schema = ", ".join([*[f"{h} {docs.schema[k].dataType.simpleString()}" for h, k in zip(held, keys)],
                         "n_bytes long, n_removed long, n_spans long, kept_sha256 string", *["kept_text string"] * kept_text])
-    out = blocks.cogroup(answers.groupBy("_block")).applyInArrow(_cut(length, held, kept_text), schema)
+    out = blocks.cogroup(answers.groupBy("_block")).applyInArrow(giving_back(_cut(length, held, kept_text)), schema)
     return out.withColumnsRenamed(dict(zip(held, keys)))
