@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_CRAWL_DELAY, DEFAULT_SUFFIXES, SUBDOMAIN_PREFIXES
 from ..functions import urls as U
+from ..functions.text import let
 from .links import subdomain_links
 
 
@@ -80,21 +81,29 @@ def match_www_variants(pages: DataFrame, captured: DataFrame,
         *keep, "variant", F.coalesce("n_captured", F.lit(0)).alias("n_captured"))
 
 
+def _candidates(seed: Column, prefixes: Iterable[str], suffixes: tuple[str, ...]) -> Column:
+    """Distinct department subdomains of a seed, as an array; empty or NULL without a host."""
+    prefixes = tuple(prefixes)
+
+    def build(x: Column, p: Column) -> Column:
+        host = U.strip_www(p["netloc"])
+        start = F.concat(F.when(p["scheme"] == "", "https").otherwise(p["scheme"]), F.lit("://"))
+        urls = F.transform(F.array(*[F.lit(i) for i in prefixes]), lambda prefix: U.normalize_url(
+            F.concat(start, prefix, F.lit("."), host)))
+        return F.when(host != "", F.array_distinct(
+            F.filter(urls, lambda u: U.same_base_domain(x, u, suffixes))))
+
+    return let(seed, lambda x: let(U.url_parts(x), lambda p: build(x, p)))
+
+
 def candidate_subdomains(seeds: DataFrame, prefixes: Iterable[str] = SUBDOMAIN_PREFIXES,
                          suffixes: Iterable[str] = DEFAULT_SUFFIXES) -> DataFrame:
-    """Department subdomains to look for, per seed (column ``seed``)."""
-    suffixes = tuple(suffixes)
-    p = U.url_parts(F.col("seed"))
-    parts = seeds.select("seed", p["scheme"].alias("scheme"),
-                         U.strip_www(p["netloc"]).alias("host")).where(F.col("host") != "")
-    url = F.concat(F.when(F.col("scheme") == "", "https").otherwise(F.col("scheme")),
-                   F.lit("://"), F.col("prefix"), F.lit("."), F.col("host"))
-    return (
-        parts.withColumn("prefix", F.explode(F.array(*[F.lit(x) for x in prefixes])))
-        .select("seed", U.normalize_url(url).alias("url"))
-        .where(U.same_base_domain(F.col("seed"), F.col("url"), suffixes))
-        .distinct()
-    )
+    """Department subdomains to look for, per seed (column ``seed``).
+
+    Seeds are made distinct before they grow, so no task aggregates the candidates.
+    """
+    return seeds.select("seed").distinct().select(
+        "seed", F.explode(_candidates(F.col("seed"), prefixes, tuple(suffixes))).alias("url"))
 
 
 def start_set(seeds: DataFrame, pages: DataFrame,
@@ -105,18 +114,17 @@ def start_set(seeds: DataFrame, pages: DataFrame,
     A seed that is itself a subdomain starts alone; any other also tries the
     department subdomains and the subdomains linked from its own page.
     """
-    suffixes = tuple(suffixes)
+    suffixes, prefixes = tuple(suffixes), tuple(prefixes)
     norm = seeds.select(U.normalize_url(F.col("seed")).alias("seed")).distinct()
-    roots = norm.where(~U.is_subdomain(U.host_of(F.col("seed")), suffixes))
+    root = ~U.is_subdomain(U.host_of(F.col("seed")), suffixes)
+    # The URLs that a seed gives by itself, distinct in its row.
+    own = F.array_union(F.array("seed"), F.coalesce(
+        _candidates(F.col("seed"), prefixes, suffixes), F.array().cast("array<string>")))
     # Links are taken inside the page rows and joined afterwards, so that no
     # HTML is shuffled; only pages that can be a root seed are looked at.
     on_root = pages.where(~U.is_subdomain(U.host_of(F.col("url")), suffixes))
     linked = subdomain_links(on_root, suffixes, keep=()).select(
         U.normalize_url(F.col("page_url")).alias("seed"), "url").join(
-            roots, "seed", "left_semi")
-    return (
-        norm.select("seed", F.col("seed").alias("url"))
-        .unionByName(candidate_subdomains(roots, prefixes, suffixes))
-        .unionByName(linked)
-        .distinct()
-    )
+            norm.where(root), "seed", "left_semi").distinct()
+    return norm.select("seed", F.explode(F.when(root, own).otherwise(F.array("seed"))).alias("url")).unionByName(
+        linked.where(~F.array_contains(own, F.col("url"))))

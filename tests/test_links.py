@@ -72,6 +72,25 @@ def test_start_set(spark):
                    ("https://u.dz/", "https://lab.u.dz/a"), ("https://s.v.dz/", "https://s.v.dz/")}
 
 
+def test_start_set_grows_after_its_aggregates(spark):
+    """Each (seed, url) comes once, and no aggregate stands above the rows that the prefixes multiply."""
+    pages = spark.createDataFrame(
+        [(1, "https://u.dz/", anchor("https://math.u.dz/") + anchor("https://lab.u.dz/")),
+         (2, "https://u.dz", anchor("https://lab.u.dz")), (3, None, anchor("https://t.dz/")),
+         (4, "https://www.w.dz/", anchor("https://math.w.dz/x"))], "page_id BIGINT, url STRING, html STRING")
+    seeds = spark.createDataFrame([("https://u.dz",), ("https://u.dz/",), ("https://www.w.dz",), ("no host",), (None,)],
+                                  "seed STRING")
+    out = S.start_set(seeds, pages, [".dz"], ["math", "www", "math"])
+    assert sorted(((r["seed"], r["url"]) for r in out.collect()), key=str) == sorted([
+        ("https://u.dz/", "https://u.dz/"), ("https://u.dz/", "https://math.u.dz/"), ("https://u.dz/", "https://www.u.dz/"),
+        ("https://u.dz/", "https://lab.u.dz/"), ("https://www.w.dz/", "https://www.w.dz/"),
+        ("https://www.w.dz/", "https://math.w.dz/"), ("https://www.w.dz/", "https://math.w.dz/x"),
+        ("no host", "no host"), (None, None)], key=str)
+    for df in (out, S.candidate_subdomains(seeds, ["math"], [".dz"])):
+        above = df._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")
+        assert len(above) == 2 and "Aggregate" not in above[0] and "Aggregate" in above[1]
+
+
 def test_crawl_delay(spark):
     urls = spark.createDataFrame([("https://a.u.dz/x",), ("https://v.dz",), ("https://w.dz",)],
                                  "url STRING")
