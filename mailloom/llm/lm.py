@@ -7,7 +7,7 @@ of exactly its tokens.  So a frequent token is sent once per block, and nobody
 holds the vocabulary.
 
 The model is a gated recurrent unit in numpy over the most frequent tokens, with
-a softmax factored into classes; their number grows with the distinct training
+a softmax factored into classes, and those into groups where there are many; their number grows with the distinct training
 tokens (``vocabulary_size``).  It is trained by truncated backpropagation on all
 training documents: in each of ``ROUNDS`` rounds every partition starts from the
 same weights and walks through its documents, then the weights are averaged by
@@ -47,6 +47,8 @@ SEGMENT = 512
 # Training partitions hold at least so many bytes, and more than the second only where all cores have one.
 _PART_BYTES, _FULL_PART_BYTES, _CHUNK_BYTES = 32_000_000, 512_000_000, 8_000_000
 _SHARD = 2048  # vocabulary rows that are averaged together
+_MOVED = 32768  # weights that are moved together, so that they stay in the cache
+_TARGETS, _BLOCK = 8192, 16  # targets that are taken together, and those of one choice
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token; words have other hashes but by chance
 _RANGE_BYTES = 16_000_000  # of text for each hash range
 
@@ -170,74 +172,159 @@ class Vocabulary:
         return self.tokens - self.inside + 0.5 * (self.distinct - len(self.hashes) + 1)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _choices(rows: np.ndarray, met: np.ndarray, size: int, fill: float) -> np.ndarray:
+    """Stretches of ``size`` rows with the given numbers; the last of all may be short and is filled up."""
+    whole = len(rows) // size
+    if not len(met) or met[-1] < whole:
+        return rows[:whole * size].reshape(whole, size, *rows.shape[1:]).take(met, 0)
+    out = np.full((len(met), size, *rows.shape[1:]), fill, rows.dtype)
+    out[:-1] = _choices(rows, met[:-1], size, fill)
+    out[-1, :len(rows) - whole * size] = rows[whole * size:]
+    return out
+
+
+def _add_choices(rows: np.ndarray, met: np.ndarray, size: int, more: np.ndarray) -> None:
+    """Adds to the stretches that :func:`_choices` gives."""
+    whole = len(rows) // size
+    if met[-1] >= whole:
+        rows[whole * size:] += more[-1, :len(rows) - whole * size]
+        met, more = met[:-1], more[:-1]
+    if len(rows) and rows.flags.c_contiguous:
+        rows[:whole * size].reshape(whole, size, *rows.shape[1:])[met] += more
+    else:
+        for i, x in zip(met.tolist(), more):
+            rows[i * size:(i + 1) * size] += x
+
+
+def _run_sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, each from its first one to the next run."""
+    n, out = np.diff(first, append=len(x)), x.take(first, 0)
+    for j in range(1, min(16, int(n.max(initial=0)))):
+        more = np.flatnonzero(n > j)
+        out[more] += x.take(first[more] + j, 0)
+    for i in np.flatnonzero(n > 16).tolist():
+        out[i] += x[first[i] + 16:first[i] + n[i]].sum(0)
+    return out
 
 
 class GatedModel:
-    """Gated recurrent unit with a class-factored softmax, in single precision."""
+    """Gated recurrent unit with a class-factored softmax, in single precision.
+
+    Where there are more classes than words in one, they are factored again, into groups, so that the
+    numbers a token costs hardly grow with the vocabulary.
+    """
 
     def __init__(self, size: int, hidden: int = HIDDEN, class_size: int | None = None, seed: int = 7):
-        class_size = class_size or max(CLASS_SIZE, int(np.ceil(np.sqrt(size))))
+        class_size = class_size or max(CLASS_SIZE, int(np.ceil(np.cbrt(size))))
         r = np.random.default_rng(seed)
         self.hidden, self.class_size, self.classes = hidden, class_size, -(-size // class_size)
+        # Classes in a group; one group of all where there are few.
+        self.fan = self.classes if self.classes <= class_size else int(np.ceil(np.sqrt(self.classes)))
+        self.groups = -(-self.classes // self.fan)
         small = lambda *shape: (r.standard_normal(shape) * 0.1).astype(np.float32)
         self.w = {"x": small(size, 3 * hidden), "u": small(hidden, 2 * hidden), "n": small(hidden, hidden),
                   "c": small(hidden, self.classes), "cb": np.zeros(self.classes, np.float32),
                   "o": small(size, hidden), "ob": np.zeros(size, np.float32)}
+        if self.groups > 1:
+            self.w |= {"g": small(hidden, self.groups), "gb": np.zeros(self.groups, np.float32)}
 
     def step(self, h: np.ndarray, ids: np.ndarray):
-        k, g = self.hidden, self.w["x"][ids]
-        gates = _sigmoid(g[:, :2 * k] + h @ self.w["u"])
+        return self._gates(h, self.w["x"].take(ids, 0))
+
+    def _gates(self, h: np.ndarray, g: np.ndarray):
+        k = self.hidden
+        gates = h @ self.w["u"]
+        gates += g[:, :2 * k]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
         z, r = gates[:, :k], gates[:, k:]
-        n = np.tanh(g[:, 2 * k:] + (r * h) @ self.w["n"])
-        return n + z * (h - n), z, r, n
+        n = (r * h) @ self.w["n"]
+        n += g[:, 2 * k:]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n
+
+    def _levels(self):
+        """Weights by row, biases, rows of a choice and rows per target of each level, words first."""
+        yield "o", "ob", self.class_size, 1
+        yield "c", "cb", self.fan, self.class_size
+        if self.groups > 1:
+            yield "g", "gb", self.groups, self.class_size * self.fan
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target after the states ``h``; fills gradients of its negative sum."""
-        w, s = self.w, self.class_size
-        logits = h @ w["c"] + w["cb"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1)
-        own = target // s
-        row = np.arange(len(target))
-        out = logits[row, own] - np.log(total)
-        dh = None
-        if grads is not None:
-            d = e / total[:, None]
-            d[row, own] -= 1
-            grads["c"] += h.T @ d
-            grads["cb"] += d.sum(0)
-            dh = d @ w["c"].T
-        if len(target) <= 2 * self.classes and self.classes * s == len(w["ob"]) and grads is None:
-            # Few targets: the weights of their classes side by side.
-            wk = w["o"].reshape(self.classes, s, -1)[own]
-            l = np.matmul(wk, h[:, :, None])[:, :, 0] + w["ob"].reshape(self.classes, s)[own]
-            l -= l.max(1, keepdims=True)
-            return out + l[row, target - own * s] - np.log(np.exp(l).sum(1)), None
-        order = np.argsort(own, kind="stable")
-        edge = np.searchsorted(own[order], np.arange(self.classes + 1))
-        for k in range(self.classes):
-            a, b = edge[k], edge[k + 1]
-            if a == b:
-                continue
-            at, lo = order[a:b], k * s
-            hk, wk = h[at], w["o"][lo:lo + s]
-            l = hk @ wk.T + w["ob"][lo:lo + s]
-            l -= l.max(1, keepdims=True)
-            e = np.exp(l)
-            total = e.sum(1)
-            t = target[at] - lo
-            out[at] += l[np.arange(b - a), t] - np.log(total)
-            if grads is not None:
-                d = e / total[:, None]
-                d[np.arange(b - a), t] -= 1
-                grads["o"][lo:lo + s] += d.T @ hk
-                grads["ob"][lo:lo + s] += d.sum(0)
-                dh[at] += d @ wk
+        own = target // self.class_size
+        order = np.argsort(own.astype(np.uint16) if self.classes < 1 << 16 else own, kind="stable")  # radix sort
+        hs, ts = h.take(order, 0), target[order]
+        found, dhs = np.zeros(len(ts), h.dtype), None if grads is None else np.zeros_like(hs)
+        # The class of the most frequent words by itself: it needs no blocks.
+        n = int(np.count_nonzero(own == 0))
+        cuts = [0, n, *range(n + _TARGETS, len(ts), _TARGETS), len(ts)]
+        for part in (slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b):
+            for rows, bias, size, per in self._levels():
+                self._choice(rows, bias, size, hs[part], ts[part] // per, found[part],
+                             None if dhs is None else dhs[part], grads)
+        out = np.empty_like(found)
+        out[order] = found
+        if grads is None:
+            return out, None
+        dh = np.empty_like(dhs)
+        dh[order] = dhs
         return out, dh
 
+    def _choice(self, name: str, bias: str, size: int, hs: np.ndarray, at: np.ndarray, found: np.ndarray,
+                dhs: np.ndarray | None, grads: dict | None) -> None:
+        """Adds to ``found`` the log-probability of each row in ``at``, rising, among its ``size`` neighbours.
+
+        Targets of one choice lie in blocks of ``_BLOCK`` side by side, the last one filled up with zero
+        states, so that all choices are a few products of stacked matrices.
+        """
+        w, k = self.w[name] if name == "o" else self.w[name].T, self.hidden
+        own = at // size
+        edge = np.flatnonzero(np.diff(own, prepend=-1))
+        n = np.diff(edge, append=len(at))
+        block = len(at) if len(edge) < 2 else _BLOCK if len(at) < 8 * _BLOCK * len(edge) else 8 * _BLOCK
+        blocks = -(-n // block)
+        first = np.cumsum(blocks) - blocks
+        # The place of each target among the blocks, and the choice of each block.
+        slot = np.arange(len(at)) + np.repeat(first * block - edge, n)
+        met = own[edge]
+        of = np.repeat(np.arange(len(met)), blocks)
+        h = np.zeros((len(of) * block, k), hs.dtype)
+        h[slot] = hs
+        h = h.reshape(-1, block, k)
+        wk, bk = _choices(w, met, size, 0.0), _choices(self.w[bias], met, size, -np.inf)
+        bk = bk - bk.max(1, keepdims=True)
+        wk = wk[of]
+        l = np.matmul(h, wk.transpose(0, 2, 1))
+        l += bk[of][:, None]
+        flat, mine = l.reshape(-1, size), at - own * size
+        ones, right = np.ones(size, l.dtype), flat[slot, mine]
+        # States lie within -1 and 1, so the biases alone keep nearly all sums in range.
+        with np.errstate(over="ignore"):
+            e = np.exp(flat)
+            total = e @ ones
+        if not (np.isfinite(total).all() and total.min() > 1e-30):
+            top = flat.max(1, keepdims=True)
+            e, right = np.exp(flat - top), right - top[slot, 0]
+            total = e @ ones
+        found += right - np.log(total[slot])
+        if grads is None:
+            return
+        used = np.zeros(len(flat), l.dtype)
+        used[slot] = 1 / total[slot]
+        e *= used[:, None]
+        e[slot, mine] -= 1
+        d = e.reshape(l.shape)
+        dhs += np.matmul(d, wk).reshape(-1, k)[slot]
+        to_w, to_b = np.matmul(d.transpose(0, 2, 1), h), np.matmul(np.ones((1, block), l.dtype), d)
+        _add_choices(grads[name] if name == "o" else grads[name].T, met, size, _run_sums(to_w, first))
+        _add_choices(grads[bias], met, size, _run_sums(to_b[:, 0], first))
+
     def window(self, h: np.ndarray, ids: np.ndarray, target: np.ndarray, live: np.ndarray,
                grads: dict | None = None) -> tuple[np.ndarray, dict, float]:
         """One truncated backpropagation window (rows x steps): new state, gradients, loss.
@@ -245,55 +332,63 @@ class GatedModel:
         ``grads`` are arrays of zeros to fill.
         """
         grads = grads or {k: np.zeros_like(v) for k, v in self.w.items()}
-        past, hs = [], []
-        for t in range(ids.shape[1]):
-            new, z, r, n = self.step(h, ids[:, t])
-            past.append((h, z, r, n))
-            h = new
-            hs.append(new)
-        states = np.stack(hs, 1)
-        out, d = self.log_probs(states[live], target[live], grads)
-        dout = np.zeros_like(states)
-        dout[live] = d
-        dh, k, into = np.zeros_like(h), self.hidden, []
-        for t in range(ids.shape[1] - 1, -1, -1):
-            before, z, r, n = past[t]
-            dh = dh + dout[:, t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            drh = dn @ self.w["n"].T
-            dr = drh * before * r * (1 - r)
-            both = np.concatenate((dz, dr), 1)
-            grads["n"] += (r * before).T @ dn
-            grads["u"] += before.T @ both
-            into.append(np.concatenate((both, dn), 1))
-            dh = dh * z + drh * r + both @ self.w["u"].T
-        seen = ids[:, ::-1].T.ravel()
-        order = np.argsort(seen, kind="stable")
+        k, (rows, steps), live = self.hidden, ids.shape, live.T
+        seen = ids.T.ravel()
+        inputs = self.w["x"].take(seen, 0).reshape(steps, rows, 3 * k)
+        # By step: the states before and after, gates and candidates.
+        hs, zs, rs, ns = (np.empty((steps + (i == 0), rows, k), h.dtype) for i in range(4))
+        hs[0] = h
+        for t in range(steps):
+            hs[t + 1], zs[t], rs[t], ns[t] = self._gates(hs[t], inputs[t])
+        before, after = hs[:-1], hs[1:]
+        at = np.flatnonzero(live)
+        out, d = self.log_probs(after.reshape(-1, k).take(at, 0), target.T.ravel()[at], grads)
+        dout = np.zeros_like(after)
+        dout.reshape(-1, k)[at] = d
+        to_n = (1 - zs) * (1 - ns * ns)
+        to_z = (before - ns) * zs * (1 - zs)
+        to_r = before * rs * (1 - rs)
+        into = np.empty((steps, rows, 3 * k), h.dtype)
+        dh, u, n = np.zeros_like(h), self.w["u"].T, self.w["n"].T
+        for t in range(steps - 1, -1, -1):
+            dh += dout[t]
+            dn = dh * to_n[t]
+            drh = dn @ n
+            both = into[t, :, :2 * k]
+            np.multiply(dh, to_z[t], out=both[:, :k])
+            np.multiply(drh, to_r[t], out=both[:, k:])
+            into[t, :, 2 * k:] = dn
+            dh *= zs[t]
+            drh *= rs[t]
+            dh += drh
+            dh += both @ u
+        into = into.reshape(-1, 3 * k)
+        grads["n"] += (rs * before).reshape(-1, k).T @ into[:, 2 * k:]
+        grads["u"] += before.reshape(-1, k).T @ into[:, :2 * k]
+        order = np.argsort(seen.astype(np.uint16) if len(self.w["x"]) < 1 << 16 else seen, kind="stable")
         edge = np.flatnonzero(np.diff(seen[order], prepend=-1))
-        grads["x"][seen[order][edge]] = np.add.reduceat(np.concatenate(into)[order], edge)
-        return h, grads, -float(out.sum())
+        grads["x"][seen[order][edge]] = _run_sums(into.take(order, 0), edge)
+        return hs[-1], grads, -float(out.sum())
 
 
-def _lanes(lengths: np.ndarray, rows: np.ndarray, tokens: np.ndarray, start: np.ndarray, t: int, width: int):
-    """Inputs, targets and validity of a window for the given documents; the input before the first token is the end."""
-    at = start[rows][:, None] + np.arange(t, t + width)
-    live = np.arange(t, t + width) < lengths[rows][:, None]
-    safe = np.where(live, at, start[rows][:, None])
-    return safe, live
+def _lanes(lengths: np.ndarray, rows: np.ndarray, start: np.ndarray, t: int | np.ndarray, width: int):
+    """Places and validity of a window, from token ``t`` on, for the given documents."""
+    place = t + np.arange(width)
+    live = place < lengths[rows][:, None]
+    return start[rows][:, None] + np.where(live, place, 0), live
 
 
 def first_weights(frequency: np.ndarray) -> dict[str, np.ndarray]:
     """Weights before training; the biases follow the frequencies of the model's entries."""
     model = GatedModel(len(frequency))
-    groups = np.arange(len(frequency)) // model.class_size
-    model.w["cb"] += np.log(np.bincount(groups, frequency)).astype(np.float32)
-    model.w["ob"] += np.log(frequency).astype(np.float32)
+    entry = np.arange(len(frequency))
+    for _, bias, _, per in model._levels():
+        model.w[bias] += np.log(np.bincount(entry // per, frequency)).astype(np.float32)
     return model.w
 
 
 class Trainer:
-    """Adam over windows of documents of similar length; the state is carried from window to window.
+    """Adam over windows of many documents side by side; the state is carried from window to window.
 
     Rows of the vocabulary move only in the windows that meet them.
     """
@@ -314,33 +409,66 @@ class Trainer:
         pieces = -(-lengths // SEGMENT)
         place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         lengths = np.minimum(SEGMENT, np.repeat(lengths, pieces) - place * SEGMENT)
-        start, order = np.repeat(start, pieces) + place * SEGMENT, np.argsort(lengths, kind="stable")
-        size = min(max(BATCH, len(order) // 8), LARGE_BATCH)
-        batches = [order[i:i + size] for i in range(0, len(order), size)]
-        for b in self.rng.permutation(len(batches)):
-            rows = batches[b]
-            h = np.zeros((len(rows), self.model.hidden), np.float32)
-            for t in range(0, int(lengths[rows].max()), WINDOW):
-                go = lengths[rows] > t
-                rows, h = rows[go], h[go]
-                at, live = _lanes(lengths, rows, ids, start, t, WINDOW)
-                h, grads, _ = self.model.window(h, before[at], ids[at], live, self.grads)
-                self._move(grads, before[at], ids[at][live])
+        start, order = np.repeat(start, pieces) + place * SEGMENT, np.argsort(-lengths, kind="stable")
+        # Lanes of about equally many windows, by dealing forth and back; the next stretch follows in its
+        # lane at once, so that windows stay full.
+        lanes = min(max(BATCH, len(order) // 8), LARGE_BATCH)
+        turn = np.arange(len(order)) % (2 * lanes)
+        lane = np.empty(len(order), np.int64)
+        lane[order] = np.minimum(turn, 2 * lanes - 1 - turn)
+        windows = -(-lengths // WINDOW)
+        order = np.lexsort((self.rng.random(len(order)), lane))
+        begin = np.cumsum(windows[order]) - windows[order]
+        begin -= np.repeat(begin[np.flatnonzero(np.diff(lane[order], prepend=-1))], np.bincount(lane)[np.unique(lane)])
+        piece = np.repeat(order, windows[order])
+        nth = np.arange(len(piece)) - np.repeat(np.cumsum(windows[order]) - windows[order], windows[order])
+        time = np.repeat(begin, windows[order]) + nth
+        by_time = np.argsort(time, kind="stable")
+        state = np.zeros((lanes, self.model.hidden), np.float32)
+        for now in np.split(by_time, np.cumsum(np.bincount(time))[:-1]):
+            rows, t = piece[now], nth[now] * WINDOW
+            h = state[lane[rows]]
+            h[t == 0] = 0
+            at, live = _lanes(lengths, rows, start, t[:, None], WINDOW)
+            state[lane[rows]], grads, _ = self.model.window(h, before[at], ids[at], live, self.grads)
+            self._move(grads, before[at], ids[at][live])
 
     def _move(self, grads: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> None:
         self.step += 1
         step, size = self.step, self.model.class_size
-        rate = self.rate * min(1, step / 20) * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
-        met = (np.unique(targets // size)[:, None] * size + np.arange(size)).ravel()
-        met = met[met < len(self.model.w["ob"])]
-        touched = {"x": np.unique(inputs), "o": met, "ob": met}
+        rate = float(self.rate * min(1, step / 20) * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step))
+        met, whole = np.unique(targets // size), len(self.model.w["ob"]) // size
         for k, g in grads.items():
-            at = touched.get(k, slice(None))
-            all_rows, g = g, g[at] / max(1, len(targets))
-            all_rows[at] = 0  # for the next window
-            m = self.m[k][at] = self.m[k][at] * 0.9 + 0.1 * g
-            v = self.v[k][at] = self.v[k][at] * 0.99 + 0.01 * (g * g)
-            self.model.w[k][at] -= (rate * m / (np.sqrt(v) + 1e-6)).astype(np.float32)
+            if k not in _ROWS:
+                self._adam(k, g, slice(None), 1, rate, len(targets))
+                continue
+            rows, per = (np.unique(inputs), 1) if k == "x" else (met[met < whole], size)
+            step = max(1, _MOVED // (per * g[:1].size))
+            for i in range(0, len(rows), step):
+                self._adam(k, g, rows[i:i + step], per, rate, len(targets))
+            if k != "x" and met[-1] == whole:  # a last class of fewer words
+                self._adam(k, g, slice(whole * size, None), 1, rate, len(targets))
+
+    def _adam(self, k: str, grads: np.ndarray, at: np.ndarray | slice, per: int, rate: float, n: int) -> None:
+        """Moves the given stretches of ``per`` rows."""
+        g, m, v, w = ((x[:len(x) // per * per].reshape(len(x) // per, -1) if per > 1 else x)
+                      for x in (grads, self.m[k], self.v[k], self.model.w[k]))
+        some = (lambda x: x.take(at, 0)) if isinstance(at, np.ndarray) else (lambda x: x[at].copy())
+        d, mean, square = some(g), some(m), some(v)
+        g[at] = 0  # for the next window
+        d *= 1 / max(1, n)
+        mean *= 0.9
+        square *= 0.99
+        mean += 0.1 * d
+        d *= d
+        d *= 0.01
+        square += d
+        m[at], v[at] = mean, square
+        np.sqrt(square, out=square)
+        square += 1e-6
+        mean *= rate
+        mean /= square
+        w[at] -= mean
 
 
 def document_scores(model: GatedModel, ids: np.ndarray, lengths: np.ndarray, end: int, width: int = 32,
@@ -357,7 +485,7 @@ def document_scores(model: GatedModel, ids: np.ndarray, lengths: np.ndarray, end
             rows = rows[lengths[rows] > t]
             h = h[:len(rows)]
             steps = min(width, int(lengths[rows[0]]) - t)
-            at, live = _lanes(lengths, rows, ids, start, t, steps)
+            at, live = _lanes(lengths, rows, start, t, steps)
             states = np.empty((len(rows), steps, model.hidden), np.float32)
             now = before[at]
             for k in range(steps):
@@ -369,13 +497,13 @@ def document_scores(model: GatedModel, ids: np.ndarray, lengths: np.ndarray, end
     return out
 
 
-_ROWS, _REST = ("x", "o", "ob"), ("u", "n", "c", "cb")
+_ROWS, _REST = ("x", "o", "ob"), ("u", "n", "c", "cb", "g", "gb")
 _SHARD_SCHEMA = "shard int, n long, seen binary, w binary"
 
 
 def _pack(w: dict[str, np.ndarray], seen: np.ndarray, n: int) -> Iterator[tuple[int, int, bytes, bytes]]:
     """Weights in shards: -1 has what is not by token, the others ``_SHARD`` rows of the vocabulary each."""
-    yield -1, n, b"", b"".join(w[k].tobytes() for k in _REST)
+    yield -1, n, b"", b"".join(w[k].tobytes() for k in _REST if k in w)
     for i in range(0, len(seen), _SHARD):
         rows = np.concatenate([w[k][i:i + _SHARD].reshape(len(seen[i:i + _SHARD]), -1) for k in _ROWS], 1)
         yield i // _SHARD, n, seen[i:i + _SHARD].tobytes(), rows.tobytes()
@@ -384,7 +512,7 @@ def _pack(w: dict[str, np.ndarray], seen: np.ndarray, n: int) -> Iterator[tuple[
 def _unpack(shards: list[tuple[int, bytes]], like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     shards, w = sorted(shards), {}
     rest, at = np.frombuffer(shards[0][1], np.float32), 0
-    for k in _REST:
+    for k in (k for k in _REST if k in like):
         w[k] = rest[at:at + like[k].size].reshape(like[k].shape).copy()
         at += like[k].size
     rows = np.frombuffer(b"".join(x for _, x in shards[1:]), np.float32).reshape(len(like["ob"]), -1)
@@ -477,8 +605,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
         parts = sorted(zip(reply.column("_range").to_pylist(), reply.column("_counts").to_pylist()))
         counts = np.frombuffer(b"".join(c for _, c in parts), np.int64)
         inverse = np.unique(tokens, return_inverse=True)[1]
-        own = counts[inverse]
-        value = np.log10(own + 0.5)
+        own, value = counts[inverse], np.log10(counts + 0.5)[inverse]
         start = np.cumsum(lengths) - lengths
         base = np.add.reduceat(value, start) - lengths * np.log10(known.tokens + 0.5 * (known.distinct + 1))
         ids = known.encode(tokens)

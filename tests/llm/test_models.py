@@ -214,3 +214,41 @@ def test_average_of_weights_keeps_what_one_partition_learned():
     assert {k: x.shape for k, x in got.items()} == {k: x.shape for k, x in w.items()}
     assert np.allclose(got["u"], w["u"] + 0.25) and np.allclose(got["x"][7], other["x"][7], atol=1e-3)
     assert np.allclose(got["ob"][2999], w["ob"][2999] + 0.25)
+
+
+def test_many_classes_are_factored_again():
+    model = lm.GatedModel(122, hidden=5, class_size=4, seed=1)
+    assert model.groups > 1 and model.groups + model.fan + model.class_size < model.classes  # numbers for a target
+    model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    rng = np.random.default_rng(2)
+    h = rng.normal(size=(1, 5)).repeat(122, 0)
+    assert abs(np.exp(model.log_probs(h, np.arange(122))[0]).sum() - 1) < 1e-9
+    ids, target, live, h = rng.integers(0, 122, (30, 6)), rng.integers(0, 122, (30, 6)), np.ones((30, 6), bool), rng.normal(size=(30, 5))
+    target[:20] = 121  # more of one class than a block holds, the last class being short
+    grads = model.window(h, ids, target, live)[1]
+    for name, g in grads.items():
+        for at in [tuple(rng.integers(0, s) for s in g.shape) for _ in range(6)] + [tuple(s - 1 for s in g.shape)]:
+            old, losses = model.w[name][at], []
+            for d in (1e-5, -1e-5):
+                model.w[name][at] = old + d
+                losses.append(model.window(h, ids, target, live)[2])
+            model.w[name][at] = old
+            assert abs((losses[0] - losses[1]) / 2e-5 - g[at]) < 1e-4
+
+
+def test_large_weights_do_not_overflow():
+    model, rng = lm.GatedModel(3000, seed=1), np.random.default_rng(2)
+    model.w = {k: v * 300 for k, v in model.w.items()}
+    h = rng.uniform(-1, 1, (1, model.hidden)).astype(np.float32).repeat(3000, 0)
+    found = model.log_probs(h, np.arange(3000))[0]
+    assert np.isfinite(found).all() and abs(np.exp(found).sum() - 1) < 1e-3
+
+
+def test_windows_stay_full():
+    """Lanes go on with the next stretch, so few places of the windows are empty."""
+    trainer, places, rng = lm.Trainer(lm.first_weights(np.ones(50)), 0.01), [], np.random.default_rng(3)
+    lengths, keep = rng.integers(1, 600, 2000), trainer.model.window
+    trainer.model.window = lambda h, b, t, live, g: places.append(live.size) or keep(h, b, t, live, g)
+    trainer.learn(rng.integers(0, 50, lengths.sum()), lengths, 7)
+    full = min(max(lm.BATCH, 2200 // 8), lm.LARGE_BATCH) * lm.WINDOW
+    assert sum(places) < 1.06 * lengths.sum() and len(places) < 1.15 * lengths.sum() / full
