@@ -7,7 +7,8 @@ of exactly its tokens.  So a frequent token is sent once per block, and nobody
 holds the vocabulary.
 
 The model is a gated recurrent unit in numpy over the most frequent tokens, with
-a softmax factored into classes, and those into groups where there are many; their number grows with the distinct training
+a softmax factored into classes, and those into groups where there are many; the ``HEAD`` most frequent entries
+are chosen beside them at once.  The number of tokens grows with the distinct training
 tokens (``vocabulary_size``).  It is trained by truncated backpropagation on all
 training documents: in each of ``ROUNDS`` rounds every partition starts from the
 same weights and walks through its documents, then the weights are averaged by
@@ -39,6 +40,7 @@ from .minhash import word_hashes
 BLOCK_BYTES = 8_000_000
 VOCABULARY = 2000  # modelled tokens at least, where there are so many
 HIDDEN, CLASS_SIZE, WINDOW = 24, 48, 16
+HEAD = 12  # most frequent entries, chosen directly beside the groups or classes of the others
 BATCH, LARGE_BATCH = 96, 512
 # Each document is learned from in one of the rounds, whatever the size of the table.
 ROUNDS = 3
@@ -49,6 +51,7 @@ _PART_BYTES, _FULL_PART_BYTES, _CHUNK_BYTES = 32_000_000, 512_000_000, 8_000_000
 _SHARD = 2048  # vocabulary rows that are averaged together
 _MOVED = 32768  # weights that are moved together, so that they stay in the cache
 _TARGETS, _BLOCK = 8192, 16  # targets that are taken together, and those of one choice
+_SCORED, _GATHERED = 65536, 1024  # tokens of a scoring window, if its documents are few, and those that are looked up together
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end token; words have other hashes but by chance
 _RANGE_BYTES = 16_000_000  # of text for each hash range
 
@@ -58,7 +61,7 @@ def vocabulary_size(distinct: int) -> int:
     return min(distinct, max(VOCABULARY, int(distinct ** (2 / 3))))
 
 
-def token_hashes(texts: list[str | None], chars: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def token_hashes(texts: list[str | None], chars: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, each with its end token, and the tokens of each text."""
     words, counts, i = [], [], 0
     while i < len(texts):
@@ -164,8 +167,18 @@ class Vocabulary:
     def encode(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
             return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, tokens), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == tokens, self.ids[at], 0)
+        # The first place of each prefix; there are about four prefixes for each hash, so few tokens move on from it.
+        bits = max(1, (4 * len(self.hashes)).bit_length())
+        shift = np.uint64(64 - bits)
+        start = np.cumsum(np.bincount((self.hashes >> shift).astype(np.int64) + 1, minlength=(1 << bits) + 1))
+        at = np.minimum(start[(tokens >> shift).astype(np.int64)], len(self.hashes) - 1)
+        own = self.hashes[at]
+        more = np.flatnonzero(own < tokens)
+        while len(more):
+            at[more] = np.minimum(at[more] + 1, len(self.hashes) - 1)
+            own[more] = self.hashes[at[more]]
+            more = more[(own[more] < tokens[more]) & (at[more] < len(self.hashes) - 1)]
+        return np.where(own == tokens, self.ids[at], 0)
 
     @property
     def other_mass(self) -> float:
@@ -173,13 +186,15 @@ class Vocabulary:
 
 
 def _choices(rows: np.ndarray, met: np.ndarray, size: int, fill: float) -> np.ndarray:
-    """Stretches of ``size`` rows with the given numbers; the last of all may be short and is filled up."""
+    """Stretches of ``size`` rows with the given numbers, rising; the last of all may be short and is filled up."""
     whole = len(rows) // size
-    if not len(met) or met[-1] < whole:
-        return rows[:whole * size].reshape(whole, size, *rows.shape[1:]).take(met, 0)
+    full = int(np.searchsorted(met, whole))
+    stretches = rows[:whole * size].reshape(whole, size, *rows.shape[1:])
+    if full == len(met):
+        return stretches.take(met, 0)
     out = np.full((len(met), size, *rows.shape[1:]), fill, rows.dtype)
-    out[:-1] = _choices(rows, met[:-1], size, fill)
-    out[-1, :len(rows) - whole * size] = rows[whole * size:]
+    out[:full] = stretches.take(met[:full], 0)
+    out[full:, :len(rows) - whole * size] = rows[whole * size:]
     return out
 
 
@@ -198,15 +213,31 @@ def _add_choices(rows: np.ndarray, met: np.ndarray, size: int, more: np.ndarray)
 
 def _run_sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of runs of rows, each from its first one to the next run."""
+    if len(first) == len(x):
+        return x
     n, out = np.diff(first, append=len(x)), x.take(first, 0)
-    for j in range(1, min(16, int(n.max(initial=0)))):
-        more = np.flatnonzero(n > j)
-        out[more] += x.take(first[more] + j, 0)
-    for i in np.flatnonzero(n > 16).tolist():
-        out[i] += x[first[i] + 16:first[i] + n[i]].sum(0)
+    # Longest runs first, so that those that go on stand together.
+    some = np.flatnonzero(n > 1)
+    some = some[np.argsort(-n[some], kind="stable")]
+    first, n, sums = first[some], n[some], out.take(some, 0)
+    for j, more in enumerate(len(n) - np.searchsorted(n[::-1], np.arange(2, min(17, n[0] + 1))) if len(n) else (), 1):
+        sums[:more] += x.take(first[:more] + j, 0)
+    for i in range(int(np.count_nonzero(n > 16))):
+        sums[i] += x[first[i] + 16:first[i] + n[i]].sum(0)
+    out[some] = sums
     return out
 
 
+def _order(numbers: np.ndarray, most: int) -> np.ndarray:
+    """The order of numbers below ``most``; short ones have a radix sort."""
+    return np.argsort(numbers.astype(np.uint16) if most <= 1 << 16 else numbers, kind="stable")
+
+
+def _met(numbers: np.ndarray, most: int) -> np.ndarray:
+    """The distinct ones of some numbers from 0 and below ``most``, rising."""
+    return np.flatnonzero(np.bincount(numbers.ravel(), minlength=most))
+
+
 class GatedModel:
     """Gated recurrent unit with a class-factored softmax, in single precision.
 
@@ -217,7 +248,8 @@ class GatedModel:
     def __init__(self, size: int, hidden: int = HIDDEN, class_size: int | None = None, seed: int = 7):
         class_size = class_size or max(CLASS_SIZE, int(np.ceil(np.cbrt(size))))
         r = np.random.default_rng(seed)
-        self.hidden, self.class_size, self.classes = hidden, class_size, -(-size // class_size)
+        self.head = HEAD if size > max(HEAD, class_size) else 0
+        self.hidden, self.class_size, self.classes = hidden, class_size, -(-(size - self.head) // class_size)
         # Classes in a group; one group of all where there are few.
         self.fan = self.classes if self.classes <= class_size else int(np.ceil(np.sqrt(self.classes)))
         self.groups = -(-self.classes // self.fan)
@@ -228,102 +260,137 @@ class GatedModel:
         if self.groups > 1:
             self.w |= {"g": small(hidden, self.groups), "gb": np.zeros(self.groups, np.float32)}
 
-    def step(self, h: np.ndarray, ids: np.ndarray):
-        return self._gates(h, self.w["x"].take(ids, 0))
-
-    def _gates(self, h: np.ndarray, g: np.ndarray):
-        k = self.hidden
-        gates = h @ self.w["u"]
-        gates += g[:, :2 * k]
-        gates *= 0.5
-        np.tanh(gates, out=gates)
-        gates *= 0.5
-        gates += 0.5
-        z, r = gates[:, :k], gates[:, k:]
-        n = (r * h) @ self.w["n"]
-        n += g[:, 2 * k:]
+    def _inputs(self, ids: np.ndarray) -> np.ndarray:
+        """What tokens add to both gates and the candidate, three arrays of rows side by side."""
+        x = self.w["x"].reshape(-1, self.hidden)
+        return x.take(3 * ids + np.arange(3).reshape(3, *[1] * ids.ndim), 0)
+
+    def _gate_weights(self) -> np.ndarray:
+        """The weights of both gates, one after the other."""
+        return np.ascontiguousarray(self.w["u"].reshape(self.hidden, 2, self.hidden).transpose(1, 0, 2))
+
+    def _gates(self, h: np.ndarray, x: np.ndarray, u: np.ndarray, gates: np.ndarray, rh: np.ndarray, n: np.ndarray,
+               new: np.ndarray) -> None:
+        """Fills both gates (the first one as what is left to 1), the state behind the reset gate, candidate and new state."""
+        np.matmul(h, u, out=gates)
+        gates += x[:2]
+        # Where this is infinite, the logistic function is 0 or 1, as it should be.
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.subtract(1, gates[1], out=gates[1])
+        np.multiply(gates[1], h, out=rh)
+        np.matmul(rh, self.w["n"], out=n)
+        n += x[2]
         np.tanh(n, out=n)
-        new = h - n
-        new *= z
-        new += n
-        return new, z, r, n
+        np.subtract(n, h, out=new)
+        new *= gates[0]
+        new += h
 
     def _levels(self):
-        """Weights by row, biases, rows of a choice and rows per target of each level, words first."""
+        """Weights by row, biases, rows of a choice and rows per target of each level below the first, words first."""
         yield "o", "ob", self.class_size, 1
-        yield "c", "cb", self.fan, self.class_size
         if self.groups > 1:
-            yield "g", "gb", self.groups, self.class_size * self.fan
+            yield "c", "cb", self.fan, self.class_size
+
+    @property
+    def _first(self) -> tuple[str, str, int]:
+        """Weights and biases of the first level, and the entries behind the head that one of its rows has."""
+        return ("g", "gb", self.class_size * self.fan) if self.groups > 1 else ("c", "cb", self.class_size)
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of each target after the states ``h``; fills gradients of its negative sum."""
-        own = target // self.class_size
-        order = np.argsort(own.astype(np.uint16) if self.classes < 1 << 16 else own, kind="stable")  # radix sort
-        hs, ts = h.take(order, 0), target[order]
+        own = 1 + (target - self.head) // self.class_size
+        own[target < self.head] = 0
+        order = _order(own, self.classes + 1)
+        hs, ts = h.take(order, 0), target[order] - self.head
         found, dhs = np.zeros(len(ts), h.dtype), None if grads is None else np.zeros_like(hs)
-        # The class of the most frequent words by itself: it needs no blocks.
+        top, top_bias, per = self._first
+        head = slice(None, self.head)
+        first = np.concatenate((self.w["o"][head], self.w[top].T)), np.concatenate((self.w["ob"][head], self.w[top_bias]))
+        to_first = None if grads is None else tuple(np.zeros_like(x) for x in first)
+        # The head by itself: it needs no other choice.
         n = int(np.count_nonzero(own == 0))
-        cuts = [0, n, *range(n + _TARGETS, len(ts), _TARGETS), len(ts)]
-        for part in (slice(a, b) for a, b in zip(cuts, cuts[1:]) if a < b):
-            for rows, bias, size, per in self._levels():
-                self._choice(rows, bias, size, hs[part], ts[part] // per, found[part],
-                             None if dhs is None else dhs[part], grads)
+        cuts = [*range(0, n, _TARGETS), *range(n, len(ts), _TARGETS), len(ts)]
+        for a, b in zip(cuts, cuts[1:]):
+            part, t = slice(a, b), ts[a:b]
+            dh = None if grads is None else dhs[part]
+            at = t + self.head if a < n else t // per + self.head
+            self._choice(*first, len(first[0]), hs[part], at, found[part], dh, to_first)
+            for rows, bias, size, each in self._levels() if a >= n else ():
+                behind = slice(self.head if rows == "o" else 0, None)
+                w, to_w = (None if x is None else x[rows][behind] if rows == "o" else x[rows].T for x in (self.w, grads))
+                self._choice(w, self.w[bias][behind], size, hs[part], t // each, found[part], dh,
+                             None if grads is None else (to_w, grads[bias][behind]))
         out = np.empty_like(found)
         out[order] = found
         if grads is None:
             return out, None
+        for k, bias, x, y in (("o", "ob", to_first[0][head], to_first[1][head]),
+                              (top, top_bias, to_first[0][self.head:], to_first[1][self.head:])):
+            into = grads[k][head] if k == "o" else grads[k].T
+            into += x
+            grads[bias][head if k == "o" else slice(None)] += y
         dh = np.empty_like(dhs)
         dh[order] = dhs
         return out, dh
 
-    def _choice(self, name: str, bias: str, size: int, hs: np.ndarray, at: np.ndarray, found: np.ndarray,
-                dhs: np.ndarray | None, grads: dict | None) -> None:
-        """Adds to ``found`` the log-probability of each row in ``at``, rising, among its ``size`` neighbours.
+    def _choice(self, w: np.ndarray, bias: np.ndarray, size: int, hs: np.ndarray, at: np.ndarray, found: np.ndarray,
+                dhs: np.ndarray | None, grads: tuple[np.ndarray, np.ndarray] | None) -> None:
+        """Adds to ``found`` the log-probability of each row in ``at``, rising by choices, among its ``size`` neighbours.
 
         Targets of one choice lie in blocks of ``_BLOCK`` side by side, the last one filled up with zero
         states, so that all choices are a few products of stacked matrices.
         """
-        w, k = self.w[name] if name == "o" else self.w[name].T, self.hidden
+        k = self.hidden
         own = at // size
-        edge = np.flatnonzero(np.diff(own, prepend=-1))
-        n = np.diff(edge, append=len(at))
-        block = len(at) if len(edge) < 2 else _BLOCK if len(at) < 8 * _BLOCK * len(edge) else 8 * _BLOCK
-        blocks = -(-n // block)
-        first = np.cumsum(blocks) - blocks
-        # The place of each target among the blocks, and the choice of each block.
-        slot = np.arange(len(at)) + np.repeat(first * block - edge, n)
-        met = own[edge]
-        of = np.repeat(np.arange(len(met)), blocks)
-        h = np.zeros((len(of) * block, k), hs.dtype)
-        h[slot] = hs
-        h = h.reshape(-1, block, k)
-        wk, bk = _choices(w, met, size, 0.0), _choices(self.w[bias], met, size, -np.inf)
-        bk = bk - bk.max(1, keepdims=True)
-        wk = wk[of]
-        l = np.matmul(h, wk.transpose(0, 2, 1))
-        l += bk[of][:, None]
-        flat, mine = l.reshape(-1, size), at - own * size
-        ones, right = np.ones(size, l.dtype), flat[slot, mine]
+        edge = np.concatenate(([0], np.flatnonzero(own[1:] != own[:-1]) + 1))
+        met, slot = own[edge], slice(None)
+        if len(edge) == 1:
+            of, h, block, first = met, hs[None], len(at), edge
+            place = at - own * size + np.arange(0, len(at) * size, size)
+        else:
+            n = np.diff(edge, append=len(at))
+            block = _BLOCK if len(at) < 8 * _BLOCK * len(edge) else 8 * _BLOCK
+            blocks = -(-n // block)
+            first = np.cumsum(blocks) - blocks
+            # The place of each target among the blocks, and the choice of each block.
+            slot = np.arange(len(at)) + np.repeat(first * block - edge, n)
+            of = np.repeat(met, blocks)
+            h = np.zeros((len(of) * block, k), hs.dtype)
+            h[slot] = hs
+            h = h.reshape(-1, block, k)
+            place = slot * size + (at - own * size)
+        wk, bk = _choices(w, of, size, 0.0), _choices(bias, of, size, -np.inf)
+        bk -= bk.max(1, keepdims=True)
+        e = np.matmul(h, wk.transpose(0, 2, 1))
+        e += bk[:, None]
+        flat, ones = e.reshape(-1, size), np.ones(size, e.dtype)
+        right = flat.ravel().take(place)
         # States lie within -1 and 1, so the biases alone keep nearly all sums in range.
         with np.errstate(over="ignore"):
-            e = np.exp(flat)
-            total = e @ ones
+            np.exp(flat, out=flat)
+            total = flat @ ones
         if not (np.isfinite(total).all() and total.min() > 1e-30):
-            top = flat.max(1, keepdims=True)
-            e, right = np.exp(flat - top), right - top[slot, 0]
-            total = e @ ones
-        found += right - np.log(total[slot])
+            np.matmul(h, wk.transpose(0, 2, 1), out=e)
+            e += bk[:, None]
+            top = flat.max(1)
+            flat -= top[:, None]
+            np.exp(flat, out=flat)
+            right, total = right - top[slot], flat @ ones
+        used = total[slot]
+        found += right - np.log(used)
         if grads is None:
             return
-        used = np.zeros(len(flat), l.dtype)
-        used[slot] = 1 / total[slot]
-        e *= used[:, None]
-        e[slot, mine] -= 1
-        d = e.reshape(l.shape)
-        dhs += np.matmul(d, wk).reshape(-1, k)[slot]
-        to_w, to_b = np.matmul(d.transpose(0, 2, 1), h), np.matmul(np.ones((1, block), l.dtype), d)
-        _add_choices(grads[name] if name == "o" else grads[name].T, met, size, _run_sums(to_w, first))
-        _add_choices(grads[bias], met, size, _run_sums(to_b[:, 0], first))
+        share = np.zeros(len(flat), e.dtype)
+        share[slot] = 1 / used
+        flat *= share[:, None]
+        flat.reshape(-1)[place] -= 1
+        back = np.matmul(e, wk).reshape(-1, k)
+        dhs += back if len(edge) == 1 else back.take(slot, 0)
+        to_w, to_b = np.matmul(e.transpose(0, 2, 1), h), np.matmul(np.ones((1, block), e.dtype), e)
+        _add_choices(grads[0], met, size, _run_sums(to_w, first))
+        _add_choices(grads[1], met, size, _run_sums(to_b[:, 0], first))
 
     def window(self, h: np.ndarray, ids: np.ndarray, target: np.ndarray, live: np.ndarray,
                grads: dict | None = None) -> tuple[np.ndarray, dict, float]:
@@ -333,41 +400,47 @@ class GatedModel:
         """
         grads = grads or {k: np.zeros_like(v) for k, v in self.w.items()}
         k, (rows, steps), live = self.hidden, ids.shape, live.T
-        seen = ids.T.ravel()
-        inputs = self.w["x"].take(seen, 0).reshape(steps, rows, 3 * k)
-        # By step: the states before and after, gates and candidates.
-        hs, zs, rs, ns = (np.empty((steps + (i == 0), rows, k), h.dtype) for i in range(4))
+        seen, u = ids.T.ravel(), self._gate_weights()
+        inputs = self._inputs(seen).reshape(3, steps, rows, k)
+        # By step: the states before and after, gates, states behind the reset gate and candidates.
+        hs, gates, rh, ns = (np.empty(shape, h.dtype) for shape in (
+            (steps + 1, rows, k), (2, steps, rows, k), (steps, rows, k), (steps, rows, k)))
         hs[0] = h
-        for t in range(steps):
-            hs[t + 1], zs[t], rs[t], ns[t] = self._gates(hs[t], inputs[t])
-        before, after = hs[:-1], hs[1:]
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                self._gates(hs[t], inputs[:, t], u, gates[:, t], rh[t], ns[t], hs[t + 1])
+        before, after, rs, zs = hs[:-1], hs[1:], gates[1], 1 - gates[0]
         at = np.flatnonzero(live)
         out, d = self.log_probs(after.reshape(-1, k).take(at, 0), target.T.ravel()[at], grads)
         dout = np.zeros_like(after)
         dout.reshape(-1, k)[at] = d
-        to_n = (1 - zs) * (1 - ns * ns)
-        to_z = (before - ns) * zs * (1 - zs)
-        to_r = before * rs * (1 - rs)
-        into = np.empty((steps, rows, 3 * k), h.dtype)
-        dh, u, n = np.zeros_like(h), self.w["u"].T, self.w["n"].T
+        to_n = gates[0] * (1 - ns * ns)
+        to_z = (before - ns) * zs * gates[0]
+        to_r = rh * (1 - rs)
+        into = inputs  # of no use any more
+        dh, u, n = np.zeros_like(h), np.ascontiguousarray(u.transpose(0, 2, 1)), np.ascontiguousarray(self.w["n"].T)
+        drh, back = np.empty_like(h), np.empty((2, *h.shape), h.dtype)
         for t in range(steps - 1, -1, -1):
             dh += dout[t]
-            dn = dh * to_n[t]
-            drh = dn @ n
-            both = into[t, :, :2 * k]
-            np.multiply(dh, to_z[t], out=both[:, :k])
-            np.multiply(drh, to_r[t], out=both[:, k:])
-            into[t, :, 2 * k:] = dn
+            np.multiply(dh, to_n[t], out=into[2, t])
+            np.matmul(into[2, t], n, out=drh)
+            np.multiply(dh, to_z[t], out=into[0, t])
+            np.multiply(drh, to_r[t], out=into[1, t])
+            np.matmul(into[:2, t], u, out=back)
             dh *= zs[t]
             drh *= rs[t]
             dh += drh
-            dh += both @ u
-        into = into.reshape(-1, 3 * k)
-        grads["n"] += (rs * before).reshape(-1, k).T @ into[:, 2 * k:]
-        grads["u"] += before.reshape(-1, k).T @ into[:, :2 * k]
-        order = np.argsort(seen.astype(np.uint16) if len(self.w["x"]) < 1 << 16 else seen, kind="stable")
-        edge = np.flatnonzero(np.diff(seen[order], prepend=-1))
-        grads["x"][seen[order][edge]] = _run_sums(into.take(order, 0), edge)
+            dh += back[0]
+            dh += back[1]
+        into, before = into.reshape(3, -1, k), before.reshape(-1, k)
+        grads["n"] += rh.reshape(-1, k).T @ into[2]
+        for i in range(2):
+            grads["u"][:, i * k:(i + 1) * k] += before.T @ into[i]
+        order = _order(seen, len(self.w["x"]))
+        seen = seen[order]
+        edge = np.flatnonzero(np.diff(seen, prepend=-1))
+        by_token = into.reshape(-1, k).take(order[:, None] + np.arange(0, 3 * len(order), len(order)), 0)
+        grads["x"][seen[edge]] = _run_sums(by_token.reshape(-1, 3 * k), edge)
         return hs[-1], grads, -float(out.sum())
 
 
@@ -381,9 +454,10 @@ def _lanes(lengths: np.ndarray, rows: np.ndarray, start: np.ndarray, t: int | np
 def first_weights(frequency: np.ndarray) -> dict[str, np.ndarray]:
     """Weights before training; the biases follow the frequencies of the model's entries."""
     model = GatedModel(len(frequency))
-    entry = np.arange(len(frequency))
-    for _, bias, _, per in model._levels():
-        model.w[bias] += np.log(np.bincount(entry // per, frequency)).astype(np.float32)
+    behind = np.arange(len(frequency) - model.head)
+    model.w["ob"] += np.log(frequency).astype(np.float32)
+    for bias, per in {"cb": model.class_size, model._first[1]: model._first[2]}.items():
+        model.w[bias] += np.log(np.bincount(behind // per, frequency[model.head:])).astype(np.float32)
     return model.w
 
 
@@ -435,33 +509,35 @@ class Trainer:
 
     def _move(self, grads: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> None:
         self.step += 1
-        step, size = self.step, self.model.class_size
+        step, size, head = self.step, self.model.class_size, self.model.head
         rate = float(self.rate * min(1, step / 20) * np.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step))
-        met, whole = np.unique(targets // size), len(self.model.w["ob"]) // size
+        behind = targets[targets >= head] - head
+        met, whole = _met(behind // size, self.model.classes), (len(self.model.w["ob"]) - head) // size
         for k, g in grads.items():
             if k not in _ROWS:
-                self._adam(k, g, slice(None), 1, rate, len(targets))
+                self._adam(k, g, 0, slice(None), 1, rate, len(targets))
                 continue
-            rows, per = (np.unique(inputs), 1) if k == "x" else (met[met < whole], size)
+            rows, per, begin = (_met(inputs, len(g)), 1, 0) if k == "x" else (met[met < whole], size, head)
             step = max(1, _MOVED // (per * g[:1].size))
             for i in range(0, len(rows), step):
-                self._adam(k, g, rows[i:i + step], per, rate, len(targets))
-            if k != "x" and met[-1] == whole:  # a last class of fewer words
-                self._adam(k, g, slice(whole * size, None), 1, rate, len(targets))
-
-    def _adam(self, k: str, grads: np.ndarray, at: np.ndarray | slice, per: int, rate: float, n: int) -> None:
-        """Moves the given stretches of ``per`` rows."""
+                self._adam(k, g, begin, rows[i:i + step], per, rate, len(targets))
+            if k != "x" and head and len(behind) < len(targets):
+                self._adam(k, g, 0, slice(None, head), 1, rate, len(targets))
+            if k != "x" and len(met) and met[-1] == whole:  # a last class of fewer words
+                self._adam(k, g, begin, slice(whole * size, None), 1, rate, len(targets))
+
+    def _adam(self, k: str, grads: np.ndarray, begin: int, at: np.ndarray | slice, per: int, rate: float, n: int) -> None:
+        """Moves the given stretches of ``per`` rows, counted from row ``begin``."""
         g, m, v, w = ((x[:len(x) // per * per].reshape(len(x) // per, -1) if per > 1 else x)
-                      for x in (grads, self.m[k], self.v[k], self.model.w[k]))
+                      for x in (y[begin:] for y in (grads, self.m[k], self.v[k], self.model.w[k])))
         some = (lambda x: x.take(at, 0)) if isinstance(at, np.ndarray) else (lambda x: x[at].copy())
         d, mean, square = some(g), some(m), some(v)
         g[at] = 0  # for the next window
-        d *= 1 / max(1, n)
+        d *= 0.1 / max(1, n)
         mean *= 0.9
+        mean += d
+        d *= d  # a hundredth of the square
         square *= 0.99
-        mean += 0.1 * d
-        d *= d
-        d *= 0.01
         square += d
         m[at], v[at] = mean, square
         np.sqrt(square, out=square)
@@ -472,28 +548,38 @@ class Trainer:
 
 
 def document_scores(model: GatedModel, ids: np.ndarray, lengths: np.ndarray, end: int, width: int = 32,
-                    lanes: int = 1024) -> np.ndarray:
+                    lanes: int = 512) -> np.ndarray:
     """Natural log-probability of each document's model ids, end included."""
     start, order = np.cumsum(lengths) - lengths, np.argsort(-lengths, kind="stable")
     before = np.concatenate(([end], ids[:-1])) if len(ids) else ids
     before[start] = end
-    out = np.zeros(len(lengths))
+    out, k, u = np.zeros(len(lengths)), model.hidden, model._gate_weights()
     for i in range(0, len(order), lanes):
         rows = order[i:i + lanes]
-        h = np.zeros((len(rows), model.hidden), np.float32)
-        for t in range(0, int(lengths[rows[0]]), width):
+        h = np.zeros((len(rows), k), np.float32)
+        t, longest = 0, int(lengths[rows[0]])
+        while t < longest:
             rows = rows[lengths[rows] > t]
-            h = h[:len(rows)]
-            steps = min(width, int(lengths[rows[0]]) - t)
-            at, live = _lanes(lengths, rows, start, t, steps)
-            states = np.empty((len(rows), steps, model.hidden), np.float32)
-            now = before[at]
-            for k in range(steps):
-                h = model.step(h, now[:, k])[0]
-                states[:, k] = h
+            # Few documents go on for longer at once.
+            steps = min(max(width, _SCORED // len(rows)), longest - t)
+            at, live = (x.T for x in _lanes(lengths, rows, start, t, steps))
+            t += steps
+            states = np.empty((steps + 1, len(rows), k), np.float32)
+            states[0] = h[:len(rows)]
+            now, gates, rh, n = before[at], *(np.empty((m, len(rows), k), np.float32) for m in (2, 1, 1))
+            ahead = max(1, _GATHERED // len(rows))
+            with np.errstate(over="ignore"):
+                # Longer documents come first, so those that go on are the first m.
+                for j, m in enumerate(live.sum(1).tolist()):
+                    if j % ahead == 0:
+                        inputs = model._inputs(now[j:j + ahead, :m])
+                    model._gates(states[j, :m], inputs[:, j % ahead, :m], u, gates[:, :m], rh[0, :m], n[0, :m],
+                                 states[j + 1, :m])
+            h, here = states[-1], np.flatnonzero(live)
             found = np.zeros(live.shape)
-            found[live], _ = model.log_probs(states[live], ids[at][live])
-            out[rows] += found.sum(1)
+            found.reshape(-1)[here] = model.log_probs(
+                states[1:].reshape(-1, k).take(here, 0), ids[at.reshape(-1)[here]])[0]
+            out[rows] += found.sum(0)
     return out
 
 
@@ -604,11 +690,11 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
         tokens, lengths = token_hashes(block.column("_text").to_pylist())
         parts = sorted(zip(reply.column("_range").to_pylist(), reply.column("_counts").to_pylist()))
         counts = np.frombuffer(b"".join(c for _, c in parts), np.int64)
-        inverse = np.unique(tokens, return_inverse=True)[1]
+        distinct, inverse = np.unique(tokens, return_inverse=True)
         own, value = counts[inverse], np.log10(counts + 0.5)[inverse]
         start = np.cumsum(lengths) - lengths
         base = np.add.reduceat(value, start) - lengths * np.log10(known.tokens + 0.5 * (known.distinct + 1))
-        ids = known.encode(tokens)
+        ids = known.encode(distinct)[inverse]
         other = np.where(ids == 0, value - np.log10(known.other_mass), 0.0)
         end = int(known.encode(np.array([END]))[0])
         model_score = document_scores(model, ids, lengths, end) / np.log(10) + np.add.reduceat(other, start)

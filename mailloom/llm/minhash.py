@@ -34,6 +34,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -59,8 +60,7 @@ _BLOCK = 3_000_000
 _BIN = 1.06
 _EPS = 1e-6
 _LONG = (1 << 63) - 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE = bytes(c in b"\t\n\v\f\r " for c in range(256))
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -74,25 +74,37 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _P = np.uint64(0xD1342543DE82EF95)
 _P_INV = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+_KEPT_POWERS = 1 << 18
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base of the hash, and their inverses; kept where there are few."""
+    if n <= _KEPT_POWERS:
+        return tuple(x[:n] for x in _kept_powers())
+    out = np.full(n, _P), np.full(n, _P_INV)
+    for x in out:
+        x[0] = 1
+        np.cumprod(x, out=x)
+    return out
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.concatenate(([np.uint64(1)], np.full(_KEPT_POWERS - 1, x)))) for x in (_P, _P_INV))
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in turn, and the number of words of each text."""
-    raw = [(t or "").encode("utf-8", "surrogatepass").translate(_FOLD) + b" " for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    space = _SPACE[data]
+    raw = [(t or "").encode("utf-8", "surrogatepass") + b" " for t in texts]
+    text = b"".join(raw).translate(_FOLD)
+    data, space = np.frombuffer(text, np.uint8), np.frombuffer(text.translate(_SPACE), bool)
     before = np.concatenate(([True], space[:-1]))
     start = np.flatnonzero(~space & before)
     stop = np.flatnonzero(space & ~before)
-    power = np.full(len(data) + 1, _P)
-    power[0] = 1
-    np.cumprod(power, out=power)
+    power, inverse = _powers(len(data) + 1)
     summed = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * power[:-1], out=summed[1:])
     # Dividing by the power of the start makes the sum independent of the place.
-    inverse = np.full(len(data) + 1, _P_INV)
-    inverse[0] = 1
-    np.cumprod(inverse, out=inverse)
     words = mix((summed[stop] - summed[start]) * inverse[start] + (stop - start).astype(np.uint64))
     ends = np.cumsum([len(r) for r in raw])
     return words, np.diff(np.searchsorted(start, ends), prepend=0)

@@ -252,3 +252,49 @@ def test_windows_stay_full():
     trainer.learn(rng.integers(0, 50, lengths.sum()), lengths, 7)
     full = min(max(lm.BATCH, 2200 // 8), lm.LARGE_BATCH) * lm.WINDOW
     assert sum(places) < 1.06 * lengths.sum() and len(places) < 1.15 * lengths.sum() / full
+
+
+def test_scores_by_hand():
+    """Gates, candidate and all levels of the softmax, one token after the other; a long document takes few windows."""
+    model, rng = lm.GatedModel(122, hidden=5, class_size=4, seed=1), np.random.default_rng(2)
+    model.w = {k: v * 5 for k, v in model.w.items()}
+    model.w |= {k: rng.normal(size=model.w[k].shape).astype(np.float32) for k in ("ob", "cb", "gb")}
+    w, k, head = {n: x.astype(float) for n, x in model.w.items()}, 5, model.head
+    assert model.groups > 1 and head > 0
+    lengths, want = np.array([3, 20_000, 40]), []
+    ids = rng.integers(0, 122, lengths.sum())
+    softmax = lambda x, i: x[i] - x.max() - np.log(np.exp(x - x.max()).sum())
+    for doc in np.split(ids, np.cumsum(lengths)[:-1]):
+        h, last, total = np.zeros(k), 7, 0.0
+        for i in doc.tolist():
+            x = w["x"][last]
+            z, r = np.split(1 / (1 + np.exp(-(h @ w["u"] + x[:2 * k]))), 2)
+            n = np.tanh((r * h) @ w["n"] + x[2 * k:])
+            h, last = z * h + (1 - z) * n, i
+            words, classes, groups = w["o"] @ h + w["ob"], h @ w["c"] + w["cb"], h @ w["g"] + w["gb"]
+            c = (i - head) // 4
+            total += softmax(np.concatenate((words[:head], groups)), i if i < head else head + c // model.fan)
+            if i >= head:
+                g = c // model.fan * model.fan
+                total += softmax(classes[g:g + model.fan], c - g) + softmax(words[head:][4 * c:4 * c + 4], i - head - 4 * c)
+        want.append(total)
+    calls, keep = [], model.log_probs
+    model.log_probs = lambda *a: calls.append(1) or keep(*a)
+    assert np.allclose(lm.document_scores(model, ids, lengths, 7), want, rtol=1e-4)
+    assert len(calls) < 10
+
+
+def test_tokens_are_found_whatever_their_prefix():
+    top = (1 << 64) - 1
+    hashes = np.array([5, 6, 7, 1 << 63, (1 << 63) + 1, top - 2, top - 1], np.uint64)
+    known = lm.Vocabulary(hashes, np.arange(1, 8), 0, 0, 0, 8)
+    tokens = [0, 5, 6, 7, 8, 1 << 63, (1 << 63) + 1, (1 << 63) + 2, top - 3, top - 2, top - 1, top, 1 << 40]
+    assert known.encode(np.array(tokens, np.uint64)).tolist() == [0, 1, 2, 3, 0, 4, 5, 0, 0, 6, 7, 0, 0]
+
+
+def test_hashes_do_not_depend_on_what_is_hashed_together():
+    texts = ["Ab c", None, "x ab\x0by " * 60_000, "c", "é ab"]  # one longer than the powers that are kept
+    words, n = lm.token_hashes(texts)
+    alone = [lm.token_hashes([t]) for t in texts]
+    assert words.tolist() == [h for a, _ in alone for h in a.tolist()] and n.tolist() == [int(x[0]) for _, x in alone]
+    assert (words == lm.token_hashes(texts, 10_000_000)[0]).all() and len(set(words.tolist())) == 6
